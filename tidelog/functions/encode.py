@@ -39,10 +39,8 @@ def embed(load_encoder: Callable[[], Encoder] = hashed_words):
 
         def run(texts: pd.Series) -> pd.Series:
             known = texts.notna()
-            out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            if known.any():
-                out[known] = list(encode(texts[known].tolist()))
-            return out
+            vectors = iter(encode(texts[known].tolist()))
+            return pd.Series([next(vectors) if there else None for there in known], dtype=object)
 
         return run
 

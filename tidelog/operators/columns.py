@@ -55,10 +55,17 @@ def flatten_field(df: DataFrame, struct: str, field: str, name: str, default: st
 
 def parse_json(df: DataFrame, column: str, schema: str) -> DataFrame:
     """Decode a JSON text column and put its fields at the top level, beside the other columns."""
-    rest = [F.col(c) for c in df.columns if c != column]
-    return df.select(*rest, F.from_json(column, schema).alias("_record")).select(
-        *[c for c in df.columns if c != column], "_record.*"
-    )
+    rest = [c for c in df.columns if c != column]
+    return df.select(*rest, fields_of(F.from_json(column, schema)))
+
+
+def fields_of(record: Column) -> Column:
+    """The fields of a decoded record as columns of a `select`.
+
+    As a generator the decoding runs once per row. Plain field access would repeat it in
+    every filter on a field, since Spark moves such filters below the decoding.
+    """
+    return F.inline(F.array(record))
 
 
 def select_all_sql(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.scalars import words
+from tidelog.operators.columns import fields_of
 
 
 def join(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
@@ -36,7 +37,7 @@ def _quoted(text: str) -> str:
 
 def lateral_json(df: DataFrame, column: str, schema: str) -> DataFrame:
     """Beside each row, the fields of the JSON record in `column`."""
-    return df.withColumn("_record", F.from_json(column, schema)).select("*", "_record.*").drop("_record")
+    return df.select("*", fields_of(F.from_json(column, schema)))
 
 
 def unnest(df: DataFrame, column: str, name: str, position: str | None = None) -> DataFrame:
@@ -166,7 +167,7 @@ def timers_with_total(
     """
     moments = df.groupBy(key, F.date_trunc("millisecond", ts).alias("_at")).agg(F.sum(value).alias("_sum"))
     totals = moments.groupBy(key).agg(F.sum("_sum").alias("total"))
-    copies = totals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    copies = totals.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
     dealt = moments.withColumn("_salt", F.pmod(F.xxhash64("_at"), F.lit(salts)))
     return dealt.join(copies, [key, "_salt"]).select(
         key, (F.col("_at") + F.expr(f"INTERVAL {delay}")).alias("fired"), "total"

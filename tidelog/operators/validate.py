@@ -48,9 +48,14 @@ def check_records(
     df: DataFrame, column: str = "value", rules: tuple[FieldRule, ...] = EDGE_LOG_RULES
 ) -> DataFrame:
     """Add `reject_reason`: the first field that breaks its rule, or NULL for a good record."""
-    parsed = F.try_parse_json(F.col(column))
-    broken = [F.when(~_satisfies(F.col("_parsed"), rule), F.lit(rule.name)) for rule in rules]
-    return df.withColumn("_parsed", parsed).withColumn(REASON, F.coalesce(*broken)).drop("_parsed")
+
+    def first_broken(parsed: Column) -> Column:
+        return F.coalesce(*[F.when(~_satisfies(parsed, rule), F.lit(rule.name)) for rule in rules])
+
+    # Bound as the element of an array, the text is parsed once however many rules there
+    # are, also where a filter on the reason is pushed down.
+    reasons = F.transform(F.array(F.try_parse_json(F.col(column))), first_broken)
+    return df.withColumn(REASON, F.element_at(reasons, 1))
 
 
 def split_records(

@@ -110,13 +110,13 @@ def _near_blocks(
     left = queries.withColumns(
         {
             "_block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)),
-            "_part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("bigint"),
+            "_part": F.explode(F.expr(f"sequence(0L, {parts - 1}L)")),
         }
     )
     right = rows.withColumns(
         {
             "_part": F.pmod(F.xxhash64("_id"), F.lit(parts)),
-            "_block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint"),
+            "_block": F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")),
         }
     )
 

@@ -75,7 +75,7 @@ def add_length(spark, sf):
 
 @query(
     "f7_split",
-    f"SELECT doc_id, len(list_filter(regexp_split_to_array(text, '{s.WHITESPACE}'), w -> w <> '')) AS words, "
+    f"SELECT doc_id, len([w FOR w IN regexp_split_to_array(text, '{s.WHITESPACE}') IF w <> '']) AS words, "
     "len(string_split(text, 'e')) AS pieces FROM documents",
 )
 def split(spark, sf):

@@ -63,7 +63,7 @@ def latest_stream(spark, sf):
     jobs.upsert(
         rows, path, ["user_id"], f"{path}-checkpoint", sequence=["event_id"], mode="append"
     ).awaitTermination()
-    return KeyedTable(spark, path, ["user_id"]).read()
+    return KeyedTable(spark, path, ["user_id"], sequence=["event_id"]).read()
 
 
 @query(
@@ -223,7 +223,6 @@ def several_sinks_batch(spark, sf):
     )
     root = work_dir(spark, "branches")
     sink.write_branches(
-        nations,
         {
             f"{root}/sink=r": nations.select("r_name").distinct(),
             f"{root}/sink=n": nations.select(F.col("n_name").alias("r_name")),

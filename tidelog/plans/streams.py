@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import changelog as c
 from tidelog.operators import windows as w
-from tidelog.operators.ordered import HOT_KEY_ROWS
+from tidelog.plans.aggregates import FEW_ROWS
 from tidelog.plans.changes import _changelog_sql
 from tidelog.plans.registry import EPOCH, query, table, without_zone
 from tidelog.plans.sinks import staged_events
@@ -35,9 +35,10 @@ def _closed_sql(size: str, key: str, lateness: str) -> str:
     """Windows that the watermark has passed when all rows are in."""
     bucket = f"time_bucket(INTERVAL {size}, ts, {EPOCH})"
     return f"""
-    SELECT {key}, {bucket} AS window_start, {bucket} + INTERVAL {size} AS window_end, count(*) AS n FROM events
-    GROUP BY ALL
-    HAVING window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL {lateness} FROM events)
+    SELECT * FROM (
+      SELECT {key}, {bucket} AS window_start, {bucket} + INTERVAL {size} AS window_end, count(*) AS n FROM events
+      GROUP BY ALL)
+    WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL {lateness} FROM events)
     """
 
 
@@ -106,41 +107,61 @@ def status_counts(spark, sf):
     return _written(counted, "statuses", flat=_BOUNDS)
 
 
+# how often the streams below are stopped, given new files and started again
+TURNS = 3
+
+
+def _in_turns(spark, sf, columns, start):
+    """Store the events in TURNS portions; after each, run the stream from its checkpoint to the end."""
+    events = table(spark, sf, "events").select("event_id", *columns)
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    path = work_dir(spark, "arrivals")
+    portion = F.floor((F.col("event_id") - low) * TURNS / (high - low + 1))
+    for turn in range(TURNS):
+        events.filter(portion == turn).write.mode("append").parquet(path)
+        start(files.parquet_rows(spark, path, stream=True)).awaitTermination()
+
+
 @query(
     "a9_stream_running_sum",
     "SELECT event_id, user_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY event_id), 4) AS total FROM events",
 )
 def running_sum(spark, sf):
-    """A running sum over micro-batches, each row in order."""
-    rows = staged_events(spark, sf, "user_id", "value")
+    """A running sum that goes on over micro-batches and restarts."""
     path = work_dir(spark, "running")
-    aggregates = {"total": ("sum", "value")}
-    jobs.running_batches(
-        rows, ["user_id"], ["event_id"], aggregates, path, f"{path}-checkpoint"
-    ).awaitTermination()
+    total = {"total": ("sum", "value")}
+    _in_turns(
+        spark,
+        sf,
+        ["user_id", "value"],
+        lambda rows: jobs.running_batches(rows, ["user_id"], ["event_id"], total, path, f"{path}-checkpoint"),
+    )
     stored = spark.read.schema("event_id bigint, user_id bigint, total double").parquet(path)
-    return stored.withColumn("total", F.round("total", 4))
+    return stored.select("event_id", "user_id", F.round("total", 4).alias("total"))
 
 
 @query("c1_stream_changelog", _changelog_sql("event_type").replace("ORDER BY ts, event_id", "ORDER BY event_id"))
 def changelog(spark, sf):
-    """The changelog of a running aggregate, across micro-batches."""
-    rows = staged_events(spark, sf, "event_type", "value")
-    aggregates = {"n": ("count", F.lit(1)), "top": ("max", "value")}
+    """The changelog of a running aggregate, across micro-batches and restarts."""
+    aggregates = {"n": ("count", F.lit(1)), "top": ("max", "value"), "_rows": ("count", F.lit(1))}
     path = work_dir(spark, "changelog")
 
-    jobs.running_batches(
-        rows,
-        ["event_type"],
-        ["event_id"],
-        {**aggregates, "_rows": ("count", F.lit(1))},
-        path,
-        f"{path}-checkpoint",
-        finish=lambda seen: seen.select("event_type", "event_id", F.inline(c.change_rows(["n", "top"]))),
-        previous=True,
-        max_rows_per_task=HOT_KEY_ROWS,
-    ).awaitTermination()
-    return spark.read.schema("event_type string, event_id bigint, op string, n bigint, top double").parquet(path)
+    def start(rows):
+        return jobs.running_batches(
+            rows,
+            ["event_type"],
+            ["event_id"],
+            aggregates,
+            path,
+            f"{path}-checkpoint",
+            finish=lambda seen: seen.select("event_type", "event_id", F.inline(c.change_rows(["n", "top"]))),
+            previous=True,
+            max_rows_per_task=FEW_ROWS,
+        )
+
+    _in_turns(spark, sf, ["event_type", "value"], start)
+    schema = "event_type string, event_id bigint, op string, n bigint, top double"
+    return spark.read.schema(schema).parquet(path).drop("batch")
 
 
 _FINAL_SUM_SQL = "SELECT user_id AS key, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1"
@@ -161,9 +182,9 @@ def value_state(spark, sf):
     "d2_stream_timers",
     """
     WITH moments AS (
-      SELECT user_id, epoch_ms(ts) + 5000 AS fired_ms, sum(value) OVER (PARTITION BY user_id) AS total FROM events)
+      SELECT user_id, epoch_us(ts) // 1000 + 5000 AS fired_ms, sum(value) OVER (PARTITION BY user_id) AS total FROM events)
     SELECT DISTINCT user_id AS key, fired_ms, round(total, 4) AS total FROM moments
-    WHERE fired_ms <= (SELECT epoch_ms(max(ts)) FROM events) - 2000
+    WHERE fired_ms <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - 2000
     """,
 )
 def timers(spark, sf):
@@ -176,9 +197,9 @@ def timers(spark, sf):
 @query(
     "w1_stream_max_over_preceding",
     """
-    SELECT user_id AS key, event_id AS id, epoch_ms(ts) AS ms, max(value) OVER (PARTITION BY user_id
-      ORDER BY epoch_ms(ts), event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS top FROM events
-    QUALIFY epoch_ms(ts) <= (SELECT epoch_ms(max(ts)) FROM events) - 3000
+    SELECT user_id AS key, event_id AS id, epoch_us(ts) // 1000 AS ms, max(value) OVER (PARTITION BY user_id
+      ORDER BY epoch_us(ts) // 1000, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS top FROM events
+    QUALIFY epoch_us(ts) // 1000 <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - 3000
     """,
 )
 def max_over_preceding(spark, sf):
@@ -206,10 +227,7 @@ def _with_expiry(df, name, mode):
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     running = jobs.to_batches(df, store, f"{path}-checkpoint", mode, every="1 second")
-    try:
-        running.processAllAvailable()
-    finally:
-        running.stop()
+    jobs.run_until_idle(running)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -101,15 +101,11 @@ def encode_string(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(column).cast("string").alias("value"))
 
 
-def write_branches(df: DataFrame, branches: dict[str, DataFrame]) -> None:
-    """Write several results of one input, each to its own folder.
+def write_branches(branches: dict[str, DataFrame]) -> None:
+    """Write several results, each to its own folder.
 
-    `df` is the input they share, kept for the time of the writes; give each branch as
-    a frame built on it, keyed by folder.
+    Every branch reads its input anew with its own filters and columns pushed into the
+    scan, which is cheaper than keeping a large shared input somewhere.
     """
-    df.persist()
-    try:
-        for path, branch in branches.items():
-            branch.write.mode("overwrite").parquet(path)
-    finally:
-        df.unpersist()
+    for path, branch in branches.items():
+        branch.write.mode("overwrite").parquet(path)

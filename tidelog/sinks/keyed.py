@@ -36,23 +36,34 @@ def _finished(spark: SparkSession, folder: str, name: str) -> list[int]:
 
 
 class KeyedTable:
-    """Rows by key. Without `merges` the newest row of a key replaces older ones; with
-    `merges` ({column: sum | min | max}) each batch holds deltas that are merged."""
+    """Rows by key.
+
+    With `merges` ({column: sum | min | max}) each batch holds deltas that are merged.
+    Otherwise the newest row of a key replaces the others: the one with the greatest
+    `sequence` columns if there are any, else the one of the last batch, in which case a
+    batch must have one row per key.
+    """
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: Sequence[str], merges: dict[str, str] | None = None
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        merges: dict[str, str] | None = None,
+        sequence: Sequence[str] = (),
     ):
-        self.spark, self.path, self.keys, self.merges = spark, path.rstrip("/"), list(keys), merges
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
+        self.merges, self.sequence = merges, list(sequence)
 
     def _merged(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
         if self.merges is None:
             return latest_per_key(df, self.keys, order)
         return df.groupBy(*self.keys).agg(*[_MERGES[how](c).alias(c) for c, how in self.merges.items()])
 
-    def upsert(self, rows: DataFrame, batch: int, sequence: Sequence[str] = ()) -> None:
-        """Apply one batch. `sequence` orders the rows of one key when there are several."""
-        if self.merges is not None or sequence:
-            rows = self._merged(rows, sequence)
+    def upsert(self, rows: DataFrame, batch: int) -> None:
+        """Apply one batch, or apply it again."""
+        if self.merges is not None or self.sequence:
+            rows = self._merged(rows, self.sequence)
         rows.write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch}")
 
     def read(self, before: int | None = None) -> DataFrame | None:
@@ -74,7 +85,7 @@ class KeyedTable:
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         if len(batches) + len(bases[-1:]) == 1:
             return rows.drop(_VERSION)
-        merged = self._merged(rows, [_VERSION])
+        merged = self._merged(rows, [*self.sequence, _VERSION])
         return merged.drop(_VERSION) if self.merges is None else merged
 
     def _load(self, kind: str, name: str, numbers: list[int]) -> DataFrame:

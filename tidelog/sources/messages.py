@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import iso_date, iso_timestamp
-from tidelog.operators.columns import nested_field
+from tidelog.operators.columns import fields_of, nested_field
 
 # The fields of an edge access log that the jobs read.
 EDGE_LOG = """
@@ -44,18 +44,18 @@ def raw_text(messages: DataFrame) -> DataFrame:
 
 def decode_json(messages: DataFrame, schema: str, column: str = "value") -> DataFrame:
     """The fields of JSON payloads; unknown keys are ignored, missing ones NULL."""
-    return messages.select(F.from_json(F.col(column), schema).alias("_record")).select("_record.*")
+    return messages.select(fields_of(F.from_json(F.col(column), schema)))
 
 
 def decode_csv(messages: DataFrame, schema: str, column: str = "value") -> DataFrame:
-    return messages.select(F.from_csv(F.col(column), schema).alias("_record")).select("_record.*")
+    return messages.select(fields_of(F.from_csv(F.col(column), schema)))
 
 
 def decode_avro(messages: DataFrame, schema_json: str, column: str = "value") -> DataFrame:
     """Avro payloads; needs Spark's Avro package."""
     from pyspark.sql.avro.functions import from_avro
 
-    return messages.select(from_avro(F.col(column), schema_json).alias("_record")).select("_record.*")
+    return messages.select(fields_of(from_avro(F.col(column), schema_json)))
 
 
 def edge_log(messages: DataFrame, column: str = "value") -> DataFrame:

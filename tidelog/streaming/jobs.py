@@ -73,11 +73,26 @@ def upsert(
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        KeyedTable(batch.sparkSession, path, keys, merges).upsert(batch, number, sequence)
+        KeyedTable(batch.sparkSession, path, keys, merges, sequence).upsert(batch, number)
 
     return to_batches(df, apply, checkpoint, mode, every, name)
 
 
+def run_until_idle(query: StreamingQuery, poll_seconds: float = 0.3) -> None:
+    """Stop a stream once a micro-batch finds no new rows.
+
+    For streams whose state expires by the clock: they go on with empty micro-batches
+    when their input is used up.
+    """
+    try:
+        while not query.awaitTermination(poll_seconds):
+            progress = query.lastProgress
+            if progress is not None and progress["batchId"] > 0 and progress["numInputRows"] == 0:
+                return
+    finally:
+        query.stop()
+
+
 def snapshots(
     aggregate: DataFrame, path: str, checkpoint: str, every: str | None = None, name: str | None = None
 ) -> StreamingQuery:
@@ -136,6 +151,13 @@ def running_batches(
         return F.when(value.isNotNull(), F.lit(1).cast("bigint")) if kind == "count" else value
 
     def step(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            write(batch, number)
+        finally:
+            batch.unpersist()
+
+    def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         state = KeyedTable(spark, f"{checkpoint}-totals", keys, merges)
         new = batch.withColumns(
