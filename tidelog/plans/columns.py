@@ -9,7 +9,6 @@ from tidelog.operators import columns as c
 from tidelog.operators import relational as r
 from tidelog.operators.validate import check_records, reject_counts, split_records
 from tidelog.plans.registry import EDGE_SQL, edge_logs, edge_message, query, table, without_zone
-from tidelog.session import work_dir
 
 
 @query("p1_select_rename", "SELECT o_orderkey AS order_id, o_totalprice * 2 AS doubled FROM orders")
@@ -199,12 +198,3 @@ def nested_key(spark, sf):
     key = c.nested_field("ResponseHeaders", "x-org-uid").alias("org")
     return r.group(edge_logs(spark, sf), [key], {"n": F.count("*")})
 
-
-@query("p15_schema_and_plan")
-def schema_and_plan(spark, sf):
-    """The plan text of an aggregate over the events, stored and read back line by line."""
-    counted = r.count_rows(table(spark, sf, "events"), ["event_type"])
-    path = work_dir(spark, "plan")
-    lines = [(line,) for line in c.plan_text(counted).splitlines()]
-    spark.createDataFrame(lines, "value string").write.text(path)
-    return spark.read.text(path)
