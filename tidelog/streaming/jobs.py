@@ -7,6 +7,7 @@ micro-batch under the same number; all sinks here replace what that number wrote
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,15 +80,16 @@ def upsert(
 
 
 def run_until_idle(query: StreamingQuery, poll_seconds: float = 0.3) -> None:
-    """Stop a stream once a micro-batch finds no new rows.
+    """Stop a stream once micro-batches find no new rows.
 
     For streams whose state expires by the clock: they go on with empty micro-batches
     when their input is used up.
     """
     try:
         while not query.awaitTermination(poll_seconds):
-            progress = query.lastProgress
-            if progress is not None and progress["batchId"] > 0 and progress["numInputRows"] == 0:
+            # a first empty micro-batch may be one that the last run left unfinished
+            last = [progress["numInputRows"] for progress in query.recentProgress[-2:]]
+            if last == [0, 0]:
                 return
     finally:
         query.stop()
@@ -166,7 +168,11 @@ def running_batches(
         earlier = state.read(before=number)
         rows = new
         if earlier is not None:
-            asked = earlier.join(batch.select(*keys).distinct(), keys, "left_semi")
+            present = batch.select(*[F.col(k).alias(f"_on_{k}") for k in keys]).distinct()
+            same_key = reduce(
+                lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in keys]
+            )
+            asked = earlier.join(present, same_key, "left_semi")
             leading = asked.withColumnsRenamed({n: f"_part_{n}" for n in aggregates})
             leading = leading.withColumn("_kind", F.lit(0))
             rows = new.unionByName(leading, allowMissingColumns=True)
