@@ -88,7 +88,7 @@ def test_running_sum_state(feed, tmp_path):
          (0, "Alice", 13.1), (0, "Bob", 3.1), (0, "Bob", 16.1), (0, "Alice", 20.1)])]
     source.add(*amounts[:3])
     source.add(*amounts[3:])
-    out = run(state.running_sum(source.read(), "name", "amount", "id", "string"), tmp_path)
+    out = run(state.running_reduce(source.read(), "name", "amount", "id", "string"), tmp_path)
     got = [(k, round(t, 4)) for k, _, t in sorted(out.collect(), key=lambda x: (x[0], x[1]))]
     assert [t for k, t in got if k == "Alice"] == [110.1, 130.1, 143.2, 163.3]
     assert [t for k, t in got if k == "Bob"] == [30.2, 83.3, 86.4, 102.5]
@@ -99,7 +99,7 @@ def test_state_expires(spark, feed, tmp_path):
 
     source = feed("id bigint, name string, amount double")
     source.add((1, "Alice", 1.0))
-    sums = state.running_sum(source.read(), "name", "amount", "id", "string", ttl_ms=2_000)
+    sums = state.running_reduce(source.read(), "name", "amount", "id", "string", ttl_ms=2_000)
     path = str(tmp_path / "out")
 
     def store(batch, number):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,12 +20,18 @@ Encoder = Callable[[list[str]], np.ndarray]
 def hashed_words(dimensions: int = DIMENSIONS) -> Encoder:
     """A deterministic encoder without a model: signed hashed word counts, scaled to length 1."""
 
+    @lru_cache(maxsize=100_000)
+    def place(word: str) -> tuple[int, float]:
+        code = zlib.crc32(word.encode())
+        return code % dimensions, 1.0 if code & 0x80000000 else -1.0
+
     def encode(texts: list[str]) -> np.ndarray:
         vectors = np.zeros((len(texts), dimensions))
         for row, text in enumerate(texts):
-            for word in text.lower().split():
-                code = zlib.crc32(word.encode())
-                vectors[row, code % dimensions] += 1.0 if code & 0x80000000 else -1.0
+            places = [place(word) for word in text.lower().split()]
+            if places:
+                positions, signs = zip(*places, strict=True)
+                vectors[row] = np.bincount(positions, weights=signs, minlength=dimensions)
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
         return vectors / np.where(norms == 0, 1, norms)
 

@@ -55,7 +55,7 @@ def iso_timestamp(column: Column | str, millis: bool = True) -> Column:
     The session time zone must be UTC. With `millis` the time is cut to milliseconds.
     """
     column = _column(column)
-    text = F.when(column.rlike(ISO_DATE_TIME), F.translate(column, ",", "."))
+    text = F.when(column.rlike(ISO_DATE_TIME), F.replace(column, F.lit(","), F.lit(".")))
     parsed = F.try_to_timestamp(text)
     return F.date_trunc("MILLISECOND", parsed) if millis else parsed
 

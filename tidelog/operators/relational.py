@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.functions.scalars import words
+from tidelog.functions.scalars import WHITESPACE, words
 from tidelog.operators.columns import fields_of
 
 
@@ -85,8 +85,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def word_count(df: DataFrame, column: str) -> DataFrame:
-    """How often each whitespace-separated word occurs."""
-    return df.select(F.explode(words(column)).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
+    """How often each whitespace-separated word occurs.
+
+    The texts are cut at ASCII blanks, which is several times faster; the rare other
+    blanks are looked for in the distinct pieces only.
+    """
+    if df.isStreaming:
+        counted = df.select(F.explode(words(column)).alias("word")).groupBy("word")
+        return counted.agg(F.count("*").alias("count"))
+    pieces = df.select(F.explode(F.split(column, r"\s+")).alias("_piece"))
+    pieces = pieces.groupBy("_piece").agg(F.count("*").alias("_count"))
+    found = pieces.select(F.explode(F.split("_piece", WHITESPACE)).alias("word"), "_count")
+    return found.filter("word <> ''").groupBy("word").agg(F.sum("_count").alias("count"))
 
 
 @dataclass(frozen=True)

@@ -9,8 +9,13 @@ from tidelog.operators import ordered
 from tidelog.operators import relational as r
 from tidelog.plans.registry import EDGE_SQL, edge_logs, query, table, without_zone
 
-# Fewer than an event type has, so that the work on a key is cut into slices.
-FEW_ROWS = 1_000
+# Part of the rows one task may hold of a key in the queries on hot keys. Each event type has a
+# larger part, so that its work is cut into slices at every size of the tables.
+TASK_PART = 20
+
+
+def few_rows(spark, sf) -> int:
+    return max(1, table(spark, sf, "events").count() // TASK_PART)
 
 
 @query(
@@ -105,7 +110,7 @@ def running_sum(spark, sf):
 
 @query("a9_running_sum_hot_keys", _RUNNING_SQL.replace("KEY", "event_type"))
 def running_sum_hot(spark, sf):
-    return _running(spark, sf, "event_type", FEW_ROWS)
+    return _running(spark, sf, "event_type", few_rows(spark, sf))
 
 
 @query(

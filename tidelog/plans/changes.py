@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidelog.operators import changelog as c
 from tidelog.operators import ordered
 from tidelog.operators import relational as r
-from tidelog.plans.aggregates import FEW_ROWS
+from tidelog.plans.aggregates import few_rows
 from tidelog.plans.registry import query, table
 from tidelog.sources.changes import change_feed, initial_rows
 
@@ -39,7 +39,7 @@ def changelog(spark, sf):
 
 @query("c1_aggregate_changelog_hot_keys", _changelog_sql("event_type"))
 def changelog_hot(spark, sf):
-    return _changes(spark, sf, "event_type", FEW_ROWS)
+    return _changes(spark, sf, "event_type", few_rows(spark, sf))
 
 
 @query(

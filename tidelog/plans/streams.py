@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import changelog as c
 from tidelog.operators import windows as w
-from tidelog.plans.aggregates import FEW_ROWS
+from tidelog.plans.aggregates import few_rows
 from tidelog.plans.changes import _changelog_sql
-from tidelog.plans.registry import EPOCH, query, table, without_zone
+from tidelog.plans.registry import EDGE_SQL, EPOCH, edge_message, query, table, without_zone
 from tidelog.plans.sinks import staged_events
 from tidelog.session import work_dir
+from tidelog.sinks.keyed import KeyedTable
 from tidelog.sources import files
+from tidelog.sources.messages import edge_log
 from tidelog.streaming import jobs, state
 
 
@@ -56,6 +58,63 @@ def tumbling_late(spark, sf):
     return _written(counted, "tumbling", flat=_BOUNDS)
 
 
+@query("e4_stream_late_rows", _closed_sql("5 MINUTE", "event_type", "0 SECOND"))
+def late_rows(spark, sf):
+    """All events arrive a second time, too late for the windows that are closed by then."""
+    arrivals, out = work_dir(spark, "arrivals"), work_dir(spark, "windows")
+    for _ in range(2):
+        table(spark, sf, "events").select("ts", "event_type").write.mode("append").parquet(arrivals)
+        events = w.watermarked(files.parquet_rows(spark, arrivals, stream=True), "ts")
+        counted = w.time_windows(events, ["event_type"], "ts", "5 minutes", {"n": F.count("*")})
+        jobs.to_files(counted, out, f"{out}-checkpoint").awaitTermination()
+    stored = spark.read.schema(counted.schema).parquet(out)
+    return stored.select("event_type", *without_zone("window_start", "window_end"), "n")
+
+
+@query(
+    "c4_stream_closed_windows",
+    f"""
+    WITH {EDGE_SQL} SELECT * FROM (
+      SELECT org AS "OrgUID", time_bucket(INTERVAL 5 MINUTE, ts, {EPOCH}) AS window_start,
+        time_bucket(INTERVAL 5 MINUTE, ts, {EPOCH}) + INTERVAL 5 MINUTE AS window_end, count(url) AS url_count
+      FROM edge GROUP BY ALL)
+    WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 SECOND FROM events)
+    """,
+)
+def closed_windows(spark, sf):
+    """JSON messages decoded, counted per organisation in 5-minute windows, appended as windows close."""
+    lines = edge_message(_stream(spark, sf)).select("value")
+    logs = w.watermarked(edge_log(lines), "EventTime", "5 seconds")
+    counted = w.time_windows(
+        logs, ["OrgUID"], "EventTime", "5 minutes", {"url_count": F.count("ClientRequestURI")}
+    )
+    return _written(counted, "closed", flat=_BOUNDS)
+
+
+@query(
+    "e8_stream_session_gap_per_row",
+    """
+    WITH reached AS (
+      SELECT *, ts + to_minutes(CAST(json_extract_string(props, '$.k') AS INTEGER) + 1) AS reach FROM events),
+    marked AS (
+      SELECT *, max(reach) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        AS before FROM reached),
+    numbered AS (
+      SELECT *, sum(CASE WHEN ts <= before THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts) AS no
+      FROM marked)
+    SELECT * FROM (
+      SELECT user_id, min(ts) AS window_start, max(reach) AS window_end, count(*) AS n
+      FROM numbered GROUP BY user_id, no)
+    WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
+    """,
+)
+def session_gap_per_row(spark, sf):
+    events = w.watermarked(_stream(spark, sf), "ts")
+    gap = F.concat((F.get_json_object("props", "$.k").cast("int") + 1).cast("string"), F.lit(" minutes"))
+    counted = w.session_windows(events, ["user_id"], "ts", gap, {"n": F.count("*")})
+    return _written(counted, "session", flat=_BOUNDS)
+
+
 @query(
     "e6_stream_sliding",
     f"""
@@ -156,7 +215,7 @@ def changelog(spark, sf):
             f"{path}-checkpoint",
             finish=lambda seen: seen.select("event_type", "event_id", F.inline(c.change_rows(["n", "top"]))),
             previous=True,
-            max_rows_per_task=FEW_ROWS,
+            max_rows_per_task=few_rows(spark, sf),
         )
 
     _in_turns(spark, sf, ["event_type", "value"], start)
@@ -171,11 +230,39 @@ def _final_sums(rows):
     return rows.groupBy("key").agg(F.count("*").alias("n"), F.round(F.max("total"), 4).alias("total"))
 
 
+@query(
+    "a10_stream_reduce",
+    "SELECT user_id AS key, count(*) AS n, max(value) AS total FROM events GROUP BY 1",
+)
+def running_reduce(spark, sf):
+    """A user's reducing function, here the larger of two, given out after every row."""
+    rows = _stream(spark, sf).select("event_id", "user_id", "value")
+    return _final_sums(
+        _written(state.running_reduce(rows, "user_id", "value", "event_id", "bigint", max), "reduce")
+    )
+
+
+@query(
+    "a13_stream_top2",
+    """
+    SELECT user_id AS key, CAST(row_number() OVER w AS INTEGER) AS rank, value FROM events
+    WINDOW w AS (PARTITION BY user_id ORDER BY value DESC, event_id) QUALIFY row_number() OVER w <= 2
+    """,
+)
+def top2(spark, sf):
+    """The two largest values per key, kept up to date over micro-batches."""
+    rows = staged_events(spark, sf, "user_id", "value").select("user_id", "value")
+    path, keys = work_dir(spark, "top"), ["key", "rank"]
+    best = state.top_values(rows, "user_id", "value", 2, "bigint")
+    jobs.upsert(best, path, keys, f"{path}-checkpoint").awaitTermination()
+    return KeyedTable(spark, path, keys).read()
+
+
 @query("d1_stream_state", _FINAL_SUM_SQL)
 def value_state(spark, sf):
     """A sum kept in state, given out after every row; shown are the rows and the last sum per key."""
     rows = _stream(spark, sf).select("event_id", "user_id", "value")
-    return _final_sums(_written(state.running_sum(rows, "user_id", "value", "event_id", "bigint"), "state"))
+    return _final_sums(_written(state.running_reduce(rows, "user_id", "value", "event_id", "bigint"), "state"))
 
 
 @query(
@@ -234,7 +321,7 @@ def _with_expiry(df, name, mode):
 @query("d3_stream_state_expiry", _FINAL_SUM_SQL)
 def state_expiry(spark, sf):
     rows = _stream(spark, sf).select("event_id", "user_id", "value")
-    sums = state.running_sum(rows, "user_id", "value", "event_id", "bigint", ttl_ms=3_600_000)
+    sums = state.running_reduce(rows, "user_id", "value", "event_id", "bigint", ttl_ms=3_600_000)
     return _final_sums(_with_expiry(sums, "expiry", "append"))
 
 

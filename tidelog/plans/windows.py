@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import ordered
 from tidelog.operators import windows as w
-from tidelog.plans.aggregates import FEW_ROWS
+from tidelog.plans.aggregates import few_rows
 from tidelog.plans.registry import EDGE_SQL, EPOCH, edge_logs, query, table, without_zone
 
 
@@ -92,7 +92,7 @@ def session(spark, sf):
 
 @query("e7_session_hot_keys", _session_sql("event_type", _FIXED_GAP, _COUNT_SUM_SQL))
 def session_hot(spark, sf):
-    return _sessions(_events(spark, sf, "event_type"), "event_type", "30 minutes", FEW_ROWS)
+    return _sessions(_events(spark, sf, "event_type"), "event_type", "30 minutes", few_rows(spark, sf))
 
 
 _ROW_GAP = "to_minutes(CAST(json_extract_string(props, '$.k') AS INTEGER) + 1)"
@@ -109,7 +109,7 @@ def session_dynamic(spark, sf):
 
 @query("e8_session_gap_per_row_hot_keys", _session_sql("event_type", _ROW_GAP, _COUNT_SUM_SQL))
 def session_dynamic_hot(spark, sf):
-    return _sessions(_events(spark, sf, "props", "event_type"), "event_type", _row_gap(), FEW_ROWS)
+    return _sessions(_events(spark, sf, "props", "event_type"), "event_type", _row_gap(), few_rows(spark, sf))
 
 
 def _count_window_sql(key: str, size: int) -> str:
@@ -132,7 +132,7 @@ def count_window(spark, sf):
 
 @query("e9_count_window_hot_keys", _count_window_sql("event_type", 7))
 def count_window_hot(spark, sf):
-    return _count_windows(_events(spark, sf, "event_type"), "event_type", 7, FEW_ROWS)
+    return _count_windows(_events(spark, sf, "event_type"), "event_type", 7, few_rows(spark, sf))
 
 
 @query("e10_global_window", "SELECT count(*) AS n, round(sum(value), 2) AS total, min(ts) AS first FROM events")
@@ -160,7 +160,7 @@ def preceding(spark, sf):
 
 @query("w1_max_over_preceding_hot_keys", _preceding_sql("event_type"))
 def preceding_hot(spark, sf):
-    return _preceding(_events(spark, sf, "event_type"), "event_type", FEW_ROWS)
+    return _preceding(_events(spark, sf, "event_type"), "event_type", few_rows(spark, sf))
 
 
 def _counts_with_last_sql(sub_key: str, size: str) -> str:
@@ -253,7 +253,7 @@ def status_session(spark, sf):
 @query("a16_status_counts_session_hot_keys", _status_total_sql(_SESSIONS_SQL))
 def status_session_hot(spark, sf):
     events = _status(table(spark, sf, "events"))
-    return w.session_status_counts(events, "event_type", "status", "ts", "30 minutes", FEW_ROWS)
+    return w.session_status_counts(events, "event_type", "status", "ts", "30 minutes", few_rows(spark, sf))
 
 
 @query("a17_total_over_windows", "SELECT event_type, count(*) AS total FROM events GROUP BY event_type")

@@ -6,7 +6,10 @@ Rows of a key come in order of arrival. State is a few values per key, except in
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+import operator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -19,20 +22,22 @@ def _apply(df, key, processor, schema, mode, time_mode) -> DataFrame:
     return df.groupBy(key).transformWithState(processor, schema, mode, time_mode)
 
 
-class _Sum(StatefulProcessor):
-    """Emits the key's sum after every row."""
+class _Reduce(StatefulProcessor):
+    """Emits the key's reduced value after every row."""
 
-    def __init__(self, value: str, id_column: str, ttl_ms: int | None):
-        self.value, self.id_column, self.ttl_ms = value, id_column, ttl_ms
+    def __init__(
+        self, function: Callable[[float, float], float], value: str, id_column: str, ttl_ms: int | None
+    ):
+        self.function, self.value, self.id_column, self.ttl_ms = function, value, id_column, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.total = handle.getValueState("total", "total double", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.total.get()
-        total = 0.0 if held is None else held[0]
+        total = None if held is None else held[0]
         for row in rows:
-            total += row[self.value]
+            total = row[self.value] if total is None else self.function(total, row[self.value])
             yield Row(key=key[0], id=row[self.id_column], total=total)
         # written after every read as well, so that reading renews the time to live
         self.total.update((total,))
@@ -41,13 +46,49 @@ class _Sum(StatefulProcessor):
         pass
 
 
-def running_sum(
-    df: DataFrame, key: str, value: str, id_column: str, key_type: str, ttl_ms: int | None = None
+def running_reduce(
+    df: DataFrame,
+    key: str,
+    value: str,
+    id_column: str,
+    key_type: str,
+    function: Callable[[float, float], float] = operator.add,
+    ttl_ms: int | None = None,
 ) -> DataFrame:
-    """(key, id, total) after each row. State not touched for `ttl_ms` starts again at zero."""
+    """(key, id, total) after each row: the key's values so far, reduced two by two.
+
+    State not touched for `ttl_ms` is forgotten.
+    """
     time_mode = "processingTime" if ttl_ms else "none"
     schema = f"key {key_type}, id bigint, total double"
-    return _apply(df, key, _Sum(value, id_column, ttl_ms), schema, "append", time_mode)
+    processor = _Reduce(function, value, id_column, ttl_ms)
+    return _apply(df, key, processor, schema, "append", time_mode)
+
+
+class _TopN(StatefulProcessor):
+    """Emits the key's `n` largest values once per micro-batch."""
+
+    def __init__(self, value: str, n: int):
+        self.value, self.n = value, n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", "vals array<double>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.best.get()
+        before = [] if held is None else list(held[0])
+        best = heapq.nlargest(self.n, chain(before, (row[self.value] for row in rows)))
+        self.best.update((best,))
+        for rank, value in enumerate(best, 1):
+            yield Row(key=key[0], rank=rank, value=value)
+
+    def close(self) -> None:
+        pass
+
+
+def top_values(df: DataFrame, key: str, value: str, n: int, key_type: str) -> DataFrame:
+    """(key, rank, value): the present `n` largest values of each key that got rows. For an upsert by (key, rank)."""
+    return _apply(df, key, _TopN(value, n), f"key {key_type}, rank int, value double", "update", "none")
 
 
 class _IdleCount(StatefulProcessor):
@@ -107,11 +148,14 @@ def count_window_sums(df: DataFrame, key: str, value: str, size: int, key_type:
 class _SumTimer(StatefulProcessor):
     """Adds rows up; a timer per row emits the sum at that time."""
 
+    MOST_KNOWN = 100_000
+
     def __init__(self, value: str, millis: str, delay_ms: int):
         self.value, self.millis, self.delay_ms = value, millis, delay_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.known = {}  # totals read back in this task
         self.total = handle.getValueState("total", "total double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -124,10 +168,16 @@ class _SumTimer(StatefulProcessor):
         self.total.update((total,))
         for moment in due:
             self.handle.registerTimer(moment)
+        self.known.pop(key[0], None)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield Row(key=key[0], fired_ms=expiredTimerInfo.getExpiryTimeInMs(), total=self.total.get()[0])
+        # timers fire after all rows of a micro-batch: a total once read stays right in this task
+        if key[0] not in self.known:
+            if len(self.known) >= self.MOST_KNOWN:
+                self.known.clear()
+            self.known[key[0]] = self.total.get()[0]
+        yield Row(key=key[0], fired_ms=expiredTimerInfo.getExpiryTimeInMs(), total=self.known[key[0]])
 
     def close(self) -> None:
         pass
