@@ -133,7 +133,7 @@ def test_session_over_many_slices(spark, most):
 
 @pytest.mark.parametrize("most", CUTS)
 def test_session_status_counts(spark, most):
-    data = [(i, k, t, v % 3, g) for i, k, t, v, g in make(6, copies=50) if k is not None]
+    data = [(i, k, t, v % 3, g) for i, k, t, v, g in make(6, copies=50)]
     out = windows.session_status_counts(
         frame(spark, data).withColumnRenamed("v", "status"), "k", "status", "ts", "20 seconds", most
     )

@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import PRICES, rows
+from conftest import rows
 from pyspark.sql import functions as F
 
 from tidelog.operators import ordered, windows
@@ -135,13 +135,14 @@ def test_sum_per_row(spark):
 
 
 def test_timers_at_end(prices):
-    out = r.timers_with_total(prices, "name", "ts", "price")
-    assert rows(out.select("name", F.unix_millis("fired"), "total")) == sorted(
-        [("Alice", ms, 163.3) for ms in (6000, 8000, 10000, 15000)]
-        + [("Bob", ms, 102.5) for ms in (7000, 8000, 9000, 12000)],
-        key=repr,
-    )
-    assert len(PRICES) == 8
+    nameless = prices.filter("name = 'Bob'").withColumn("name", F.lit(None).cast("string"))
+    for most in (1, 3, 1_000):
+        out = r.timers_with_total(prices.unionByName(nameless), "name", "ts", "price", moments_per_task=most)
+        assert rows(out.select("name", F.unix_millis("fired"), "total")) == sorted(
+            [("Alice", ms, 163.3) for ms in (6000, 8000, 10000, 15000)]
+            + [(name, ms, 102.5) for name in ("Bob", None) for ms in (7000, 8000, 9000, 12000)],
+            key=repr,
+        )
 
 
 LOGS = [

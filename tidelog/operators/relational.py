@@ -162,23 +162,38 @@ def user_aggregate(
     return partial.groupBy(*keys).applyInPandas(finish, T.StructType(key_fields + output_fields))
 
 
-# copies made of a key's total, so that the rows of a large key can spread over as many tasks
-SALTS = 64
+# moments of one key that meet its total in one task
+MOMENTS_PER_TASK = 2_000_000
 
 
 def timers_with_total(
-    df: DataFrame, key: str, ts: str, value: str, delay: str = "5 seconds", salts: int = SALTS
+    df: DataFrame,
+    key: str,
+    ts: str,
+    value: str,
+    delay: str = "5 seconds",
+    moments_per_task: int = MOMENTS_PER_TASK,
 ) -> DataFrame:
     """(key, fired, total): for each distinct moment of a key, to the millisecond, `delay` after it
     and the sum over all rows of the key.
 
-    Totals come from one sum per (key, moment), so the join sees each moment once; a key's
-    moments are dealt out over `salts` copies of its total.
+    The join sees each (key, moment) once. A key with very many moments gets one copy of its
+    total per `moments_per_task` of them, and its moments are dealt out over the copies.
     """
-    moments = df.groupBy(key, F.date_trunc("millisecond", ts).alias("_at")).agg(F.sum(value).alias("_sum"))
-    totals = moments.groupBy(key).agg(F.sum("_sum").alias("total"))
-    copies = totals.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
-    dealt = moments.withColumn("_salt", F.pmod(F.xxhash64("_at"), F.lit(salts)))
-    return dealt.join(copies, [key, "_salt"]).select(
-        key, (F.col("_at") + F.expr(f"INTERVAL {delay}")).alias("fired"), "total"
+    at = F.date_trunc("millisecond", ts).cast(df.schema[ts].dataType).alias("_at")
+    moments = df.groupBy(key, at).agg(F.sum(value).alias("_sum"))
+    totals = moments.groupBy(F.col(key).alias("_key")).agg(
+        F.sum("_sum").alias("total"), F.ceil(F.count("*") / moments_per_task).alias("_copies")
     )
+    fired = (F.col("_at") + F.expr(f"INTERVAL {delay}")).alias("fired")
+    same_key = F.col(key).eqNullSafe(F.col("_key"))
+    large = totals.filter("_copies > 1").select(F.col("_key").alias("_large"), "_copies")
+    if large.isEmpty():
+        return moments.join(totals, same_key).select(key, fired, "total")
+    # at most one row of `large` per `moments_per_task` rows of the input
+    dealt = moments.join(F.broadcast(large), F.col(key).eqNullSafe(F.col("_large")), "left").withColumn(
+        "_part", F.pmod(F.xxhash64("_at"), F.coalesce("_copies", F.lit(1)))
+    )
+    copied = totals.select("_key", "total", F.explode(F.expr("sequence(0L, _copies - 1)")).alias("_copy"))
+    joined = dealt.drop("_copies").join(copied, same_key & (F.col("_part") == F.col("_copy")))
+    return joined.select(key, fired, "total")

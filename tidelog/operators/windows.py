@@ -147,7 +147,11 @@ def session_status_counts(
         .groupBy(key, "window_start", status)
         .agg(F.sum("_count").alias("status_count"))
     )
-    return counted.join(found, [key, "window_start"]).select(
+    ends = found.select(
+        F.col(key).alias("_key"), F.col("window_start").alias("_start"), "window_end", "window_count"
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("window_start") == F.col("_start"))
+    return counted.join(ends, same).select(
         key, "window_start", "window_end", "window_count", status, "status_count"
     )
 

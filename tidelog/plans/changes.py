@@ -133,6 +133,19 @@ def timers_at_end(spark, sf):
     )
 
 
+@query(
+    "d2_timers_at_end_hot_keys",
+    """
+    SELECT DISTINCT event_type, date_trunc('millisecond', ts) + INTERVAL 5 SECOND AS fired,
+      round(sum(value) OVER (PARTITION BY event_type), 4) AS total FROM events
+    """,
+)
+def timers_at_end_hot(spark, sf):
+    events = table(spark, sf, "events").select("event_type", "ts", "value")
+    out = r.timers_with_total(events, "event_type", "ts", "value", moments_per_task=few_rows(spark, sf))
+    return out.select("event_type", "fired", F.round("total", 4).alias("total"))
+
+
 @query(
     "k4_latest_per_org",
     "SELECT CAST(user_id % 10 AS VARCHAR) AS org, arg_max(ts, event_id) AS latest, "

@@ -37,7 +37,7 @@ SELECT page_id AS id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title
 """
 
 
-@query("v1_load_text", f"SELECT id, link, md5(text) AS digest, length(text) AS size FROM ({_BOOKS_SQL})")
+@query("v1_load_text", f"SELECT id, link, md5(text) AS digest, CAST(length(text) AS INTEGER) AS size FROM ({_BOOKS_SQL})")
 def load_text(spark, sf):
     loaded = d.load_text(_books(spark, sf).select("id", "link"), table(spark, sf, "pages"))
     return loaded.select("id", "link", F.md5("text").alias("digest"), F.length("text").alias("size"))

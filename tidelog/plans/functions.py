@@ -67,7 +67,7 @@ def abs_mod(spark, sf):
     return _events(spark, sf, s.abs_mod(F.col("user_id") - 75, 10).alias("rest"))
 
 
-@query("f6_add_length", "SELECT event_id, event_id + user_id AS added, length(event_type) AS size FROM events")
+@query("f6_add_length", "SELECT event_id, event_id + user_id AS added, CAST(length(event_type) AS INTEGER) AS size FROM events")
 def add_length(spark, sf):
     added = (F.col("event_id") + F.col("user_id")).alias("added")
     return _events(spark, sf, added, F.length("event_type").alias("size"))
@@ -75,8 +75,8 @@ def add_length(spark, sf):
 
 @query(
     "f7_split",
-    f"SELECT doc_id, len([w FOR w IN regexp_split_to_array(text, '{s.WHITESPACE}') IF w <> '']) AS words, "
-    "len(string_split(text, 'e')) AS pieces FROM documents",
+    f"SELECT doc_id, CAST(len([w FOR w IN regexp_split_to_array(text, '{s.WHITESPACE}') IF w <> '']) AS INTEGER) AS words, "
+    "CAST(len(string_split(text, 'e')) AS INTEGER) AS pieces FROM documents",
 )
 def split(spark, sf):
     return table(spark, sf, "documents").select(

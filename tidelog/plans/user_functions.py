@@ -81,7 +81,7 @@ def window_mean(spark, sf):
     return r.group(events, ["user_id", "window_start"], {"mean": F.round(F.avg("value"), 6)})
 
 
-@query("u1_scalar_udf", "SELECT page_id, length(url) AS size, contains(url, 'example') AS known FROM pages")
+@query("u1_scalar_udf", "SELECT page_id, CAST(length(url) AS INTEGER) AS size, contains(url, 'example') AS known FROM pages")
 def scalar_udf(spark, sf):
     size = udfs.scalar(len, "int")
     known = udfs.scalar(lambda url: "example" in url, "boolean")
@@ -98,7 +98,7 @@ def udf_with_setup(spark, sf):
     return table(spark, sf, "events").select("event_id", F.round(scaled("value"), 4).alias("scaled"))
 
 
-@query("u2_sql_functions", "SELECT page_id, length(url) AS size FROM pages WHERE contains(url, 'net')")
+@query("u2_sql_functions", "SELECT page_id, CAST(length(url) AS INTEGER) AS size FROM pages WHERE contains(url, 'net')")
 def sql_functions(spark, sf):
     udfs.register(spark)
     return spark.sql(

@@ -46,9 +46,9 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
     Only a local session may leave that setting empty.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = context.applicationId
