@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelog.llm import exact, tokens, warc
+from tidelog.llm import (
+    decontaminate,
+    disclosure,
+    exact,
+    lattice,
+    minhash,
+    mixing,
+    quality,
+    repeated,
+    tokens,
+    warc,
+)
 from tidelog.llm.registry import query, table
 from tidelog.session import work_dir
 
@@ -49,3 +60,119 @@ def op10_token_ids(spark, sf_dir):
     return tokens.checksums(tokens.read_tokens(spark, path)).select(
         "doc_id", "start", "n_tokens", F.col("ids_crc32")
     )
+
+
+@query("op7_quality")
+def op7_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(quality.training_rows(docs, table(spark, sf_dir, "labels")))
+    scored = quality.score_quality(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        (quality.fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query("op1_mixing")
+def op1_mixing(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rates, _ = mixing.mixed_rates(docs, labels)
+    posterior = [F.round(F.col("posterior")[n], 6).alias(f"p_{d}") for n, d in enumerate(mixing.TARGETS)]
+    return rates.select(
+        "doc_id", "n_tokens", *posterior, F.round("rate", 6).alias("rate"), mixing.copies("rate", "doc_id").alias("copies")
+    )
+
+
+@query("op5_personal_data")
+def op5_personal_data(spark, sf_dir):
+    return disclosure.find_personal_data(table(spark, sf_dir, "documents")).drop("sanitised")
+
+
+OP6_SQL = """
+WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'),
+                                       lambda w: w <> '') AS w FROM documents),
+bw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'),
+                                   lambda w: w <> '') AS w FROM benchmark),
+d AS (SELECT doc_id, len(w) AS n, CASE WHEN len(w) >= 5 THEN
+        list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+        ELSE ['< ' || array_to_string(w, ' ')] END AS marks FROM dw WHERE len(w) > 0),
+b AS (SELECT item_id, len(w) AS size, CASE WHEN len(w) >= 5 THEN
+        list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+        ELSE ['< ' || array_to_string(w, ' ')] END AS marks FROM bw WHERE len(w) > 0),
+dm AS (SELECT doc_id, n, unnest(marks) AS mark, unnest(range(0, len(marks))) AS p FROM d),
+bm AS (SELECT DISTINCT size, unnest(marks) AS mark, unnest(range(0, len(marks))) AS place FROM b),
+win AS (SELECT DISTINCT doc_id, size, greatest(0, least(p - place, n - size)) AS at FROM dm JOIN bm USING (mark)),
+cut AS (SELECT doc_id, at, size, unnest(marks[at + 1 : at + greatest(size - 4, 1)]) AS mark FROM win JOIN d USING (doc_id)),
+wc AS (SELECT doc_id, at, size, mark, count(*) AS c FROM cut GROUP BY ALL),
+wt AS (SELECT doc_id, at, size, sum(c) AS total FROM wc GROUP BY ALL),
+ic AS (SELECT item_id, size, mark, count(*) AS c FROM (SELECT item_id, size, unnest(marks) AS mark FROM b) GROUP BY ALL),
+it AS (SELECT item_id, sum(c) AS total FROM ic GROUP BY ALL),
+inter AS (SELECT doc_id, at, size, item_id, sum(least(wc.c, ic.c)) AS both FROM wc JOIN ic USING (size, mark) GROUP BY ALL),
+sim AS (SELECT doc_id, at, item_id, both / (wt.total + it.total - both) AS similarity
+        FROM inter JOIN wt USING (doc_id, at, size) JOIN it USING (item_id)),
+best AS (SELECT doc_id, arg_max({item_id: item_id, similarity: similarity, at: at}, (similarity, -item_id, -at)) AS b
+         FROM sim WHERE similarity >= 0.75 GROUP BY doc_id)
+SELECT doc_id, b IS NOT NULL AS contaminated, b.item_id AS item_id, round(b.similarity, 6) AS similarity, b.at AS at
+FROM documents LEFT JOIN best USING (doc_id)
+"""
+
+
+@query("op6_decontaminate", OP6_SQL)
+def op6_decontaminate(spark, sf_dir):
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "item_id", F.round("similarity", 6).alias("similarity"), "at")
+
+
+OP9_SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+    lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN ['< ' || array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END) AS mark FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y USING (mark)
+    WHERE x.doc_id < y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+    WHERE 100 * both >= 75 * (p.n + q.n - both)),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT a, b FROM edges UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.other = edges.a),
+least AS (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(least.least, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(least.least, doc_id)) AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+
+@query("op9_minhash", OP9_SQL)
+def op9_minhash(spark, sf_dir):
+    return minhash.near_groups(table(spark, sf_dir, "documents")).drop("row")
+
+
+OP2_SQL = """
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+           FROM documents),
+wins AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS at, w FROM d WHERE len(w) >= 35),
+keyed AS MATERIALIZED (SELECT doc_id, at, md5(array_to_string(w[at:at+34], ' ')) AS k FROM wins),
+again AS (SELECT doc_id, at FROM keyed WHERE k IN (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, at + unnest(range(0, 35)) AS p FROM again),
+lists AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+kept AS (SELECT doc_id, w, coalesce(len(ps), 0) AS n_removed,
+    CASE WHEN ps IS NULL THEN w ELSE list_transform(
+        list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(ps, i)), lambda i: w[i]) END AS left_words
+    FROM d LEFT JOIN lists USING (doc_id))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept
+"""
+
+
+@query("op2_substring_dedup", OP2_SQL)
+def op2_substring_dedup(spark, sf_dir):
+    found = repeated.without_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op4_lattice")
+def op4_lattice(spark, sf_dir):
+    return lattice.lattice_scores(table(spark, sf_dir, "documents"))

@@ -12,8 +12,10 @@ without doubled white space are cut there and the ids of each distinct piece are
 
 from __future__ import annotations
 
+import re
 import sys
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -36,18 +38,32 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+# letters of ASCII and Latin-1, then marks: the borders between them are borders of tokens
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_PLAIN = rf"( ?[{_LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)"
+
+
+def _byte_letters() -> dict[int, str]:
+    """For each byte its letter in byte-level vocabularies: printable ones stand for themselves."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
 class Encoder:
     """Ids of texts as the tokenizers library gives them, without special tokens."""
 
     def __init__(self, path: str):
-        import re
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.kept: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.newline = self._direct(["\n"])[0]
+        self.kept: dict[str, bytes] = {"\n": self.newline}
         self.doubled = re.compile(r"\s\s").search
+        self.plain = re.compile(_PLAIN).fullmatch
+        self.letters = _byte_letters()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -58,36 +74,52 @@ class Encoder:
         return found[path]
 
     def _direct(self, texts: Sequence[str]) -> list[bytes]:
-        return [
-            np.asarray(e.ids, dtype=np.uint32).tobytes()
-            for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
-        ]
+        """Ids by the library's whole way."""
+        found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _one(self, piece: str) -> bytes:
+        """Ids of a piece that is one token for the pre-tokenizer, from the library's model."""
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def _keep(self, piece: str, ids: bytes) -> bytes:
+        if len(self.kept) < KEPT_PIECES:
+            self.kept[piece] = ids
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece that is not kept. Words are kept without the marks after them."""
+        if "\n" in piece:  # a single one, as white space is not doubled
+            return self.newline.join([self._get(x) for x in piece.split("\n")])
+        parts = self.plain(piece)
+        if not parts:
+            return self._keep(piece, self._direct([piece])[0] if piece else b"")
+        word, marks = parts.groups()
+        kept = self.kept
+        ids = kept.get(word) or self._keep(word, self._one(word))
+        return ids + (kept.get(marks) or self._keep(marks, self._one(marks))) if marks else ids
+
+    def _get(self, piece: str) -> bytes:
+        ids = self.kept.get(piece)
+        return self._piece(piece) if ids is None else ids
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        cut: list[list[str] | None] = []
+        whole = [t for t in texts if self.doubled(t)]
+        direct = iter(self._direct(whole) if whole else [])
+        out, kept, piece = [], self.kept, self._piece
         for text in texts:
             if self.doubled(text):
-                cut.append(None)
-            else:
-                first, *rest = text.split(" ")
-                cut.append([first, *[" " + x for x in rest]])
-        kept = self.kept
-        new = dict.fromkeys(x for parts in cut if parts for x in parts if x not in kept)
-        if new:
-            found = dict(zip(new, self._direct(list(new)), strict=True))
-            if len(kept) < KEPT_PIECES:
-                kept.update(found)
-                new = {}
-            else:
-                new = found
-        whole = iter(self._direct([t for t, parts in zip(texts, cut, strict=True) if parts is None]))
-        if new:
-            return [
-                next(whole) if parts is None else b"".join([kept[x] if x in kept else new[x] for x in parts])
-                for parts in cut
-            ]
-        return [next(whole) if parts is None else b"".join([kept[x] for x in parts]) for parts in cut]
+                out.append(next(direct))
+                continue
+            first, *rest = text.split(" ")
+            parts = [self._get(first)]
+            for word in rest:
+                ids = kept.get(" " + word)
+                parts.append(piece(" " + word) if ids is None else ids)
+            out.append(b"".join(parts))
+        return out
 
 
 def encode_range(path: str, end_id: int):
