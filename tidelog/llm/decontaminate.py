@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.storage import store
+
 SHINGLE = 5
 SIMILARITY = 0.75
 BLOCKS = 12
@@ -37,8 +39,7 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
 
-def shingles(word: Column) -> Column:
-    """Hashes of the runs of five words, in order; of the whole if there are fewer; none without words."""
+def _shingles(word: Column) -> Column:
     runs = F.transform(
         F.sequence(F.lit(0), F.size(word) - SHINGLE),
         lambda i: F.xxhash64(*[F.get(word, i + j) for j in range(SHINGLE)]),
@@ -51,6 +52,18 @@ def shingles(word: Column) -> Column:
     )
 
 
+def shingled(text: Column) -> Column:
+    """(n, marks): the number of words, and hashes of the runs of five words, in order.
+
+    With fewer words the hash of the whole, without words none. The words are bound to a lambda's
+    variable, since an expression that is named several times would be worked out several times.
+    """
+    bound = F.transform(
+        F.array(words(text)), lambda w: F.struct(F.size(w).alias("n"), _shingles(w).alias("marks"))
+    )
+    return F.get(bound, F.lit(0))
+
+
 def simhash(marks: Column) -> Column:
     """64 bits: bit b is set if it is set in more than half of the marks."""
     bits = F.transform(
@@ -109,8 +122,8 @@ def _bounded(df: DataFrame, n: int) -> DataFrame:
 
 def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item_id, size, marks, bits) of the items that have a word."""
-    word = benchmark.select(F.col(id_col).cast("bigint").alias("item_id"), words(F.col(text_col)).alias("word"))
-    marks = word.select("item_id", F.size("word").alias("size"), shingles(F.col("word")).alias("marks"))
+    cut = benchmark.select(F.col(id_col).cast("bigint").alias("item_id"), shingled(F.col(text_col)).alias("cut"))
+    marks = cut.select("item_id", F.col("cut.n").alias("size"), F.col("cut.marks").alias("marks"))
     return marks.filter("size > 0").withColumn("bits", simhash(F.col("marks")))
 
 
@@ -118,7 +131,7 @@ def contaminated_windows(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY
 ) -> DataFrame:
     """(doc_id, hash, at, item_id, similarity): windows like an item; `hash` is that of the document's text."""
-    items = item_table(benchmark)
+    items = store(item_table(benchmark), "items").rows
     number = items.agg(F.sum(F.size("marks"))).first()[0] or 0
     placed = items.select(
         F.col("size").alias("size"),
@@ -130,11 +143,11 @@ def contaminated_windows(
         "mark",
         F.when(F.col("place") > 0, F.get("own", F.col("place") - 1)).alias("before"),
     ).distinct()
-    text = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("hash"), words(F.col(text_col)).alias("word")
+    cut = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("hash"), shingled(F.col(text_col)).alias("cut")
     )
-    marked = text.select("doc_id", "hash", F.size("word").alias("n"), shingles(F.col("word")).alias("marks"))
-    spread = marked.select("doc_id", "hash", "n", "marks", F.posexplode("marks").alias("p", "mark"))
+    spread = cut.select("doc_id", "hash", "cut", F.posexplode("cut.marks").alias("p", "mark"))
+    spread = spread.withColumns({"n": F.col("cut.n"), "marks": F.col("cut.marks")})
     met = spread.join(_bounded(placed, number), "mark")
     # one row for a run of shingles that follow each other in the item as in the document
     first = F.col("before").isNull() | (F.col("p") == 0) | (F.get("marks", F.col("p") - 1) != F.col("before"))
@@ -147,7 +160,7 @@ def contaminated_windows(
         "at",
         F.slice("marks", F.col("at") + 1, F.greatest(F.col("size") - (SHINGLE - 1), F.lit(1))).alias("window"),
     ).distinct()
-    printed = windows.withColumn("bits", simhash(F.col("window")))
+    printed = store(windows.withColumn("bits", simhash(F.col("window"))), "windows").rows
     probes = printed.select("*", F.inline(window_blocks("bits")))
     index = items.select(
         F.col("item_id"),

@@ -52,7 +52,7 @@ def shingle_sets(texts: pa.Array, n: int = SHINGLE) -> Iterator[np.ndarray]:
             elif b > a:
                 few = np.zeros(1, dtype=np.uint64)
                 for j in range(b - a):
-                    few += words.mark[a + j] * FACTORS[j]
+                    few += words.mark[a + j : a + j + 1] * FACTORS[j : j + 1]
                 yield mixed(few, 77 + b - a)
             else:
                 yield np.zeros(0, dtype=np.uint64)

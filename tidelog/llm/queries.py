@@ -103,18 +103,18 @@ b AS (SELECT item_id, len(w) AS size, CASE WHEN len(w) >= 5 THEN
         ELSE ['< ' || array_to_string(w, ' ')] END AS marks FROM bw WHERE len(w) > 0),
 dm AS (SELECT doc_id, n, unnest(marks) AS mark, unnest(range(0, len(marks))) AS p FROM d),
 bm AS (SELECT DISTINCT size, unnest(marks) AS mark, unnest(range(0, len(marks))) AS place FROM b),
-win AS (SELECT DISTINCT doc_id, size, greatest(0, least(p - place, n - size)) AS at FROM dm JOIN bm USING (mark)),
-cut AS (SELECT doc_id, at, size, unnest(marks[at + 1 : at + greatest(size - 4, 1)]) AS mark FROM win JOIN d USING (doc_id)),
-wc AS (SELECT doc_id, at, size, mark, count(*) AS c FROM cut GROUP BY ALL),
-wt AS (SELECT doc_id, at, size, sum(c) AS total FROM wc GROUP BY ALL),
+win AS (SELECT DISTINCT doc_id, size, greatest(0, least(p - place, n - size)) AS pos FROM dm JOIN bm USING (mark)),
+cut AS (SELECT doc_id, pos, size, unnest(marks[pos + 1 : pos + greatest(size - 4, 1)]) AS mark FROM win JOIN d USING (doc_id)),
+wc AS (SELECT doc_id, pos, size, mark, count(*) AS c FROM cut GROUP BY ALL),
+wt AS (SELECT doc_id, pos, size, sum(c) AS total FROM wc GROUP BY ALL),
 ic AS (SELECT item_id, size, mark, count(*) AS c FROM (SELECT item_id, size, unnest(marks) AS mark FROM b) GROUP BY ALL),
 it AS (SELECT item_id, sum(c) AS total FROM ic GROUP BY ALL),
-inter AS (SELECT doc_id, at, size, item_id, sum(least(wc.c, ic.c)) AS both FROM wc JOIN ic USING (size, mark) GROUP BY ALL),
-sim AS (SELECT doc_id, at, item_id, both / (wt.total + it.total - both) AS similarity
-        FROM inter JOIN wt USING (doc_id, at, size) JOIN it USING (item_id)),
-best AS (SELECT doc_id, arg_max({item_id: item_id, similarity: similarity, at: at}, (similarity, -item_id, -at)) AS b
+inter AS (SELECT doc_id, pos, size, item_id, sum(least(wc.c, ic.c)) AS shared FROM wc JOIN ic USING (size, mark) GROUP BY ALL),
+sim AS (SELECT doc_id, pos, item_id, shared / (wt.total + it.total - shared) AS similarity
+        FROM inter JOIN wt USING (doc_id, pos, size) JOIN it USING (item_id)),
+best AS (SELECT doc_id, arg_max({item_id: item_id, similarity: similarity, pos: pos}, (similarity, -item_id, -pos)) AS b
          FROM sim WHERE similarity >= 0.75 GROUP BY doc_id)
-SELECT doc_id, b IS NOT NULL AS contaminated, b.item_id AS item_id, round(b.similarity, 6) AS similarity, b.at AS at
+SELECT doc_id, b IS NOT NULL AS contaminated, b.item_id AS item_id, round(b.similarity, 6) AS similarity, b.pos AS start_word
 FROM documents LEFT JOIN best USING (doc_id)
 """
 
@@ -122,7 +122,7 @@ FROM documents LEFT JOIN best USING (doc_id)
 @query("op6_decontaminate", OP6_SQL)
 def op6_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "contaminated", "item_id", F.round("similarity", 6).alias("similarity"), "at")
+    return found.select("doc_id", "contaminated", "item_id", F.round("similarity", 6).alias("similarity"), F.col("at").alias("start_word"))
 
 
 OP9_SQL = """
@@ -132,10 +132,10 @@ WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
 s AS MATERIALIZED (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN ['< ' || array_to_string(w, ' ')]
     ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END) AS mark FROM w),
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-pairs AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y USING (mark)
+pairs AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y USING (mark)
     WHERE x.doc_id < y.doc_id GROUP BY ALL),
 links AS MATERIALIZED (SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
-    WHERE 100 * both >= 75 * (p.n + q.n - both)),
+    WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
 edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(doc_id, other) AS (SELECT a, b FROM edges UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.other = edges.a),
 least AS (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id)
@@ -153,10 +153,10 @@ def op9_minhash(spark, sf_dir):
 OP2_SQL = """
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
            FROM documents),
-wins AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS at, w FROM d WHERE len(w) >= 35),
-keyed AS MATERIALIZED (SELECT doc_id, at, md5(array_to_string(w[at:at+34], ' ')) AS k FROM wins),
-again AS (SELECT doc_id, at FROM keyed WHERE k IN (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1)),
-gone AS (SELECT DISTINCT doc_id, at + unnest(range(0, 35)) AS p FROM again),
+wins AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS pos, w FROM d WHERE len(w) >= 35),
+keyed AS MATERIALIZED (SELECT doc_id, pos, md5(array_to_string(w[pos:pos+34], ' ')) AS k FROM wins),
+again AS (SELECT doc_id, pos FROM keyed WHERE k IN (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, pos + unnest(range(0, 35)) AS p FROM again),
 lists AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
 kept AS (SELECT doc_id, w, coalesce(len(ps), 0) AS n_removed,
     CASE WHEN ps IS NULL THEN w ELSE list_transform(
