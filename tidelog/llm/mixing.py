@@ -173,7 +173,7 @@ def fit_rates(
 def with_rates(kept: Stored, steps: list[list[float]], k: int) -> DataFrame:
     """The stored rows with `rate`."""
     rows = kept.rows
-    schema = rows.schema.add("rate", DoubleType())
+    schema = rows.select("*").schema.add("rate", DoubleType())
     at = rows.columns.index("posterior")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from tidelog.llm.storage import store
 from tidelog.llm.words import Words, mixed, pieces, words_of
@@ -70,7 +71,7 @@ def indicators(texts: pa.Array) -> Iterator[np.ndarray]:
 def with_indicators(rows: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows with a column `places` in the place of the text."""
     others = [c for c in rows.columns if c != text_col]
-    schema = rows.select(*others).schema.add("places", "array<int>")
+    schema = rows.select(*others).schema.add("places", ArrayType(IntegerType()))
     ordered = rows.select(*others, text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
