@@ -3,10 +3,75 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidelog.llm import decontaminate, minhash, mixing, quality, tokens
 from tidelog.llm.storage import store
+from tidelog.session import work_dir
 
-STAGES: list = []
+#: documents that score less are rejected
+LEAST_SCORE = 0.3
+#: shares of tokens that the mixture aims at, and tokens aimed at for each token there is
+TARGETS = {"clean": 0.98, "low": 0.005, "toxic": 0.015}
+BUDGET = 1.1
+
+
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The documents, written once, with a number for each row."""
+    return store(docs.withColumn("_number", F.monotonically_increasing_id()), name).rows
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject; it learns from labelled documents outside a fold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit_quality(quality.training_rows(docs, labels))
+    scored = quality.score_quality(docs, model, score_col="_score", keep_text=True)
+    return scored.filter(F.col("_score") >= LEAST_SCORE).select(*docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    numbered = _numbered(docs, "numbered")
+    groups = minhash.near_groups(numbered, number_col="_number")
+    stay = groups.filter("kept").select(F.col("row").alias("_number"))
+    return numbered.join(stay, "_number", "left_semi").select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold nothing like a benchmark item."""
+    return decontaminate.without_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture wants them.
+
+    The budget is a tenth more than there is, so that documents of the domain that is wanted most are
+    there at least once; those of the others may go.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    numbered = _numbered(docs, "numbered")
+    rates, _ = mixing.mixed_rates(numbered, labels, TARGETS, others=["_number"], budget=BUDGET)
+    often = rates.select("_number", mixing.copies("rate", "doc_id", "_number").alias("_copies"))
+    often = often.filter("_copies > 0")
+    repeated = numbered.join(often, "_number").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
+    return repeated.select(*docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in ORC files, read back: where each document is and a checksum of its ids."""
+    path = work_dir(spark, "tokens")
+    tokens.write_tokens(docs, path)
+    return tokens.checksums(tokens.read_tokens(spark, path))
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_copies", one_of_near_copies),
+    ("benchmark", without_benchmark),
+    ("mixture", mixed),
+    ("token_ids", token_ids),
+]
+#: models and tokenizers are not SQL
 ORACLE_SQL = None
 
 
@@ -15,4 +80,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir), name).rows
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -39,7 +39,7 @@ def test_a_slice_of_a_column_has_the_same_words():
     column = pa.array(["x y", None, "z", "u v w", ""])
     whole, part = words_of(column), words_of(column.slice(2, 2))
     assert part.mark.tolist() == whole.mark[2:6].tolist()
-    assert list(pieces(column, 3)) == [(0, 2), (2, 3), (3, 5)]
+    assert list(pieces(column, 3)) == [(0, 2), (2, 3), (3, 4), (4, 5)]
 
 
 def test_runs_tell_order_and_stay_inside_a_text():

@@ -204,3 +204,13 @@ def contamination(
         F.col("best.similarity").alias("similarity"),
         (-F.col("best.at")).alias("at"),
     )
+
+
+def without_benchmark(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY
+) -> DataFrame:
+    """The rows of `docs` that hold nothing like an item, with all their columns."""
+    found = contaminated_windows(docs, benchmark, id_col, text_col, least)
+    found = found.select(F.col("doc_id").alias("_d"), F.col("hash").alias("_h")).distinct()
+    same = docs[id_col].cast("bigint").eqNullSafe(F.col("_d")) & (F.xxhash64(docs[text_col]) == F.col("_h"))
+    return docs.join(found, same, "left_anti")

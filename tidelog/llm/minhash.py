@@ -107,7 +107,7 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low = [int(mixed(x, 1002).sum(dtype=np.uint64)) for x in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.arange(number, number + len(sets))),
+                    part.column(2) if part.num_columns > 2 else pa.array(np.arange(number, number + len(sets))),
                     part.column(0),
                     texts,
                     pa.array(sizes),
@@ -207,16 +207,27 @@ def _pair(x: str, y: str) -> list:
 
 
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 75
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least_percent: int = 75,
+    number_col: str | None = None,
 ) -> DataFrame:
     """(row, doc_id, n_shingles, component_id, kept), one row for each row of `docs`.
 
     Texts whose sets have at least `least_percent` of similarity are linked; `component_id` is the
     smallest id in reach. Empty texts (a null text is one) are linked with nothing. The row with the
     smallest id of a component is kept, one of those if rows repeat; a null id is larger than any other.
-    `row` is a number given to each row. Other columns are not read.
+    `row` is a number given to each row, or what `number_col` has, which must differ between rows.
+    Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    if number_col:
+        rows = docs.select(
+            F.col(id_col).cast("bigint").alias("doc_id"),
+            F.col(text_col).alias("text"),
+            F.col(number_col).cast("bigint").alias("number"),
+        )
     whole = store(rows.mapInArrow(_sketch, _SKETCHED), "sketches")
     docs_of = store(whole.rows.select("row", "doc_id", "n_shingles", "high", "low"), "sets").rows
     largest = F.lit((1 << 63) - 1)

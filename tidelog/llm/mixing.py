@@ -139,12 +139,12 @@ def _totals(kept: Stored, steps: list[list[float]], k: int, look_ahead: bool) ->
 
 
 def fit_rates(
-    kept: Stored, targets: Sequence[float], budget: float | None = None, steps: int = STEPS, tolerance: float = TOLERANCE
+    kept: Stored, targets: Sequence[float], budget: float = 1.0, steps: int = STEPS, tolerance: float = TOLERANCE
 ) -> tuple[list[list[float]], np.ndarray]:
     """(the steps to replay, expected tokens of each domain at the end).
 
-    The objective is half the squared miss of the domains' shares of the budget, which defaults to
-    all tokens. A step's length is the inverse of the largest curvature, from the sums of products of
+    The objective is half the squared miss of the domains' shares; `budget` is the tokens aimed at for
+    each token there is. A step's length is the inverse of the largest curvature, from the sums of products of
     posteriors. It ends when the largest miss is below the tolerance, or no step helps any more.
     """
     k = len(targets)
@@ -156,9 +156,9 @@ def fit_rates(
     ]
     row = kept.rows.agg(F.sum("n_tokens").alias("n"), *products).first()
     tokens = float(row["n"] or 0)
-    budget = tokens if budget is None else float(budget)
+    budget *= tokens
     history: list[list[float]] = []
-    if not tokens or not budget:
+    if not budget:
         return history, np.zeros(k)
     gram = np.array([[row[f"p{i}_{j}"] for j in range(k)] for i in range(k)]) / budget
     length = 1.0 / max(float(np.linalg.eigvalsh(gram)[-1]), 1e-12)
@@ -201,19 +201,25 @@ TARGETS = {"clean": 0.90, "low": 0.07, "toxic": 0.03}
 
 
 def mixed_rates(
-    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, others: Sequence[str] = ()
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: dict[str, float] | None = None,
+    others: Sequence[str] = (),
+    budget: float = 1.0,
 ) -> tuple[DataFrame, dict[str, float]]:
     """(doc_id, n_tokens, posterior, rate) and the expected tokens of each domain.
 
     Every row of `docs` gets a row, repeated rows the same rate. Labels that are repeated for an id
-    count once. `others` are columns of `docs` to carry along.
+    count once. `others` are columns of `docs` to carry along; the rest is not read. `budget` is the
+    tokens aimed at for each token there is. A null text has no tokens, and rates the prior's way.
     """
     targets = targets or TARGETS
     domains = list(targets)
-    label = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    label = labels.filter("doc_id is not null").groupBy("doc_id")
+    label = label.agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     known = docs.select("doc_id", "text").join(label.select("doc_id", domain_of().alias("domain")), "doc_id")
     model = fit_domains(known.select("text", "domain"), domains)
     scored = with_posteriors(docs.select(*dict.fromkeys(["doc_id", *others, "text"])), model)
     kept = store(scored, "posteriors")
-    steps, totals = fit_rates(kept, [targets[d] for d in domains])
+    steps, totals = fit_rates(kept, [targets[d] for d in domains], budget)
     return with_rates(kept, steps, len(domains)), dict(zip(domains, totals.tolist(), strict=True))
