@@ -1,5 +1,5 @@
 import pytest
-from conftest import PRICES, rows
+from conftest import LITRES, by_pump, rows, windowed
 from pyspark.sql import functions as F
 
 from tidelog.operators import windows
@@ -39,35 +39,29 @@ FAR = 10_000_000
 
 
 def test_windows_late_rows_and_closing(feed, tmp_path):
-    source = feed("name string, ms bigint, price double")
-    source.add(*[(name, ms, price) for ms, name, price in PRICES])
-    source.add(("Alice", 20_000, 1.0))
-    source.add(("Alice", 4_000, 99.0), ("Alice", 18_000, 5.0))  # behind the watermark; not yet behind it
-    source.add(("Alice", FAR, 0.0))
+    late, kept, closing = (4_000, "north", 99.0), (18_500, "north", 5.5), (20_000, "south", 1.0)
+    source = feed("ms bigint, name string, litres double")
+    source.add(*LITRES)
+    source.add(closing)
+    source.add(late, kept)  # behind the watermark; not yet behind it
+    source.add((FAR, "north", 0.0))
     timed = source.read().withColumn("ts", F.timestamp_millis("ms"))
     summed = windows.time_windows(
-        windows.watermarked(timed, "ts", "3 seconds"), ["name"], "ts", "5 seconds", {"total": F.sum("price")}
+        windows.watermarked(timed, "ts", "3 seconds"), ["name"], "ts", "5 seconds", {"total": F.sum("litres")}
     )
     got = run(summed, tmp_path).select("name", F.unix_seconds("window_start").alias("s"), "total")
-    assert rows(got) == [
-        ("Alice", 0, 130.1),
-        ("Alice", 10, 20.1),
-        ("Alice", 15, 5.0),
-        ("Alice", 20, 1.0),
-        ("Alice", 5, 13.1),
-        ("Bob", 0, 86.4),
-        ("Bob", 5, 16.1),
-    ]
+    want = [(*key, total) for key, total in windowed(5, data=[*LITRES, closing, kept]).items()]
+    assert rows(got) == sorted(want, key=repr)
 
 
 def test_session_stream(feed, tmp_path):
     source = feed("key string, ms bigint")
-    source.add(*[("hi", ms) for ms in (1, 2, 3, 4, 8, 9, 15)])
+    source.add(*[("a", ms) for ms in (2, 3, 6, 10, 11, 17, 30)])
     source.add(("other", FAR))
     timed = windows.watermarked(source.read().withColumn("ts", F.timestamp_millis("ms")), "ts")
     counted = windows.session_windows(timed, ["key"], "ts", "5 milliseconds", {"n": F.count("*")})
     got = run(counted, tmp_path).select("key", F.unix_millis("window_start"), F.unix_millis("window_end"), "n")
-    assert rows(got) == [("hi", 1, 14, 6), ("hi", 15, 20, 1)]
+    assert rows(got) == [("a", 17, 22, 1), ("a", 2, 16, 5), ("a", 30, 35, 1)]
 
 
 def test_status_counts_stream_equals_batch(spark, feed, tmp_path):
@@ -82,23 +76,26 @@ def test_status_counts_stream_equals_batch(spark, feed, tmp_path):
 
 
 def test_running_sum_state(feed, tmp_path):
-    source = feed("id bigint, name string, amount double")
-    amounts = [(n, name, price) for n, (_, name, price) in enumerate(
-        [(0, "Alice", 110.1), (0, "Bob", 30.2), (0, "Alice", 20.0), (0, "Bob", 53.1),
-         (0, "Alice", 13.1), (0, "Bob", 3.1), (0, "Bob", 16.1), (0, "Alice", 20.1)])]
-    source.add(*amounts[:3])
-    source.add(*amounts[3:])
-    out = run(state.running_reduce(source.read(), "name", "amount", "id", "string"), tmp_path)
-    got = [(k, round(t, 4)) for k, _, t in sorted(out.collect(), key=lambda x: (x[0], x[1]))]
-    assert [t for k, t in got if k == "Alice"] == [110.1, 130.1, 143.2, 163.3]
-    assert [t for k, t in got if k == "Bob"] == [30.2, 83.3, 86.4, 102.5]
+    """Rows in order of arrival, over two micro-batches, one of them without a number."""
+    source = feed("id bigint, name string, litres double")
+    numbered = [(n, pump, litres) for n, (_, pump, litres) in enumerate(LITRES)]
+    source.add(*numbered[:4], (100, "yard", None))
+    source.add(*numbered[4:], (101, "south", None))
+    out = run(state.running_reduce(source.read(), "name", "litres", "id", "string"), tmp_path)
+    got = sorted((k, i, t if t is None else round(t, 4)) for k, i, t in out.collect() if i < 100)
+    want, totals = [], {}
+    for n, pump, litres in numbered:
+        totals[pump] = totals.get(pump, 0) + litres
+        want.append((pump, n, round(totals[pump], 4)))
+    assert got == sorted(want)
+    assert {i: t for _, i, t in out.collect() if i >= 100} == {100: None, 101: totals["south"]}
 
 
 def test_state_expires(spark, feed, tmp_path):
     import time
 
     source = feed("id bigint, name string, amount double")
-    source.add((1, "Alice", 1.0))
+    source.add((1, "lock", 1.0))
     sums = state.running_reduce(source.read(), "name", "amount", "id", "string", ttl_ms=2_000)
     path = str(tmp_path / "out")
 
@@ -108,41 +105,55 @@ def test_state_expires(spark, feed, tmp_path):
     for _ in range(2):
         jobs.run_until_idle(jobs.to_batches(sums, store, f"{path}-checkpoint", every="200 milliseconds"))
         time.sleep(3)
-        source.add((2, "Alice", 5.0))
+        source.add((2, "lock", 5.0))
     got = rows(spark.read.schema(sums.schema).parquet(path).select("id", "total"))
     assert got == [(1, 1.0), (2, 5.0)]
 
 
 def test_timers(feed, tmp_path):
-    source = feed("ms bigint, name string, price double")
-    source.add(*PRICES)
+    source = feed("ms bigint, name string, litres double")
+    source.add(*LITRES, (700, "yard", None))
     source.add((FAR, "far", 0.0))
     timed = windows.watermarked(source.read().withColumn("ts", F.timestamp_millis("ms")), "ts", "2 seconds")
-    out = run(state.sum_on_timer(timed, "name", "price", "ms", "string"), tmp_path)
-    assert rows(out.filter("key <> 'far'")) == sorted(
-        [("Alice", ms, 163.3) for ms in (6000, 8000, 10000, 15000)]
-        + [("Bob", ms, 102.5) for ms in (7000, 8000, 9000, 12000)],
-        key=repr,
-    )
+    out = run(state.sum_on_timer(timed, "name", "litres", "ms", "string"), tmp_path)
+    want = [
+        (pump, ms, round(sum(v for _, _, v in data), 4))
+        for pump, data in by_pump().items()
+        for ms in {ms + 5000 for ms, _, _ in data} | ({5700} if pump == "yard" else set())
+    ]
+    assert rows(out.filter("key <> 'far'")) == sorted(want, key=repr)
 
 
-def test_count_window_and_max_over_preceding(feed, tmp_path):
-    pairs = feed("v double, key string, ms bigint, id bigint")
-    data = [(1, "hi"), (2, "hello"), (3, "hi"), (4, "hello"), (5, "hi"), (6, "hello"), (6, "hello")]
-    pairs.add(*[(float(v), k, 10 * v, i) for i, (v, k) in enumerate(data[:4])])
-    pairs.add(*[(float(v), k, 10 * v, 4 + i) for i, (v, k) in enumerate(data[4:])])
+def test_count_window_and_missing_numbers(feed, tmp_path):
+    pairs = feed("v double, key string")
+    numbers = {"a": [4.0, None, 1.5, 2.0, 8.0], "b": [None, None, 3.0], "c": [7.0]}
+    rows_in = [(v, k) for k, values in numbers.items() for v in values]
+    pairs.add(*rows_in[:4])
+    pairs.add(*rows_in[4:])
     out = run(state.count_window_sums(pairs.read(), "key", "v", 2, "string"), tmp_path)
-    assert rows(out) == [("hello", 12.0), ("hello", 6.0), ("hi", 4.0)]
+    assert rows(out) == sorted([("a", 4.0), ("a", 3.5), ("b", None)], key=repr)
+
+
+def test_top_values_and_missing_numbers(feed, tmp_path):
+    source = feed("v double, key string")
+    source.add((4.0, "a"), (None, "a"), (9.5, "a"), (None, "b"))
+    out = state.top_values(source.read(), "key", "v", 2, "string")
+    path = str(tmp_path / "top")
+    jobs.upsert(out, path, ["key", "rank"], f"{path}-c").awaitTermination()
+    assert rows(KeyedTable(source.spark, path, ["key", "rank"]).read()) == [("a", 1, 9.5), ("a", 2, 4.0)]
 
 
 def test_max_over_preceding_out_of_order(feed, tmp_path):
-    source = feed("ms bigint, name string, price double, id bigint")
-    source.add(*[(*p, i) for i, p in enumerate(PRICES)])
+    source = feed("ms bigint, name string, litres double, id bigint")
+    source.add(*[(*p, i) for i, p in enumerate(LITRES)], (14_000, "yard", None, 50))
     source.add((FAR, "far", 0.0, 100))
     timed = windows.watermarked(source.read().withColumn("ts", F.timestamp_millis("ms")), "ts", "3 seconds")
-    out = run(state.max_over_preceding(timed, "name", "price", "ms", "id", "string"), tmp_path)
-    got = sorted((x for x in out.collect() if x[0] != "far"), key=lambda x: (x[0], x[2]))
-    assert [round(x[3], 4) for x in got] == [110.1, 110.1, 110.1, 20.1, 53.1, 53.1, 53.1, 30.2]
+    out = run(state.max_over_preceding(timed, "name", "litres", "ms", "id", "string"), tmp_path)
+    got = sorted((x[0], x[2], x[3]) for x in out.collect() if x[0] != "far")
+    want = [("yard", 14_000, 2.0)]
+    for pump, data in by_pump(key=lambda n, row: row[0]).items():
+        want += [(pump, ms, max(v for _, _, v in data[max(0, n - 2) : n + 1])) for n, (ms, _, _) in enumerate(data)]
+    assert got == sorted(want)
 
 
 def test_upserts_survive_a_restart(spark, feed, tmp_path):
@@ -206,15 +217,15 @@ def test_snapshots(spark, feed, tmp_path):
 
 def test_fan_out_and_report(spark, feed, tmp_path):
     source = feed("id bigint, data string")
-    source.add((1, "Hello"), (2, "World"), (3, "Blink"), (4, "PyBlink"))
+    source.add((5, "buoy"), (6, "anchor"), (7, "buoy chain"), (8, None), (9, "red buoy"))
     low, named = str(tmp_path / "low"), str(tmp_path / "named")
     branches = {
-        low: lambda b: b.filter("id <= 3"),
-        named: lambda b: b.filter(F.col("data").contains("Blink")),
+        low: lambda b: b.filter("id < 7"),
+        named: lambda b: b.filter(F.col("data").contains("buoy")),
     }
     jobs.fan_out(source.read(), branches, str(tmp_path / "c")).awaitTermination()
-    assert [r[0] for r in rows(spark.read.parquet(low).select("id"))] == [1, 2, 3]
-    assert [r[0] for r in rows(spark.read.parquet(named).select("id"))] == [3, 4]
+    assert [r[0] for r in rows(spark.read.parquet(low).select("id"))] == [5, 6]
+    assert [r[0] for r in rows(spark.read.parquet(named).select("id"))] == [5, 7, 9]
 
     counts = spark.createDataFrame([("o472", "/v2/test/", 1)], "x_org_uid string, ClientRequestURI string, url_count int")
     report = tmp_path / "report"
@@ -285,3 +296,71 @@ def test_console_sink(feed, tmp_path):
     query = jobs.to_console(source.read(), str(tmp_path / "c"))
     query.awaitTermination()
     assert query.exception() is None and query.lastProgress["numInputRows"] == 2
+
+
+def _sums(table):
+    return {k: n for k, n in rows(table.read())}
+
+
+def test_a_new_checkpoint_adds_to_what_is_there(spark, feed, tmp_path):
+    """Another checkpoint counts its micro-batches from 0 again, also after a compaction."""
+    path = str(tmp_path / "sums")
+    source = feed("k string, n bigint")
+    table = KeyedTable(spark, path, ["k"], {"n": "sum"})
+    source.add(("a", 1), ("b", 2))
+    for run_number, compacted in enumerate((False, True, False)):
+        jobs.upsert(
+            source.read(), path, ["k"], f"{path}-c{run_number}", {"n": "sum"}, mode="append"
+        ).awaitTermination()
+        assert _sums(table) == {"a": run_number + 1, "b": 2 * (run_number + 1)}
+        if compacted:
+            table.compact()
+            assert _sums(table) == {"a": run_number + 1, "b": 2 * (run_number + 1)}
+
+
+def test_snapshots_and_branches_of_a_new_checkpoint_stay_beside_the_old(spark, feed, tmp_path):
+    source = feed("k string")
+    source.add(("a",), ("b",))
+    counts, copies = str(tmp_path / "counts"), str(tmp_path / "copies")
+    for n in range(2):
+        jobs.snapshots(source.read().groupBy("k").count(), counts, f"{counts}-c{n}").awaitTermination()
+        jobs.fan_out(source.read(), {copies: lambda b: b}, f"{copies}-c{n}").awaitTermination()
+    assert spark.read.parquet(counts).select("snapshot_id").distinct().count() == 2
+    assert spark.read.parquet(copies).count() == 4
+
+
+def test_a_replayed_batch_counts_once(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["k"], {"n": "sum"})
+    batch = spark.createDataFrame([("a", 1)], "k string, n bigint")
+    for number in range(4):
+        table.upsert(batch, number, "writer")
+    table.compact()
+    table.upsert(batch, 3, "writer")
+    assert _sums(table) == {"a": 4}
+
+
+def test_many_batches_leave_few_to_merge(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = KeyedTable(spark, path, ["k"], {"n": "sum"})
+    batch = spark.createDataFrame([("a", 1)], "k string, n bigint").coalesce(1)
+    for number in range(30):
+        table.upsert(batch, number, "writer")
+        if table.open_batches() >= 10:
+            table.compact()
+        assert table.open_batches() < 10
+    assert _sums(table) == {"a": 30}
+    assert len(list((tmp_path / "t" / "batches").glob("batch=*"))) <= 20
+    assert len(list((tmp_path / "t" / "bases").glob("upto=*"))) <= 2
+
+
+def test_deletes(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["k"], sequence=["seq"], deleted="op = 'D'")
+    schema = "k string, v int, seq int, op string"
+    table.upsert(spark.createDataFrame([("a", 1, 1, "I"), ("b", 1, 2, "I")], schema), 0)
+    table.upsert(spark.createDataFrame([("a", None, 5, "D"), ("b", 7, 6, None)], schema), 1)
+    table.upsert(spark.createDataFrame([("a", 9, 4, "U")], schema), 2)  # older than the delete
+    for _ in range(2):
+        assert rows(table.rows().select("k", "v")) == [("b", 7)]
+        table.compact()
+    table.upsert(spark.createDataFrame([("a", 3, 8, "I")], schema), 3)
+    assert rows(table.rows().select("k", "v")) == [("a", 3), ("b", 7)]

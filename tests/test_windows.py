@@ -1,6 +1,7 @@
 from datetime import datetime
+from statistics import fmean
 
-from conftest import rows
+from conftest import by_pump, rows, windowed
 from pyspark.sql import functions as F
 
 from tidelog.operators import ordered, windows
@@ -9,8 +10,6 @@ from tidelog.plans.registry import edge_message
 from tidelog.plans.user_functions import MEAN
 from tidelog.sources.messages import edge_log, with_edge_columns
 
-SUM = {"total": ("sum", "price")}
-
 
 def seconds(df, *columns):
     """Window bounds in whole seconds since the epoch."""
@@ -26,123 +25,117 @@ def moments(spark, pairs):
     return df.withColumn("ts", F.timestamp_millis("ms"))
 
 
-def test_tumbling_sum(prices):
-    out = windows.time_windows(prices, ["name"], "ts", "5 seconds", {"total": F.sum("price")})
-    assert rows(seconds(out, "name", "window_start", "window_end", "total")) == [
-        ("Alice", 0, 5, 130.1),
-        ("Alice", 10, 15, 20.1),
-        ("Alice", 5, 10, 13.1),
-        ("Bob", 0, 5, 86.4),
-        ("Bob", 5, 10, 16.1),
-    ]
+def test_tumbling_sum(litres):
+    out = windows.time_windows(litres, ["pump"], "ts", "5 seconds", {"total": F.sum("litres")})
+    want = [(pump, start, start + 5, total) for (pump, start), total in windowed(5).items()]
+    assert rows(seconds(out, "pump", "window_start", "window_end", "total")) == sorted(want, key=repr)
 
 
-def test_mean_in_windows(prices):
-    keyed = prices.withColumn("start", F.window("ts", "5 seconds")["start"]).withColumnRenamed("price", "value")
-    out = r.user_aggregate(keyed, ["name", "start"], ["value"], MEAN)
-    assert rows(out.select("name", F.unix_seconds("start"), "mean")) == [
-        ("Alice", 0, 65.05),
-        ("Alice", 10, 20.1),
-        ("Alice", 5, 13.1),
-        ("Bob", 0, 28.8),
-        ("Bob", 5, 16.1),
-    ]
+def test_mean_in_windows(litres):
+    keyed = litres.withColumn("start", F.window("ts", "5 seconds")["start"]).withColumnRenamed("litres", "value")
+    out = r.user_aggregate(keyed, ["pump", "start"], ["value"], MEAN)
+    want = [(*key, mean) for key, mean in windowed(5, fold=fmean).items()]
+    assert rows(out.select("pump", F.unix_seconds("start"), "mean")) == sorted(want, key=repr)
 
 
-def test_sliding_sum(prices):
-    out = windows.time_windows(prices, ["name"], "ts", "5 seconds", {"total": F.sum("price")}, "2 seconds")
-    got = {(n, s): t for n, s, t in rows(seconds(out, "name", "window_start", "total"))}
-    alice = {-2: 110.1, 0: 130.1, 2: 33.1, 4: 13.1, 6: 20.1, 8: 20.1, 10: 20.1}
-    bob = {-2: 53.1, 0: 86.4, 2: 86.4, 4: 46.3, 6: 16.1}
-    assert got == {("Alice", s): t for s, t in alice.items()} | {("Bob", s): t for s, t in bob.items()}
+def test_sliding_sum(litres):
+    out = windows.time_windows(litres, ["pump"], "ts", "6 seconds", {"total": F.sum("litres")}, "3 seconds")
+    got = {(n, s): t for n, s, t in rows(seconds(out, "pump", "window_start", "total"))}
+    assert got == windowed(6, 3)
 
 
-def test_session_sum(spark):
-    data = [
-        (1000, "Alice", 110.1),
-        (4000, "Bob", 30.2),
-        (3000, "Alice", 20.0),
-        (2000, "Bob", 53.1),
-        (8000, "Bob", 16.1),
-        (10000, "Alice", 20.1),
-    ]
-    df = spark.createDataFrame(data, "ms bigint, name string, price double")
-    df = df.withColumn("ts", F.timestamp_millis("ms"))
-    want = [("Alice", 1, 8, 130.1), ("Alice", 10, 15, 20.1), ("Bob", 2, 13, 99.4)]
+def test_session_sum(litres):
+    want = []
+    for pump, data in by_pump(key=lambda n, row: row[0]).items():
+        open_rows = []
+        for ms, _, value in [*data, (10**9, pump, 0.0)]:
+            if open_rows and ms - open_rows[-1][0] > 3500:
+                want.append((pump, open_rows[0][0], open_rows[-1][0] + 3500, round(sum(v for _, v in open_rows), 4)))
+                open_rows = []
+            open_rows.append((ms, value))
     for most in (1, 1_000):
-        out = ordered.sessions(df, ["name"], "ts", "5 seconds", SUM, most)
-        assert rows(seconds(out, "name", "window_start", "window_end", "total")) == sorted(want, key=repr)
+        out = ordered.sessions(litres, ["pump"], "ts", "3500 milliseconds", {"total": ("sum", "litres")}, most)
+        assert rows(millis(out, "pump", "window_start", "window_end", "total")) == sorted(want, key=repr)
 
 
 def test_millisecond_windows(spark):
     count = {"n": F.count("*")}
     tumble = moments(
         spark,
-        [("hi", 1), ("helo", 1), ("helo", 6)] + [("hi", ms) for ms in (2, 3, 4, 5, 8, 9, 15)],
+        [("b", 3), ("b", 17)] + [("a", ms) for ms in (0, 4, 5, 6, 11, 12, 13, 22)],
     )
     out = windows.time_windows(tumble, ["key"], "ts", "5 milliseconds", count)
     assert rows(millis(out, "key", "window_start", "n")) == [
-        ("helo", 0, 1),
-        ("helo", 5, 1),
-        ("hi", 0, 4),
-        ("hi", 15, 1),
-        ("hi", 5, 3),
+        ("a", 0, 2),
+        ("a", 10, 3),
+        ("a", 20, 1),
+        ("a", 5, 2),
+        ("b", 0, 1),
+        ("b", 15, 1),
     ]
-    slide = moments(spark, [("hi", ms) for ms in (1, 2, 3, 4, 5, 8, 9, 15)])
-    out = windows.time_windows(slide, ["key"], "ts", "5 milliseconds", count, "2 milliseconds")
-    got = dict(rows(millis(out, "window_start", "n")))
-    assert got == {-2: 2, 0: 4, 2: 4, 4: 3, 6: 2, 8: 2, 12: 1, 14: 1}
+    steps = (0, 4, 5, 6, 11, 12, 13, 22)
+    slide = moments(spark, [("a", ms) for ms in steps])
+    out = windows.time_windows(slide, ["key"], "ts", "6 milliseconds", count, "4 milliseconds")
+    held = {start: sum(start <= ms < start + 6 for ms in steps) for start in range(-8, 28, 4)}
+    assert dict(rows(millis(out, "window_start", "n"))) == {start: n for start, n in held.items() if n}
 
 
 def test_millisecond_sessions(spark):
     count = {"n": ("count", F.lit(1))}
-    df = moments(spark, [("hi", ms) for ms in (1, 2, 3, 4, 8, 9, 15)])
+    df = moments(spark, [("a", ms) for ms in (2, 3, 6, 10, 11, 17, 30)])
     gap = F.concat(F.col("ms").cast("string"), F.lit(" milliseconds"))
-    touching = moments(spark, [("hi", 0), ("hi", 5)])
+    touching = moments(spark, [("a", 20), ("a", 25)])
     for most in (1, 1_000):
         out = ordered.sessions(df, ["key"], "ts", "5 milliseconds", count, most)
-        assert rows(millis(out, "window_start", "window_end", "n")) == [(1, 14, 6), (15, 20, 1)]
+        assert rows(millis(out, "window_start", "window_end", "n")) == [(17, 22, 1), (2, 16, 5), (30, 35, 1)]
         out = ordered.sessions(df, ["key"], "ts", gap, count, most)
-        assert rows(millis(out, "window_start", "window_end", "n")) == [(1, 30, 7)]
+        assert rows(millis(out, "window_start", "window_end", "n")) == [(2, 60, 7)]
         out = ordered.sessions(touching, ["key"], "ts", "5 milliseconds", count, most)
-        assert rows(millis(out, "window_start", "window_end", "n")) == [(0, 10, 2)]
+        assert rows(millis(out, "window_start", "window_end", "n")) == [(20, 30, 2)]
 
 
-def test_count_window(spark):
-    pairs = [(1, "hi"), (2, "hello"), (3, "hi"), (4, "hello"), (5, "hi"), (6, "hello"), (6, "hello")]
-    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "seq int, v int, key string")
-    out = ordered.count_windows(df, ["key"], ["seq"], 2, {"s": F.sum("v")})
-    assert rows(out.select("key", "s")) == [("hello", 12), ("hello", 6), ("hi", 4)]
+def test_count_window(litres):
+    out = ordered.count_windows(litres, ["pump"], ["seq"], 3, {"s": F.sum("litres")})
+    want = [
+        (pump, round(sum(v for _, _, v in data[n : n + 3]), 4))
+        for pump, data in by_pump().items()
+        for n in range(0, len(data) - 2, 3)
+    ]
+    assert rows(out.select("pump", "s")) == sorted(want, key=repr)
 
 
-def test_max_over_two_preceding(prices):
+def test_max_over_two_preceding(litres):
+    want = []
+    for pump, data in by_pump(key=lambda n, row: row[0]).items():
+        want += [(pump, ms, max(v for _, _, v in data[max(0, n - 2) : n + 1])) for n, (ms, _, _) in enumerate(data)]
     for most in (1, 1_000):
-        out = ordered.over_preceding(prices, ["name"], ["ts", "seq"], 2, {"top": F.max("price")}, most)
-        got = out.orderBy("name", "ts").select("top").collect()
-        assert [round(x[0], 4) for x in got] == [110.1, 110.1, 110.1, 20.1, 53.1, 53.1, 53.1, 30.2]
+        out = ordered.over_preceding(litres, ["pump"], ["ts", "seq"], 2, {"top": F.max("litres")}, most)
+        assert rows(out.select("pump", "ms", "top")) == sorted(want, key=repr)
 
 
-def test_sum_per_row(spark):
-    data = [(i, name, price) for i, (_, name, price) in enumerate(
-        [(0, "Alice", 110.1), (0, "Bob", 30.2), (0, "Alice", 20.0), (0, "Bob", 53.1),
-         (0, "Alice", 13.1), (0, "Bob", 3.1), (0, "Bob", 16.1), (0, "Alice", 20.1)]
-    )]
-    df = spark.createDataFrame(data, "seq int, name string, amount double")
+def test_sum_per_row(litres):
+    want = [
+        (pump, round(sum(v for _, _, v in data[: n + 1]), 4))
+        for pump, data in by_pump().items()
+        for n in range(len(data))
+    ]
     for most in (1, 1_000):
-        out = ordered.running(df, ["name"], ["seq"], {"total": ("sum", "amount")}, max_rows_per_task=most)
-        got = out.orderBy("name", "seq").select("total").collect()
-        assert [round(x[0], 4) for x in got] == [110.1, 130.1, 143.2, 163.3, 30.2, 83.3, 86.4, 102.5]
-
-
-def test_timers_at_end(prices):
-    nameless = prices.filter("name = 'Bob'").withColumn("name", F.lit(None).cast("string"))
+        out = ordered.running(litres, ["pump"], ["seq"], {"total": ("sum", "litres")}, max_rows_per_task=most)
+        got = out.orderBy("pump", "seq").select("pump", "total").collect()
+        assert [(x[0], round(x[1], 4)) for x in got] == sorted(want, key=lambda x: x[0])
+
+
+def test_timers_at_end(litres):
+    nameless = litres.filter("pump = 'south'").withColumn("pump", F.lit(None).cast("string"))
+    want = [
+        (name, ms, round(sum(v for _, _, v in data), 4))
+        for pump, data in by_pump().items()
+        for name in ([pump, None] if pump == "south" else [pump])
+        for ms in {ms + 5000 for ms, _, _ in data}
+    ]
     for most in (1, 3, 1_000):
-        out = r.timers_with_total(prices.unionByName(nameless), "name", "ts", "price", moments_per_task=most)
-        assert rows(out.select("name", F.unix_millis("fired"), "total")) == sorted(
-            [("Alice", ms, 163.3) for ms in (6000, 8000, 10000, 15000)]
-            + [(name, ms, 102.5) for name in ("Bob", None) for ms in (7000, 8000, 9000, 12000)],
-            key=repr,
-        )
+        out = r.timers_with_total(litres.unionByName(nameless), "pump", "ts", "litres", moments_per_task=most)
+        assert rows(out.select("pump", F.unix_millis("fired"), "total")) == sorted(want, key=repr)
 
 
 LOGS = [

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 # Fixed value: the characters Python's str.split() treats as blank.
 WHITESPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
-# Fixed value: the forms of ISO-8601 date-times that are accepted.
-ISO_DATE_TIME = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
-)
+# The forms of ISO-8601 dates, times of day and zones that are accepted.
+_DATE = r"(\d{4}-\d{2}-\d{2}|\d{8})"
+_TIME = r"(\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
+_ZONE = r"(Z|[+-]\d{2}(?::?\d{2})?)"
+ISO_DATE_TIME = f"^{_DATE}(?:[T ]{_TIME}{_ZONE}?)?$"
 
 
 def _column(value: Column | str) -> Column:
@@ -21,7 +22,10 @@ def _column(value: Column | str) -> Column:
 
 
 def json_value(column: Column | str, path: str) -> Column:
-    """The scalar at a JSON path as text; NULL for a missing path, an object, an array or bad JSON."""
+    """The scalar at a JSON path as text; NULL for a missing path, an object, an array or bad JSON.
+
+    What follows a complete object is not looked at.
+    """
     column = _column(column)
     text = F.get_json_object(column, path)
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(column), path, "variant"))
@@ -49,21 +53,35 @@ def message(column: Column | str) -> Column:
     return F.concat(F.lit("Message: "), _column(column))
 
 
+def _iso_day(column: Column) -> Column:
+    digits = F.translate(F.regexp_extract(column, ISO_DATE_TIME, 1), "-", "")
+    return F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
+
+
 def iso_timestamp(column: Column | str, millis: bool = True) -> Column:
     """ISO-8601 text to a point in time. `Z` and no zone mean UTC; bad text gives NULL.
 
-    The session time zone must be UTC. With `millis` the time is cut to milliseconds.
+    Extended and compact forms are read, with hours alone or more, and fractions of any
+    length, which are cut to microseconds. The session time zone must be UTC. With `millis`
+    the time is cut to milliseconds.
     """
     column = _column(column)
-    text = F.when(column.rlike(ISO_DATE_TIME), F.replace(column, F.lit(","), F.lit(".")))
-    parsed = F.try_to_timestamp(text)
+    time = F.regexp_extract(column, ISO_DATE_TIME, 2)
+    digits = F.translate(F.regexp_extract(time, r"^[\d:]+", 0), ":", "")
+    whole = F.rpad(digits, 6, "0")
+    clock = F.concat_ws(":", F.substring(whole, 1, 2), F.substring(whole, 3, 2), F.substring(whole, 5, 2))
+    fraction = F.rpad(F.substring(F.regexp_extract(time, r"[.,](\d+)$", 1), 1, 6), 6, "0")
+    zone = F.regexp_replace(F.regexp_extract(column, ISO_DATE_TIME, 3), r"^([+-]\d{2}):?(\d{2})?$", "$1:$2")
+    zone = F.when(zone.endswith(":"), F.concat(zone, F.lit("00"))).otherwise(zone)
+    text = F.concat(_iso_day(column), F.lit(" "), clock, F.lit("."), fraction, zone)
+    parsed = F.when(column.rlike(ISO_DATE_TIME), F.try_to_timestamp(text))
     return F.date_trunc("MILLISECOND", parsed) if millis else parsed
 
 
 def iso_date(column: Column | str) -> Column:
     """The calendar date written in an ISO-8601 text, in the text's own zone; bad text gives NULL."""
     column = _column(column)
-    return F.when(iso_timestamp(column, millis=False).isNotNull(), F.substring(column, 1, 10))
+    return F.when(iso_timestamp(column, millis=False).isNotNull(), _iso_day(column))
 
 
 def utc_millis(column: Column | str, pattern: str = "yyyy-MM-dd'T'HH:mm:ss'Z'") -> Column:

@@ -71,11 +71,16 @@ def apply_changes(
     op: str = OP,
     deletes: Sequence[str] = ("D", DELETE),
 ) -> DataFrame:
-    """The table a keyed change feed leads to: the newest change per key, unless it deletes."""
+    """The table a keyed change feed leads to: the newest change per key, unless it deletes.
+
+    Withdrawn values (`-U`) are left out, since the new value beside them has the same place in
+    the sequence. A NULL op is a change like any other.
+    """
     rest = [c for c in feed.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(*sequence)).alias("_newest")
-    table = feed.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
-    return table.filter(~F.col(op).isin(*deletes)).drop(op)
+    changes = feed.filter(~F.col(op).eqNullSafe(UPDATE_BEFORE))
+    table = changes.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
+    return table.filter(~F.coalesce(F.col(op).isin(*deletes), F.lit(False))).drop(op)
 
 
 def change_documents(changes: DataFrame, columns: Sequence[str], op: str = OP) -> DataFrame:

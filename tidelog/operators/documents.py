@@ -10,12 +10,24 @@ from tidelog.functions.encode import embed
 from tidelog.functions.scalars import chunk_id, page_text, sha256
 
 
-def load_text(books: DataFrame, pages: DataFrame, link: str = "link") -> DataFrame:
-    """Add `text`: the readable text of the fetched page a book's link leads to."""
+def load_text(books: DataFrame, pages: DataFrame, link: str = "link", newest: str | None = "page_id") -> DataFrame:
+    """Add `text`: the readable text of the fetched page a book's link leads to.
+
+    Of a page that was fetched several times the one with the greatest `newest` column counts.
+    Books without a page are left out; `without_page` has them.
+    """
+    if newest is not None and newest in pages.columns:
+        pages = pages.groupBy("url").agg(F.max_by("html", newest).alias("html"))
     fetched = pages.select(F.col("url").alias("_url"), page_text("html").alias("text"))
     return books.join(fetched, F.col(link) == F.col("_url")).drop("_url")
 
 
+def without_page(books: DataFrame, pages: DataFrame, link: str = "link") -> DataFrame:
+    """The books whose link leads to no fetched page."""
+    fetched = pages.select(F.col("url").alias("_url"))
+    return books.join(fetched, F.col(link) == F.col("_url"), "left_anti")
+
+
 def chunk_rows(documents: DataFrame, chunks: Column | None = None, text: str = "text") -> DataFrame:
     """One row per chunk, numbered from 0; the text itself is not carried along."""
     chunks = fixed_chunks(text) if chunks is None else chunks

@@ -27,7 +27,7 @@ class _Best:
 
     def __init__(self, queries: np.ndarray, k: int):
         self.queries, self.k = queries, k
-        self.held = [(np.empty(0), np.empty(0, dtype=np.int64)) for _ in queries]
+        self.held = [(np.empty(0), None) for _ in queries]
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         for n, scores in enumerate(self.queries @ vectors.T):
@@ -35,8 +35,9 @@ class _Best:
             floor = best[-1] if len(best) == self.k else -np.inf
             better = scores >= floor
             scores = np.concatenate([best, scores[better]])
-            found = np.concatenate([best_ids, ids[better]])
-            order = np.lexsort((found, -scores))[: self.k]
+            found = ids[better] if best_ids is None else np.concatenate([best_ids, ids[better]])
+            order = np.argsort(found, kind="stable")
+            order = order[np.argsort(-scores[order], kind="stable")][: self.k]
             self.held[n] = scores[order], found[order]
 
     def rows(self, query_ids) -> pd.DataFrame:
@@ -44,6 +45,7 @@ class _Best:
             [
                 (query, found, score)
                 for query, (scores, ids) in zip(query_ids, self.held, strict=True)
+                if ids is not None
                 for score, found in zip(scores.tolist(), ids.tolist(), strict=True)
             ],
             columns=["query_id", "neighbour_id", "similarity"],
@@ -60,19 +62,19 @@ def cosine_top_k(
 ) -> DataFrame:
     """The `k` nearest rows of `collection` for each row of `queries`.
 
-    `queries` has (query_id, vector); ids of the collection are whole numbers. Up to
+    `queries` has (query_id, vector); ids of the collection are numbers or text. Up to
     `queries_per_block` queries are sent to all tasks, and the collection is read once
     without a shuffle. More queries are met block by block with parts of the
     collection. Either way a task hands on no more than `k` rows per query.
     """
-    rows = collection.select(F.col(id_column).cast("bigint").alias("_id"), F.col(vector).alias("_vector"))
+    rows = collection.select(F.col(id_column).alias("_id"), F.col(vector).alias("_vector"))
     wanted = queries.select("query_id", F.col("vector").alias("_query"))
     wanted = wanted.filter("_query IS NOT NULL")
-    rows = rows.filter("_vector IS NOT NULL")
+    rows = rows.filter("_vector IS NOT NULL AND _id IS NOT NULL")
     schema = T.StructType(
         [
             wanted.schema["query_id"],
-            T.StructField("neighbour_id", T.LongType()),
+            T.StructField("neighbour_id", rows.schema["_id"].dataType),
             T.StructField("similarity", T.DoubleType()),
         ]
     )

@@ -12,12 +12,16 @@ from tidelog.operators import relational as r
 from tidelog.plans.aggregates import _TOP2_SQL
 from tidelog.plans.registry import EPOCH, query, table
 
-# (count, sum) of a column, in parts
+def _add(state: tuple, rows: pd.DataFrame) -> tuple:
+    return state[0] + int(rows["value"].count()), state[1] + float(rows["value"].sum())
+
+
+# (count, sum) of a column, in parts; as in SQL, NULL is not counted and no value has no sum
 COUNT_SUM = r.UserAggregate(
     create=lambda: (0, 0.0),
-    accumulate=lambda state, rows: (state[0] + len(rows), state[1] + float(rows["value"].sum())),
+    accumulate=_add,
     merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
-    finish=lambda state: [state],
+    finish=lambda state: [(state[0], state[1] if state[0] else None)],
     state="cnt bigint, total double",
     output="cnt bigint, total double",
 )
@@ -25,9 +29,9 @@ COUNT_SUM = r.UserAggregate(
 # mean of a column, in parts
 MEAN = r.UserAggregate(
     create=lambda: (0, 0.0),
-    accumulate=COUNT_SUM.accumulate,
+    accumulate=_add,
     merge=COUNT_SUM.merge,
-    finish=lambda state: [(state[1] / state[0],)],
+    finish=lambda state: [(state[1] / state[0] if state[0] else None,)],
     state="cnt bigint, total double",
     output="mean double",
 )
@@ -133,16 +137,19 @@ def flat_map_rows(spark, sf):
     return udfs.map_rows(pages, parts, "page_id bigint, part string")
 
 
+def _stretch(state: tuple, rows: pd.DataFrame) -> tuple:
+    values = rows["value"].dropna()
+    if values.empty:
+        return state[0] + len(rows), state[1], state[2]
+    return state[0] + len(rows), min(state[1], float(values.min())), max(state[2], float(values.max()))
+
+
 # count and spread of the elements of a window, in parts
 SPREAD = r.UserAggregate(
     create=lambda: (0, float("inf"), float("-inf")),
-    accumulate=lambda s, rows: (
-        s[0] + len(rows),
-        min(s[1], float(rows["value"].min())),
-        max(s[2], float(rows["value"].max())),
-    ),
+    accumulate=_stretch,
     merge=lambda a, b: (a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])),
-    finish=lambda s: [(s[0], round(s[2] - s[1], 4))],
+    finish=lambda s: [(s[0], round(s[2] - s[1], 4) if s[1] <= s[2] else None)],
     state="n bigint, low double, high double",
     output="n bigint, spread double",
 )

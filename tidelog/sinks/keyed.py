@@ -1,10 +1,16 @@
 """A keyed table on plain files that takes upserts batch by batch.
 
-Each batch writes only its own changed rows, into a folder named after its number, and
+Each batch writes only its own changed rows, into a folder named after its version, and
 replaces that folder when it runs again. Reading merges the batches per key. So an
 upsert costs as much as its batch and not as much as the table, a replay adds nothing
 twice, and a batch that failed half way is not seen (its folder has no _SUCCESS mark).
-`compact` merges what is there into a base, which bounds the work of later reads.
+
+A version is the number of the writer and the number of its batch. Streaming queries are
+told apart by their id, which lives in the checkpoint: a query with a new checkpoint is
+another writer, whose batches follow those of the writers before it.
+
+`compact` merges what is there into a base, which bounds the work of later reads, and
+deletes what the base before covers; readers that began before still find their files.
 """
 
 from __future__ import annotations
@@ -18,13 +24,42 @@ from tidelog.operators.relational import latest_per_key
 
 _MERGES = {"sum": F.sum, "min": F.min, "max": F.max}
 _VERSION = "_version"
+_BATCHES = 10**9  # numbers of one writer
+
+
+def _folder(spark: SparkSession, name: str):
+    """(path classes, path, its file system) of a folder."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(name)
+    return hadoop, path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def version_of(spark: SparkSession, path: str, writer: str | None, batch: int) -> int:
+    """The version of a writer's batch; a writer seen for the first time gets the next number.
+
+    Without a writer, for a caller that counts its batches itself, the batch's own number.
+    """
+    if writer is None:
+        return batch
+    if batch >= _BATCHES:
+        raise ValueError(f"batch {batch} is beyond {_BATCHES}")
+    hadoop, folder, files = _folder(spark, f"{path.rstrip('/')}/_writers")
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    known = {name.split("=", 1)[1]: int(name.split("=", 1)[0]) for name in names}
+    if writer not in known:
+        known[writer] = max(known.values(), default=-1) + 1
+        files.mkdirs(hadoop.Path(folder, f"{known[writer]}={writer}"))
+    return known[writer] * _BATCHES + batch
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    _, path, files = _folder(spark, name)
+    files.delete(path, True)
 
 
 def _finished(spark: SparkSession, folder: str, name: str) -> list[int]:
     """Numbers of the complete `name=<number>` folders."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    hadoop, path, files = _folder(spark, folder)
     if not files.exists(path):
         return []
     found = [status.getPath() for status in files.listStatus(path) if status.isDirectory()]
@@ -41,7 +76,9 @@ class KeyedTable:
     With `merges` ({column: sum | min | max}) each batch holds deltas that are merged.
     Otherwise the newest row of a key replaces the others: the one with the greatest
     `sequence` columns if there are any, else the one of the last batch, in which case a
-    batch must have one row per key.
+    batch must have one row per key. Then `deleted`, a condition in SQL, marks rows that stand
+    for the removal of their key; they are kept, so that an older change that comes late does
+    not bring the key back, and left out by `rows`.
     """
 
     def __init__(
@@ -51,20 +88,32 @@ class KeyedTable:
         keys: Sequence[str],
         merges: dict[str, str] | None = None,
         sequence: Sequence[str] = (),
+        deleted: str | None = None,
     ):
+        if merges is not None and deleted is not None:
+            raise ValueError("a table of merged deltas has no deletes")
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.merges, self.sequence = merges, list(sequence)
+        self.merges, self.sequence, self.deleted = merges, list(sequence), deleted
 
     def _merged(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
         if self.merges is None:
             return latest_per_key(df, self.keys, order)
         return df.groupBy(*self.keys).agg(*[_MERGES[how](c).alias(c) for c, how in self.merges.items()])
 
-    def upsert(self, rows: DataFrame, batch: int) -> None:
-        """Apply one batch, or apply it again."""
+    def upsert(self, rows: DataFrame, batch: int, writer: str | None = None) -> int:
+        """Apply one batch, or apply it again; its version."""
         if self.merges is not None or self.sequence:
             rows = self._merged(rows, self.sequence)
-        rows.write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch}")
+        version = version_of(self.spark, self.path, writer, batch)
+        rows.write.mode("overwrite").parquet(f"{self.path}/batches/batch={version}")
+        return version
+
+    def rows(self) -> DataFrame | None:
+        """The table without the keys that were removed."""
+        found = self.read()
+        if found is None or self.deleted is None:
+            return found
+        return found.filter(~F.coalesce(F.expr(self.deleted), F.lit(False)))
 
     def read(self, before: int | None = None) -> DataFrame | None:
         """The table as the batches (those with a number less than `before`) left it."""
@@ -94,8 +143,26 @@ class KeyedTable:
         rows = self.spark.read.option("basePath", root).parquet(*paths)
         return rows.withColumnRenamed(name, _VERSION)
 
-    def compact(self) -> None:
-        """Merge all complete batches into one base that later reads start from."""
+    def compact(self, before: int | None = None) -> None:
+        """Merge all complete batches, or those `before` a version, into one base that later reads start from.
+
+        The base before it stays, and the batches after that; older ones are deleted.
+        """
+        bases = _finished(self.spark, f"{self.path}/bases", "upto")
         batches = _finished(self.spark, f"{self.path}/batches", "batch")
-        if batches:
-            self.read().write.mode("overwrite").parquet(f"{self.path}/bases/upto={batches[-1]}")
+        batches = [n for n in batches if before is None or n < before]
+        last = bases[-1] if bases else -1
+        if not batches or batches[-1] <= last:
+            return
+        self.read(before).write.mode("overwrite").parquet(f"{self.path}/bases/upto={batches[-1]}")
+        for number in bases[:-1]:
+            _delete(self.spark, f"{self.path}/bases/upto={number}")
+        for number in batches:
+            if number <= last:
+                _delete(self.spark, f"{self.path}/batches/batch={number}")
+
+    def open_batches(self) -> int:
+        """Batches that a read merges with the base."""
+        bases = _finished(self.spark, f"{self.path}/bases", "upto")
+        batches = _finished(self.spark, f"{self.path}/batches", "batch")
+        return sum(not bases or n > bases[-1] for n in batches)

@@ -42,9 +42,28 @@ def raw_text(messages: DataFrame) -> DataFrame:
     return messages.select(F.col("value").cast("string").alias("value"))
 
 
-def decode_json(messages: DataFrame, schema: str, column: str = "value") -> DataFrame:
-    """The fields of JSON payloads; unknown keys are ignored, missing ones NULL."""
-    return messages.select(fields_of(F.from_json(F.col(column), schema)))
+_UNREAD = "_unread"
+
+
+def decode_json(messages: DataFrame, schema: str, column: str = "value", bad: str = "drop") -> DataFrame:
+    """The fields of JSON payloads; unknown keys are ignored, missing ones NULL.
+
+    `bad` says what becomes of a NULL message and of one that is no JSON object of this schema:
+    "drop", "fail" or "keep", which leaves the fields that could not be read NULL.
+    """
+    if bad not in ("drop", "keep", "fail"):
+        raise ValueError(f"bad must be drop, keep or fail, not {bad}")
+    if bad == "keep":
+        return messages.select(fields_of(F.from_json(F.col(column), schema)))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREAD}
+    parsed = F.from_json(F.col(column), f"{schema}, {_UNREAD} string", options)
+    read = messages.select(fields_of(parsed), F.col(column).alias("_message"))
+    wrong = F.col("_message").isNull() | F.col(_UNREAD).isNotNull()
+    if bad == "fail":
+        read = read.filter(F.when(wrong, F.raise_error(F.concat(F.lit("unreadable message: "), "_message"))).isNull())
+    else:
+        read = read.filter(~wrong)
+    return read.drop(_UNREAD, "_message")
 
 
 def decode_csv(messages: DataFrame, schema: str, column: str = "value") -> DataFrame:
@@ -58,9 +77,9 @@ def decode_avro(messages: DataFrame, schema_json: str, column: str = "value") ->
     return messages.select(fields_of(from_avro(F.col(column), schema_json)))
 
 
-def edge_log(messages: DataFrame, column: str = "value") -> DataFrame:
+def edge_log(messages: DataFrame, column: str = "value", bad: str = "drop") -> DataFrame:
     """Decoded access logs with the computed columns OrgUID, DateStr and EventTime."""
-    return with_edge_columns(decode_json(messages, EDGE_LOG, column))
+    return with_edge_columns(decode_json(messages, EDGE_LOG, column, bad))
 
 
 def with_edge_columns(logs: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 """Starting streams: file sinks, keyed upserts, snapshots, several sinks, ordered aggregates.
 
 Every query gets a checkpoint folder. After a failure Spark repeats the unfinished
-micro-batch under the same number; all sinks here replace what that number wrote.
+micro-batch under the same number; all sinks here replace what that number wrote. A query
+with a new checkpoint counts from 0 again, but it is another writer, and what it writes
+comes beside what is there.
 """
 
 from __future__ import annotations
@@ -15,7 +17,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidelog.operators.ordered import HOT_KEY_ROWS, Aggregates, running
 from tidelog.session import configure
-from tidelog.sinks.keyed import KeyedTable
+from tidelog.sinks.keyed import KeyedTable, version_of
+
+# micro-batches between two compactions of a keyed table
+COMPACT_EVERY = 10
 
 
 def _writer(
@@ -29,6 +34,11 @@ def _writer(
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+def _writer_of(batch: DataFrame) -> str | None:
+    """The id of the streaming query that a micro-batch belongs to."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def to_files(
     df: DataFrame,
     path: str,
@@ -66,15 +76,21 @@ def upsert(
     mode: str = "update",
     every: str | None = None,
     name: str | None = None,
+    deleted: str | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Keep a `KeyedTable` at `path` up to date.
 
     Running aggregates in update mode replace their rows. With `merges` the batches must
-    hold deltas: feed the raw rows in append mode, not a running count.
+    hold deltas: feed the raw rows in append mode, not a running count. After every
+    `compact_every` open batches the table is compacted, so a read merges no more than those.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        KeyedTable(batch.sparkSession, path, keys, merges, sequence).upsert(batch, number)
+        table = KeyedTable(batch.sparkSession, path, keys, merges, sequence, deleted)
+        table.upsert(batch, number, _writer_of(batch))
+        if table.open_batches() >= compact_every:
+            table.compact()
 
     return to_batches(df, apply, checkpoint, mode, every, name)
 
@@ -101,7 +117,8 @@ def snapshots(
     """After each micro-batch append the whole aggregate, marked with `snapshot_id`."""
 
     def append(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/snapshot_id={number}")
+        version = version_of(batch.sparkSession, path, _writer_of(batch), number)
+        batch.write.mode("overwrite").parquet(f"{path}/snapshot_id={version}")
 
     return to_batches(aggregate, append, checkpoint, "complete", every, name)
 
@@ -119,7 +136,8 @@ def fan_out(
         batch.persist()
         try:
             for path, branch in branches.items():
-                branch(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+                version = version_of(batch.sparkSession, path, _writer_of(batch), number)
+                branch(batch).write.mode("overwrite").parquet(f"{path}/batch={version}")
         finally:
             batch.unpersist()
 
@@ -159,9 +177,10 @@ def running_batches(
         finally:
             batch.unpersist()
 
-    def write(batch: DataFrame, number: int) -> None:
+    def write(batch: DataFrame, micro_batch: int) -> None:
         spark = batch.sparkSession
         state = KeyedTable(spark, f"{checkpoint}-totals", keys, merges)
+        number = version_of(spark, f"{checkpoint}-totals", _writer_of(batch), micro_batch)
         new = batch.withColumns(
             {f"_part_{n}": partial(kind, column) for n, (kind, column) in aggregates.items()}
         ).withColumn("_kind", F.lit(1))
@@ -182,5 +201,8 @@ def running_batches(
         finish(out).write.mode("overwrite").parquet(f"{path}/batch={number}")
         totals = new.select(*keys, *[F.col(f"_part_{n}").alias(n) for n in aggregates])
         state.upsert(totals, number)
+        # a replay reads what was there before its own number, so a base must not reach it yet
+        if micro_batch % COMPACT_EVERY == 0:
+            state.compact(before=number)
 
     return to_batches(df, step, checkpoint, "append", every, name)

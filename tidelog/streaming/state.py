@@ -37,7 +37,9 @@ class _Reduce(StatefulProcessor):
         held = self.total.get()
         total = None if held is None else held[0]
         for row in rows:
-            total = row[self.value] if total is None else self.function(total, row[self.value])
+            value = row[self.value]
+            if value is not None:  # as in SQL, NULL changes nothing
+                total = value if total is None else self.function(total, value)
             yield Row(key=key[0], id=row[self.id_column], total=total)
         # written after every read as well, so that reading renews the time to live
         self.total.update((total,))
@@ -77,7 +79,7 @@ class _TopN(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.best.get()
         before = [] if held is None else list(held[0])
-        best = heapq.nlargest(self.n, chain(before, (row[self.value] for row in rows)))
+        best = heapq.nlargest(self.n, chain(before, (row[self.value] for row in rows if row[self.value] is not None)))
         self.best.update((best,))
         for rank, value in enumerate(best, 1):
             yield Row(key=key[0], rank=rank, value=value)
@@ -127,12 +129,15 @@ class _CountWindow(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.window.get()
-        count, total = (0, 0.0) if held is None else (held[0], held[1])
+        count, total = (0, None) if held is None else (held[0], held[1])
         for row in rows:
-            count, total = count + 1, total + row[self.value]
+            value = row[self.value]
+            count += 1
+            if value is not None:
+                total = value if total is None else total + value
             if count == self.size:
                 yield Row(key=key[0], total=total)
-                count, total = 0, 0.0
+                count, total = 0, None
         self.window.update((count, total))
 
     def close(self) -> None:
@@ -163,7 +168,7 @@ class _SumTimer(StatefulProcessor):
         total = 0.0 if held is None else held[0]
         due = set()
         for row in rows:
-            total += row[self.value]
+            total += row[self.value] or 0.0
             due.add(row[self.millis] + self.delay_ms)
         self.total.update((total,))
         for moment in due:
@@ -214,7 +219,7 @@ class _LastRows(StatefulProcessor):
             if moment <= timerValues.getCurrentWatermarkInMs():
                 continue
             held = self.waiting.getValue((moment,)) if self.waiting.containsKey((moment,)) else ([], [])
-            pairs = sorted([*zip(held[0], held[1], strict=True), *pairs])
+            pairs = sorted([*zip(held[0], held[1], strict=True), *pairs], key=lambda pair: pair[0])
             self.waiting.updateValue((moment,), ([i for i, _ in pairs], [v for _, v in pairs]))
             self.handle.registerTimer(moment)
         return iter(())
@@ -227,7 +232,7 @@ class _LastRows(StatefulProcessor):
         last = [] if held is None else list(held[0])
         for row_id, value in zip(ids, values, strict=True):
             last = [*last, value][-(self.preceding + 1) :]
-            yield Row(key=key[0], id=row_id, ms=moment, top=max(last))
+            yield Row(key=key[0], id=row_id, ms=moment, top=max((v for v in last if v is not None), default=None))
         self.last.update((last,))
 
     def close(self) -> None:
