@@ -51,6 +51,72 @@ def test_iso_timestamps_and_dates(spark):
     assert column(df, s.iso_date("t")) == days
 
 
+def test_iso_forms(spark):
+    """What the standard library reads, to the microsecond, and nothing that it does not read."""
+    from datetime import UTC, datetime
+
+    values = [
+        "2025-05-08T15:09:40.271017123Z",
+        "2025-05-08T15:09:40,2",
+        "2025-05-08T15",
+        "2025-05-08T15+02",
+        "20250508T150940Z",
+        "20250508T1509",
+        "20250508",
+        "2025-05-08 150940.123456789-0330",
+        "2025-05-08T15:09:40.1234567+05:30",
+        "2025-05-08T15:0940",
+        "2025-0508T15",
+        "2025-05-08T",
+        "2025-05-08T15:09:61",
+    ]
+
+    def micros(text):
+        try:
+            moment = datetime.fromisoformat(text)
+        except ValueError:
+            return None
+        moment = moment if moment.tzinfo else moment.replace(tzinfo=UTC)
+        return round((moment - datetime(1970, 1, 1, tzinfo=UTC)).total_seconds() * 10**6)
+
+    got = column(texts(spark, *values), F.unix_micros(s.iso_timestamp("t", millis=False)))
+    assert dict(zip(values, got, strict=True)) == {v: micros(v) for v in values}
+    days = column(texts(spark, *values), s.iso_date("t"))
+    assert days == [None if micros(v) is None else "2025-05-08" for v in values]
+
+
+def test_unreadable_messages(spark):
+    from pyspark.errors import PySparkException
+
+    from tidelog.sources.messages import decode_json
+
+    rows_in = [('{"a": 1, "b": "x"}',), ("junk",), (None,), ('{"a": "no number"}',), ('{"b": "y", "c": 3}',), ("",)]
+    messages = spark.createDataFrame(rows_in, "value string")
+    assert rows(decode_json(messages, "a int, b string")) == [(1, "x"), (None, "y")]
+    assert decode_json(messages, "a int, b string", bad="keep").count() == len(rows_in)
+    with pytest.raises(PySparkException, match="unreadable message"):
+        decode_json(messages, "a int, b string", bad="fail").collect()
+    with pytest.raises(ValueError, match="bad must be"):
+        decode_json(messages, "a int, b string", bad="skip")
+
+
+def test_pages_fetched_twice_or_never(spark):
+    from tidelog.operators.documents import load_text, without_page
+
+    books = spark.createDataFrame([("A", "u1"), ("B", "u2"), ("C", "u3")], "title string, link string")
+    pages = spark.createDataFrame([(1, "u1", "old"), (5, "u1", "new"), (2, "u2", "two")], "page_id int, url string, html string")
+    assert rows(load_text(books, pages).select("title", "text")) == [("A", "new"), ("B", "two")]
+    assert rows(without_page(books, pages)) == [("C", "u3")]
+
+
+def test_neighbours_with_text_ids(spark):
+    collection = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [2.0, 0.0]), ("c", [0.0, 1.0])], "_id string, embedding array<double>")
+    queries = spark.createDataFrame([(n, [1.0, 0.1]) for n in range(3)], "query_id int, vector array<double>")
+    for block in (1, 10):
+        near = cosine_top_k(collection, queries, 2, "_id", queries_per_block=block)
+        assert rows(near.select("query_id", "neighbour_id")) == [(n, i) for n in range(3) for i in "ab"]
+
+
 def test_utc_millis(spark):
     assert column(texts(spark, "2023-02-10T03:54:34Z", None), s.utc_millis("t")) == [1676001274000, None]
 

@@ -1,5 +1,6 @@
 """Ordered work with and without a cut into slices, against brute force."""
 
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -8,6 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidelog.operators import ordered, windows
+from tidelog.session import cleanup, materialize
 
 START = datetime(2024, 1, 1)
 
@@ -150,3 +152,28 @@ def test_empty_input(spark):
     empty = frame(spark, make(7)).filter("id < 0")
     assert ordered.running(empty, ["k"], ["ts", "id"], {"s": ("sum", "v")}).count() == 0
     assert ordered.sessions(empty, ["k"], "ts", "5 seconds", {"s": ("sum", "v")}).count() == 0
+
+
+def test_only_large_keys_are_stored(spark, monkeypatch):
+    """Rows of other keys stay in plain windows, and types without an order pass through."""
+    data = make(8)
+    stored = []
+
+    def watched(df, name):
+        stored.append(materialize(df, name))
+        return stored[-1]
+
+    monkeypatch.setattr(ordered, "materialize", watched)
+    with_map = frame(spark, data).withColumn("m", F.create_map(F.lit("x"), "v"))
+    large = sum(row[1] == "hot" for row in data)
+    out = ordered.over_preceding(with_map, ["k"], ["ts", "id"], 2, {"top": F.max("v")}, large - 1)
+    assert out.count() == len(data) and "m" in out.columns
+    assert [s.count() for s in stored] == [large]
+    ordered.running(with_map, ["k"], ["ts", "id"], {"s": ("sum", "v")}, max_rows_per_task=large).count()
+    assert len(stored) == 1
+
+
+def test_cleanup_deletes_what_was_stored(spark):
+    path = materialize(spark.range(3), "test").inputFiles()[0]
+    cleanup(spark)
+    assert not os.path.exists(path.removeprefix("file://"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,6 +23,7 @@ RUNTIME_CONF = {
 }
 
 _local_work_dirs: dict[str, str] = {}
+_made: list[str] = []
 
 
 def build(app: str = "tidelog", master: str | None = None, **conf: str) -> SparkSession:
@@ -44,7 +47,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder set in `spark.checkpoint.dir`.
 
-    Only a local session may leave that setting empty.
+    Only a local session may leave that setting empty; its folders go when the process ends.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -54,8 +57,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
         app = context.applicationId
         if app not in _local_work_dirs:
             _local_work_dirs[app] = tempfile.mkdtemp(prefix="tidelog-")
+            atexit.register(shutil.rmtree, _local_work_dirs[app], ignore_errors=True)
         base = _local_work_dirs[app]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete the intermediate tables this process has made: when their results have been written."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while _made:
+        path = hadoop.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str):
