@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.chunks import CHUNK_OVERLAP, CHUNK_SIZE, recursive_chunks
 from tidelog.functions.encode import embed
-from tidelog.functions.scalars import PAGE_CUTS
+from tidelog.functions.scalars import PAGE_CUTS, words
 from tidelog.operators import documents as d
 from tidelog.operators.vectors import cosine_top_k, label_centroids
 from tidelog.plans.registry import query, table
@@ -55,15 +55,44 @@ def fixed_chunks(spark, sf):
     return d.chunk_rows(table(spark, sf, "documents").select("doc_id", "text"))
 
 
-@query("v2_recursive_chunks")
+@query(
+    "v2_recursive_chunks",
+    f"SELECT doc_id, TRUE AS fits, 0 AS missing_words, CASE WHEN length(text) < {CHUNK_SIZE} THEN TRUE END AS one_chunk "
+    "FROM documents WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''",
+)
 def recursive(spark, sf):
-    return d.chunk_rows(table(spark, sf, "documents").select("doc_id", "text"), recursive_chunks()("text"))
+    """What holds for the chunks of every document, whatever borders they were cut at."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    chunks = d.chunk_rows(docs, recursive_chunks()("text")).groupBy("doc_id")
+    chunks = chunks.agg(
+        (F.max(F.length("chunk")) <= CHUNK_SIZE).alias("fits"),
+        F.count("*").alias("n"),
+        F.array_join(F.collect_list("chunk"), " ").alias("whole"),
+    )
+    joined = docs.join(chunks, "doc_id")
+    return joined.select(
+        "doc_id",
+        "fits",
+        F.size(F.array_except(words("text"), words("whole"))).alias("missing_words"),
+        F.when(F.length("text") < CHUNK_SIZE, F.col("n") == 1).alias("one_chunk"),
+    )
 
 
-@query("v3_embed_chunks")
+@query(
+    "v3_embed_chunks",
+    f"""
+    SELECT doc_id, chunk_no, 384 AS dimensions,
+      CASE WHEN trim(chunk, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 0.0 ELSE 1.0 END :: DOUBLE AS norm
+    FROM ({_chunks_sql("SELECT * FROM documents", "doc_id")})
+    """,
+)
 def embed_chunks(spark, sf):
     chunks = d.chunk_rows(table(spark, sf, "documents").select("doc_id", "text"))
-    return chunks.select("doc_id", "chunk_no", embed()("chunk").alias("embedding"))
+    vectors = chunks.select("doc_id", "chunk_no", embed()("chunk").alias("embedding"))
+    squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x)
+    return vectors.select(
+        "doc_id", "chunk_no", F.size("embedding").alias("dimensions"), F.round(F.sqrt(squares), 6).alias("norm")
+    )
 
 
 @query(
@@ -78,9 +107,18 @@ def ingest(spark, sf):
     return rows.select("_id", "title", "item", "source", "chunk", F.size("embedding").alias("dimensions"))
 
 
-@query("v4_ingest_recursive_chunks")
+@query(
+    "v4_ingest_recursive_chunks",
+    "SELECT url AS source, sha256(url) AS item, TRUE AS fits, TRUE AS ids_differ, 384 AS dimensions FROM pages",
+)
 def ingest_recursive(spark, sf):
-    return d.ingest(_books(spark, sf), table(spark, sf, "pages"), recursive_chunks()("text"))
+    """What holds for the rows of every book."""
+    rows = d.ingest(_books(spark, sf), table(spark, sf, "pages"), recursive_chunks()("text"))
+    return rows.groupBy("source", "item").agg(
+        (F.max(F.length("chunk")) <= CHUNK_SIZE).alias("fits"),
+        (F.count_distinct("_id") == F.count("*")).alias("ids_differ"),
+        F.max(F.size("embedding")).alias("dimensions"),
+    )
 
 
 _NEAREST_SQL = """

@@ -8,22 +8,29 @@ from tidelog.functions.scalars import document_id
 from tidelog.operators import changelog as c
 from tidelog.operators import relational as r
 from tidelog.operators import windows as w
-from tidelog.plans.registry import EDGE_SQL, EPOCH, edge_logs, query, table
+from tidelog.operators.columns import parse_json
+from tidelog.plans.registry import EDGE_SQL, EPOCH, edge_logs, edge_message, query, table
 from tidelog.session import work_dir
 from tidelog.sinks import files as sink
 from tidelog.sinks.keyed import KeyedTable
 from tidelog.sources import files
+from tidelog.sources.messages import EDGE_LOG, with_edge_columns
 from tidelog.streaming import jobs
 
-# files of the staged event streams, read one per micro-batch
-FILES = 4
+# micro-batches of the staged event streams
+BATCHES = 4
 
 
-def staged_events(spark, sf, *columns):
-    """The events as a stream of several micro-batches."""
+def staged(spark, rows):
+    """Rows with an `event_id` as a stream of several micro-batches; as many files as the input has parts, or more."""
     path = work_dir(spark, "staged")
-    table(spark, sf, "events").select("event_id", *columns).repartitionByRange(FILES, "event_id").write.parquet(path)
-    return files.parquet_rows(spark, path, stream=True, files_per_batch=1)
+    per_batch = -(-max(BATCHES, rows.rdd.getNumPartitions()) // BATCHES)
+    rows.repartitionByRange(per_batch * BATCHES, "event_id").write.parquet(path)
+    return files.parquet_rows(spark, path, stream=True, files_per_batch=per_batch)
+
+
+def staged_events(spark, sf, *columns):
+    return staged(spark, table(spark, sf, "events").select("event_id", *columns))
 
 
 @query("k2_upsert_stream", "SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2")
@@ -256,3 +263,75 @@ def report(spark, sf):
     path = work_dir(spark, "report")
     sink.write_report(counted, path)
     return files.csv_rows(spark, path, "OrgUID string, EdgeResponseStatus int, status_count bigint", header=True)
+
+
+_MAIN_SQL = f"""
+{EDGE_SQL}, urls AS (
+  SELECT org, day, url, count(url) AS n, org || '_' || day || '_' || translate(url, '/?&', '___') AS id
+  FROM edge GROUP BY org, day, url),
+statuses AS (
+  SELECT org, day, status, count(status) AS n, org || '_' || day || '_' || status AS id FROM edge GROUP BY org, day, status),
+latest AS (SELECT org, max(event_id) AS event_id, arg_max(url, event_id) AS url FROM edge GROUP BY org)
+"""
+
+
+def _main_job(spark, sf):
+    """One stream of JSON messages keeps three tables: counts by URL and by status, the latest log of each organisation."""
+    messages = staged(spark, edge_message(table(spark, sf, "events")))
+    logs = with_edge_columns(parse_json(messages, "value", EDGE_LOG)).select(
+        "event_id",
+        F.col("OrgUID").alias("org"),
+        F.col("DateStr").alias("day"),
+        F.col("ClientRequestURI").alias("url"),
+        F.col("EdgeResponseStatus").alias("status"),
+        "EventTime",
+    )
+    root = work_dir(spark, "main")
+    one = F.lit(1).cast("bigint").alias("n")
+    options = {
+        "urls": {"keys": ["org", "day", "url"], "merges": {"n": "sum"}},
+        "statuses": {"keys": ["org", "day", "status"], "merges": {"n": "sum"}},
+        "latest": {"keys": ["org"], "sequence": ["event_id"]},
+    }
+    branches = {
+        "urls": lambda b: b.select("org", "day", "url", one),
+        "statuses": lambda b: b.filter("status IS NOT NULL").select("org", "day", "status", one),
+        "latest": lambda b: b.select("org", "url", "event_id"),
+    }
+    tables = {f"{root}/{name}": (branches[name], options[name]) for name in options}
+    jobs.upsert_several(logs, tables, f"{root}/checkpoint").awaitTermination()
+    return {name: KeyedTable(spark, f"{root}/{name}", **options[name]).rows() for name in options}
+
+
+@query(
+    "k14_main_job",
+    f"WITH {_MAIN_SQL} SELECT 'urls' AS kind, id, n FROM urls UNION ALL SELECT 'statuses', id, n FROM statuses "
+    "UNION ALL SELECT 'latest', org || '_' || url, event_id FROM latest",
+)
+def main_job(spark, sf):
+    tables = _main_job(spark, sf)
+    urls = tables["urls"].select(F.lit("urls").alias("kind"), document_id("org", "day", "url").alias("id"), "n")
+    statuses = tables["statuses"].select(
+        F.lit("statuses"), document_id("org", "day", F.col("status").cast("string")), "n"
+    )
+    latest = tables["latest"].select(F.lit("latest"), F.concat_ws("_", "org", "url"), "event_id")
+    return urls.union(statuses).union(latest)
+
+
+@query(
+    "k6_main_job_bulk",
+    f"""
+    WITH {_MAIN_SQL}
+    SELECT '{{"update":{{"_index":"status_counts","_id":"' || id || '"}}}}' AS value FROM statuses
+    UNION ALL
+    SELECT '{{"doc":{{"org":"' || org || '","day":"' || day || '","status":' || status || ',"n":' || n
+      || '}},"doc_as_upsert":true}}' FROM statuses
+    """,
+)
+def main_job_bulk(spark, sf):
+    """The bulk lines that the status table of the main job leads to."""
+    statuses = _main_job(spark, sf)["statuses"]
+    named = statuses.withColumn("doc_id", document_id("org", "day", F.col("status").cast("string")))
+    path = work_dir(spark, "bulk")
+    sink.write_text(sink.upsert_actions(named, "status_counts", "doc_id", ["org", "day", "status", "n"]), path)
+    return files.text_lines(spark, path)

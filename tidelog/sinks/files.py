@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.relational import latest_per_key
 
-# A report of up to this many rows goes into one file.
-REPORT_ROWS = 100_000
-
 
 def write_text(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
     """Rows as text lines: the one string column of `df`, in files of bounded length."""
@@ -25,10 +22,9 @@ def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
-def write_report(df: DataFrame, path: str, one_file_rows: int = REPORT_ROWS) -> None:
-    """CSV with a header line; one file if the result is small, else as many as Spark makes."""
-    small = df.limit(one_file_rows + 1).count() <= one_file_rows
-    write_csv(df.repartition(1) if small else df, path, header=True)
+def write_report(df: DataFrame, path: str, one_file: bool = False) -> None:
+    """CSV with a header line; in one file, for a result known to be small, or in as many as Spark makes."""
+    write_csv(df.repartition(1) if one_file else df, path, header=True)
 
 
 def write_json(df: DataFrame, path: str) -> None:

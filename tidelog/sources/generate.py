@@ -6,9 +6,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# rows a pandas frame on the driver may have
-PANDAS_ROWS = 1_000_000
-
 
 def in_line(spark: SparkSession, rows: list, schema) -> DataFrame:
     return spark.createDataFrame(rows, schema)
@@ -18,7 +15,7 @@ def from_pandas(spark: SparkSession, frame: pd.DataFrame, schema: str | None = N
     return spark.createDataFrame(frame, schema)
 
 
-def to_pandas(df: DataFrame, most: int = PANDAS_ROWS) -> pd.DataFrame:
+def to_pandas(df: DataFrame, most: int) -> pd.DataFrame:
     """A small result as a pandas frame; a result of more than `most` rows is an error."""
     frame = df.limit(most + 1).toPandas()
     if len(frame) > most:

@@ -95,6 +95,35 @@ def upsert(
     return to_batches(df, apply, checkpoint, mode, every, name)
 
 
+def upsert_several(
+    df: DataFrame,
+    tables: dict[str, tuple[Callable[[DataFrame], DataFrame], dict]],
+    checkpoint: str,
+    every: str | None = None,
+    name: str | None = None,
+    compact_every: int = COMPACT_EVERY,
+) -> StreamingQuery:
+    """Keep several `KeyedTable`s up to date from one reading of a stream.
+
+    `tables` has for each path a function from a micro-batch to the table's rows, and the
+    table's other arguments (keys, merges, sequence, deleted).
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            for path, (branch, options) in tables.items():
+                table = KeyedTable(spark, path, **options)
+                table.upsert(branch(batch), number, _writer_of(batch))
+                if table.open_batches() >= compact_every:
+                    table.compact()
+        finally:
+            batch.unpersist()
+
+    return to_batches(df, apply, checkpoint, "append", every, name)
+
+
 def run_until_idle(query: StreamingQuery, poll_seconds: float = 0.3) -> None:
     """Stop a stream once micro-batches find no new rows.
 
