@@ -58,7 +58,8 @@ def decode_json(messages: DataFrame, schema: str, column: str = "value", bad: st
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREAD}
     parsed = F.from_json(F.col(column), f"{schema}, {_UNREAD} string", options)
     read = messages.select(fields_of(parsed), F.col(column).alias("_message"))
-    wrong = F.col("_message").isNull() | F.col(_UNREAD).isNotNull()
+    empty = F.trim("_message") == ""  # no record, and not marked as unread
+    wrong = F.col("_message").isNull() | empty | F.col(_UNREAD).isNotNull()
     if bad == "fail":
         read = read.filter(F.when(wrong, F.raise_error(F.concat(F.lit("unreadable message: "), "_message"))).isNull())
     else:
