@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_oracles import TABLES, _plain, same
+from tidelog.plans import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -29,9 +30,9 @@ def test_every_check_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    frame = queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     columns = sorted(frame.columns)
     got = [tuple(_plain(v) for v in row) for row in frame.select(*[f"`{c}`" for c in columns]).collect()]
     if name not in oracle_sql():
