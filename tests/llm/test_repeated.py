@@ -45,5 +45,16 @@ def test_few_words_many_repeats(spark):
     check(rows, without_repeats(frame(spark, rows), window=6).collect(), 6)
 
 
+def test_without_texts(odd):
+    """The same counts and digests, from the texts that hold a passage alone."""
+    plain = without_repeats(odd, with_text=False)
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    got = sorted((tuple(r) for r in plain.select(*columns).collect()), key=repr)
+    want = sorted((tuple(r) for r in without_repeats(odd).select(*columns).collect()), key=repr)
+    assert got == want and any(r[2] for r in got)
+    assert {r[0] for r in plain.select("kept").distinct().collect()} == {None}
+
+
 def test_no_rows(nothing):
     assert without_repeats(nothing).collect() == []
+    assert without_repeats(nothing, with_text=False).collect() == []
