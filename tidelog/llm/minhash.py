@@ -10,12 +10,14 @@ agreeing bins is as concentrated as with independent draws (Dahlgaard, Knudsen,
 Equal sets are one node. Nodes that agree in a band of `ROWS` bins are in a bucket together, and only
 links between different components matter, so not all pairs of a bucket are looked at:
 
-1. In a bucket each node meets the leader, the node with the most company in all its buckets. First
-   each node is compared with the leader it meets most often, then with the others it meets.
-2. Where a bucket still holds several components, its nodes meet those of the other components, as
-   far as sizes and sketches leave a similarity of 0.75 possible (five standard deviations).
-
-All comparisons that decide are made on the whole sets.
+1. In a bucket each node meets the leader, the node with the most company in all its buckets. Each
+   node is compared with the leader it meets most often.
+2. Buckets that still hold several components are joined to families of nodes that share them. In a
+   family, all nodes outside its largest component are compared with all nodes of other components,
+   in blocks of at most `BLOCK` by `BLOCK` nodes, so that a large family is many tasks; a task counts
+   the members that a set has in common with all others at once, and hands on links only.
+
+All comparisons are made on the whole sets.
 """
 
 from __future__ import annotations
@@ -29,13 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import components
-from tidelog.llm.storage import Stored, store
+from tidelog.llm.storage import store
 from tidelog.llm.words import FACTORS, mixed, pieces, words_of
 
 SHINGLE = 5
 COORDINATES = 256
 ROWS = 4
 BANDS = 32
+BLOCK = 1024
 _EMPTY = np.uint64(2**64 - 1)
 _LOW = np.uint64(2**48 - 1)
 
@@ -83,8 +86,7 @@ def band_keys(sketch: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.nd
 
 
 _SKETCHED = (
-    "row bigint, doc_id bigint, text string, n_shingles bigint, high bigint, low bigint, "
-    "bands array<bigint>, sketch binary"
+    "row bigint, doc_id bigint, text string, n_shingles bigint, high bigint, low bigint, bands array<bigint>"
 )
 _DOCS_A_TURN = 400
 
@@ -102,7 +104,6 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = band_keys(found[full]).view(np.int64)
             counts = np.where(full, BANDS, 0)
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            low_bytes = found.astype(np.uint8)
             high = [int(mixed(x, 1001).sum(dtype=np.uint64)) for x in sets]
             low = [int(mixed(x, 1002).sum(dtype=np.uint64)) for x in sets]
             yield pa.RecordBatch.from_arrays(
@@ -114,9 +115,8 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(np.array(high, dtype=np.uint64).view(np.int64)),
                     pa.array(np.array(low, dtype=np.uint64).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
-                    pa.array([low_bytes[n].tobytes() for n in range(len(sets))], type=pa.binary()),
                 ],
-                names=["row", "doc_id", "text", "n_shingles", "high", "low", "bands", "sketch"],
+                names=["row", "doc_id", "text", "n_shingles", "high", "low", "bands"],
             )
             number += len(sets)
 
@@ -143,63 +143,73 @@ def _verify(least_percent: int):
     return run
 
 
-def _possible(least_percent: int):
-    """Pairs whose sketches leave a similarity of the least percentage possible."""
-    least = least_percent / 100
-    floor = COORDINATES * (least - 5 * (least * (1 - least) / COORDINATES) ** 0.5)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            left = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(-1, COORDINATES)
-            right = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, COORDINATES)
-            keep = pa.array((left == right).sum(axis=1) >= floor)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"]
-            )
+def links_between(
+    some: list[np.ndarray], of_some: np.ndarray, others: list[np.ndarray], of_others: np.ndarray, least_percent: int
+) -> Iterator[tuple[int, int]]:
+    """Numbers of sets in different components that are similar enough; one pair for a set and a component."""
+    if not some or not others:
+        return
+    known, places = np.unique(np.concatenate(others), return_inverse=True)
+    sizes = np.array([len(x) for x in others])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    marked = np.zeros(len(known), dtype=np.int32)
+    for n, members in enumerate(some):
+        at = np.searchsorted(known, members)
+        at = at[known[np.minimum(at, len(known) - 1)] == members]
+        marked[at] = 1
+        both = np.add.reduceat(marked[places], starts)
+        marked[at] = 0
+        linked = 100 * both >= least_percent * (sizes + len(members) - both)
+        found = np.flatnonzero(linked & (of_others != of_some[n]))
+        _, first = np.unique(of_others[found], return_index=True)
+        for m in found[first].tolist():
+            yield n, m
+
+
+def _block_links(least_percent: int):
+    def run(rows: pa.Table) -> pa.Table:
+        stray = np.asarray(rows.column("stray").to_numpy(zero_copy_only=False), dtype=bool)
+        of = rows.column("of").to_numpy()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in rows.column("members").to_pylist()]
+        a, b = np.flatnonzero(stray), np.flatnonzero(~stray)
+        pairs = links_between([sets[n] for n in a], of[a], [sets[n] for n in b], of[b], least_percent)
+        ends = [(of[a[n]], of[b[m]]) for n, m in pairs]
+        return pa.table(
+            {
+                "a": pa.array([x for x, _ in ends], type=pa.int64()),
+                "b": pa.array([y for _, y in ends], type=pa.int64()),
+            }
+        )
 
     return run
 
 
-class _Links:
-    """Links found so far, the pairs that were compared, and the components they make."""
-
-    def __init__(self, members: DataFrame, least_percent: int):
-        self.members, self.least_percent = members, least_percent
-        self.compared: list[Stored] = []
-        self.of: Stored | None = None
-
-    def compare(self, pairs: DataFrame) -> None:
-        """Verify pairs (a < b) on the whole sets."""
-        first = pairs.select("a", "b").join(
-            self.members.select(F.col("node").alias("b"), F.col("members").alias("right")), "b"
-        )
-        both = first.join(self.members.select(F.col("node").alias("a"), F.col("members").alias("left")), "a")
-        checked = both.select("a", "b", "left", "right")
-        self.compared.append(
-            store(checked.mapInArrow(_verify(self.least_percent), "a bigint, b bigint, linked boolean"), "compared")
-        )
-        links = self.all_compared().filter("linked")
-        old = self.of
-        self.of = components(links.select("a", "b"))
-        if old:
-            old.drop()
-
-    def all_compared(self) -> DataFrame:
-        out = self.compared[0].rows
-        for more in self.compared[1:]:
-            out = out.unionByName(more.rows)
-        return out
+def _family_blocks(nodes: DataFrame) -> DataFrame:
+    """(family, node, of) -> a row for each block a node takes part in, with the block's two numbers."""
+    sizes = nodes.groupBy("family", "of").agg(F.count("*").alias("n"))
+    families = sizes.groupBy("family").agg(F.sum("n").alias("n"), F.max(F.struct("n", "of")).alias("largest"))
+    families = families.select(
+        "family",
+        F.col("largest.of").alias("main"),
+        F.ceil(F.col("n") / BLOCK).alias("columns"),
+        F.greatest(F.ceil((F.col("n") - F.col("largest.n")) / BLOCK), F.lit(1)).alias("rows"),
+    )
+    placed = nodes.join(families, "family")
+    row = F.pmod(F.xxhash64("node", F.lit(1)), "rows")
+    column = F.pmod(F.xxhash64("node", F.lit(2)), "columns")
+    strays = placed.filter("of <> main").select(
+        "family", "node", "of", F.lit(True).alias("stray"), row.alias("i"), F.explode(F.expr("sequence(0L, columns - 1)")).alias("j")
+    )
+    others = placed.select(
+        "family", "node", "of", F.lit(False).alias("stray"), F.explode(F.expr("sequence(0L, rows - 1)")).alias("i"), column.alias("j")
+    )
+    return strays.unionByName(others)
 
-    def with_component(self, rows: DataFrame, node: str, name: str) -> DataFrame:
-        of = self.of.rows.select(F.col("a").alias(node), F.col("b").alias("_of"))
-        return rows.join(of, node, "left").withColumn(name, F.coalesce("_of", node)).drop("_of")
 
-    def open_pairs(self, pairs: DataFrame) -> DataFrame:
-        """Those not compared yet whose ends are in different components."""
-        apart = self.with_component(self.with_component(pairs, "a", "_a"), "b", "_b").filter("_a <> _b")
-        return apart.drop("_a", "_b").join(self.all_compared().select("a", "b"), ["a", "b"], "left_anti")
+def _with_component(rows: DataFrame, components_of: DataFrame, name: str) -> DataFrame:
+    """The rows with the smallest node of their node's component."""
+    of = components_of.select(F.col("a").alias("node"), F.col("b").alias("_of"))
+    return rows.join(of, "node", "left").withColumn(name, F.coalesce("_of", "node")).drop("_of")
 
 
 def _pair(x: str, y: str) -> list:
@@ -238,9 +248,7 @@ def near_groups(
         .agg(
             F.min("row").alias("node"),
             smallest.alias("least"),
-            F.first("n_shingles").alias("size"),
             F.first("bands").alias("bands"),
-            F.first("sketch").alias("sketch"),
         ),
         "nodes",
     ).rows
@@ -264,32 +272,32 @@ def near_groups(
     members = store(texts.mapInArrow(_members, "node bigint, members binary"), "members")
     whole.drop()
 
-    links = _Links(members.rows, least_percent)
     best = stars.rows.groupBy("node").agg(
         F.max(F.struct("times", (-F.col("leader")).alias("back"))).alias("best")
     )
-    links.compare(best.select("node", (-F.col("best.back")).alias("leader")).select(*_pair("node", "leader")).distinct())
-    others = store(links.open_pairs(stars.rows.select(*_pair("node", "leader")).distinct()), "open")
-    if not others.rows.isEmpty():
-        links.compare(others.rows)
-    placed = store(links.with_component(buckets.select("key", "node"), "node", "of"), "placed")
-    several = placed.rows.groupBy("key").agg(F.min("of").alias("x"), F.max("of").alias("y")).filter("x <> y")
-    split = store(placed.rows.join(several.select("key"), "key"), "split").rows
-    sized = nodes.select("node", "size", "sketch")
-    left = split.select("key", F.col("node").alias("a"), F.col("of").alias("_a"))
-    right = split.select("key", F.col("node").alias("b"), F.col("of").alias("_b"))
-    apart = left.join(right, "key").filter("a < b AND _a <> _b").select("a", "b").distinct()
-    apart = apart.join(links.all_compared().select("a", "b"), ["a", "b"], "left_anti")
-    a = sized.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("sketch_a"))
-    b = sized.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("sketch_b"))
-    fits = 100 * F.least("size_a", "size_b") >= least_percent * F.greatest("size_a", "size_b")
-    near = apart.join(a, "a").join(b, "b").filter(fits).select("a", "b", "sketch_a", "sketch_b")
-    rest = store(near.mapInArrow(_possible(least_percent), "a bigint, b bigint"), "rest")
-    if not rest.rows.isEmpty():
-        links.compare(rest.rows)
+    best = best.select("node", (-F.col("best.back")).alias("leader")).select(*_pair("node", "leader")).distinct()
+    right = members.rows.select(F.col("node").alias("b"), F.col("members").alias("right"))
+    left = members.rows.select(F.col("node").alias("a"), F.col("members").alias("left"))
+    checked = best.join(right, "b").join(left, "a").select("a", "b", "left", "right")
+    compared = store(checked.mapInArrow(_verify(least_percent), "a bigint, b bigint, linked boolean"), "compared")
+    first = components(compared.rows.filter("linked").select("a", "b"))
+
+    placed = store(_with_component(buckets.select("key", "node"), first.rows, "of"), "placed").rows
+    several = placed.groupBy("key").agg(F.min("of").alias("x"), F.max("of").alias("y"), F.min("node").alias("least"))
+    several = several.filter("x <> y").select("key", "least")
+    open_nodes = store(placed.join(several, "key").select("node", "of", "least").distinct(), "open").rows
+    final = first
+    if not open_nodes.isEmpty():
+        families = components(open_nodes.select(F.col("node").alias("a"), F.col("least").alias("b")))
+        within = _with_component(open_nodes.select("node", "of").distinct(), families.rows, "family")
+        blocks = _family_blocks(within).join(members.rows, "node")
+        found = blocks.groupBy("family", "i", "j").applyInArrow(_block_links(least_percent), "a bigint, b bigint")
+        more = store(found.distinct(), "links")
+        families.drop()
+        final = components(first.rows.unionByName(more.rows))
     members.drop()
 
-    component = links.with_component(nodes.select("high", "low", "node", "least"), "node", "component")
+    component = _with_component(nodes.select("high", "low", "node", "least"), final.rows, "component")
     component = store(component, "components").rows
     leasts = component.groupBy("component").agg(F.min("least").alias("first"))
     named = store(component.join(leasts, "component").select("high", "low", "first"), "named").rows
