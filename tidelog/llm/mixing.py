@@ -58,14 +58,16 @@ def fit_domains(rows: DataFrame, domains: Sequence[str], smoothing: float = 0.5)
     found = kept.rows.groupBy("domain").agg(F.count("*").alias("n")).collect()
     counted = (
         kept.rows.select("domain", F.explode("places").alias("place"))
-        .groupBy("domain", "place")
-        .agg(F.count("*").alias("n"))
-        .toPandas()  # PLACES rows for each domain at most
+        .groupBy("place")
+        .agg(*[F.count_if(F.col("domain") == name).alias(f"n{k}") for k, name in enumerate(domains)])
+        .toArrow()  # PLACES rows at most
     )
     kept.drop()
     number = {name: n for n, name in enumerate(domains)}
     table = np.full((len(domains), PLACES), smoothing)
-    table[counted["domain"].map(number).to_numpy(dtype=int), counted["place"].to_numpy(dtype=int)] += counted["n"]
+    at = counted["place"].to_numpy()
+    for k in range(len(domains)):
+        table[k, at] += counted[f"n{k}"].to_numpy()
     table = np.log(table) - np.log(table.sum(axis=1, keepdims=True))
     prior = np.full(len(domains), 0.5)
     for row in found:

@@ -183,7 +183,7 @@ def fit_quality(
         kept.rows.select("label", F.explode("places").alias("place"))
         .groupBy("place")
         .agg(F.sum("label").alias("ones"), F.count("*").alias("n"))
-        .toPandas()  # PLACES rows at most
+        .toArrow()  # PLACES rows at most
     )
     classes = {r["label"]: r["n"] for r in kept.rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
@@ -193,18 +193,21 @@ def fit_quality(
         kept.drop()
         return QualityModel(flat, flat, 0.0, 1.0, float(np.log(p / (1 - p))))
     ones, zeros = np.full(PLACES, smoothing), np.full(PLACES, smoothing)
-    at = counts["place"].to_numpy()
-    ones[at] += counts["ones"].to_numpy(dtype=float)
-    zeros[at] += (counts["n"] - counts["ones"]).to_numpy(dtype=float)
+    at, of_ones = counts["place"].to_numpy(), counts["ones"].to_numpy()
+    ones[at] += of_ones
+    zeros[at] += counts["n"].to_numpy() - of_ones
     scale = np.log(ones / ones.sum()) - np.log(zeros / zeros.sum())
     order = [F.xxhash64(F.col("id").cast("string")), F.col("id")]
     chosen = kept.rows.select("id").distinct().orderBy(*order).limit(most_fitted)
-    sample = kept.rows.join(F.broadcast(chosen), "id").select("id", "label", "places").toPandas()
+    sample = kept.rows.join(F.broadcast(chosen), "id").select("id", "label", "places").toArrow()
     kept.drop()
-    sample = sample.assign(at=pd.util.hash_array(sample["id"].to_numpy())).sort_values(["at", "id"], kind="stable")
-    sample = sample.head(most_fitted)
-    places = [np.asarray(x, dtype=np.int32) for x in sample["places"]]
-    labels = sample["label"].to_numpy()
+    # an order that does not depend on how the rows came in; repeated ids may make the sample longer
+    found = sample["id"].to_numpy()
+    taken = np.lexsort((found, pd.util.hash_array(found)))[:most_fitted]
+    labels = sample["label"].to_numpy()[taken]
+    lists = sample["places"].combine_chunks()
+    flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    places = [flat[ends[n] : ends[n + 1]] for n in taken]
     held = np.arange(len(places)) % 5 == 4
     if len(set(labels[~held])) < 2 or len(set(labels[held])) < 2:
         held = np.zeros(len(places), dtype=bool)

@@ -69,7 +69,7 @@ def op7_quality(spark, sf_dir):
     scored = quality.score_quality(docs.select("doc_id", "text"), model)
     return scored.select(
         "doc_id",
-        (quality.fold("doc_id", 5) == 0).alias("held_out"),
+        F.coalesce(quality.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
