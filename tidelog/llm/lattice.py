@@ -111,11 +111,18 @@ class Pieces:
     def find(self, marks: np.ndarray) -> np.ndarray:
         """Log probabilities; minus infinity for what is no piece."""
         slot = (marks >> np.uint64(46)).astype(np.int64)
-        out = np.full(len(marks), -np.inf)
-        for step in range(self.probes):
-            at = (slot + step) % _SPAN
-            hit = self.keys[at] == marks
-            out[hit] = self.logs[at[hit]]
+        held = self.keys[slot]
+        out = np.where(held == marks, self.logs[slot], -np.inf)
+        # most slots are empty, which settles it; the few others go on to the next slot
+        going = np.flatnonzero((held != marks) & (held != 0))
+        for step in range(1, self.probes):
+            if not len(going):
+                break
+            at = (slot[going] + step) % _SPAN
+            held = self.keys[at]
+            hit = held == marks[going]
+            out[going[hit]] = self.logs[at[hit]]
+            going = going[~hit & (held != 0)]
         return out
 
     def marginals(self, rows: np.ndarray) -> np.ndarray:
@@ -359,14 +366,14 @@ def lattice_scores(
             break
         taken, least = taken + row["n"], row["total"]
     frequent = scored.filter(F.col("total") >= least) if least is not None else scored.limit(0)
-    found = frequent.select("mark", "train", "marginal").toPandas().astype({"mark": "int64"})  # most_head rows at most
+    found = frequent.select("mark", "train", "marginal").toArrow()  # most_head rows at most
     marks = found["mark"].to_numpy().view(np.uint64)
     order = np.argsort(marks)
     head = spark.sparkContext.broadcast(
         (
             marks[order],
-            found["train"].to_numpy(dtype=np.int64)[order],
-            found["marginal"].to_numpy(dtype=float)[order] / log(10),
+            found["train"].to_numpy()[order],
+            found["marginal"].to_numpy()[order] / log(10),
         )
     )
     base_of_total = log10(n + v + 1)
