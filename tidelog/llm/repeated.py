@@ -6,6 +6,7 @@ fingerprint, so equal windows have equal anchors and only one run of words in te
 1. Anchors that occur at one place only are dropped: their windows occur once. What the other anchors
    cover of a document are its passages, of which equal ones become one with a count.
 2. The windows of the passages are counted by 128-bit fingerprints; those that occur twice or more recur.
+   The others are the few that are sent back to their passage.
 3. A passage's stretch of recurring windows is covered by windows at its start, every n words, and at
    its end. Those are the patterns. A task takes passages up to a number of characters, compiles the
    patterns recurring in them into one Aho-Corasick automaton and streams the passages through it: the
@@ -135,7 +136,8 @@ def _passages(n: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, texts, wanted = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
-            out: list[tuple] = []
+            # the text goes along, for the documents that words are removed from
+            out: list[tuple] = [(row, -1, 0, 0, texts[j].as_py()) for j, row in enumerate(rows)]
             for j, row in enumerate(rows):
                 words = words_of(texts.slice(j, 1))
                 least, _, _ = anchors(words, n)
@@ -219,7 +221,7 @@ def located(automaton: ahocorasick.Automaton, passage: str, n: int) -> list[tupl
 
 
 def _locate(n: int, shard_chars: int):
-    """(passage number, text, recurring window starts or null for all) -> (number, covered words)."""
+    """(passage number, text, starts of windows that do not recur or null for none) -> (number, covered words)."""
     kinds = pa.schema([("number", pa.int64()), ("covered", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,10 +238,14 @@ def _locate(n: int, shard_chars: int):
             return pa.RecordBatch.from_pylist(found, schema=kinds)
 
         for batch in batches:
-            for number, text, starts in zip(*batch.columns, strict=True):
+            for number, text, once in zip(*batch.columns, strict=True):
                 passage = text.as_py()
                 words = passage.split(" ")
-                where = np.arange(len(words) - n + 1) if not starts.is_valid else np.sort(np.asarray(starts.values))
+                where = np.arange(len(words) - n + 1)
+                if once.is_valid:
+                    where = np.delete(where, np.asarray(once.values))
+                if not len(where):
+                    continue
                 for at in pattern_starts(where, n):
                     patterns.add(f" {' '.join(words[at : at + n])} ")
                 held.append((number.as_py(), passage))
@@ -253,6 +259,7 @@ def _locate(n: int, shard_chars: int):
     return run
 
 
+_FINISHED = ("row", "doc_id", "text", "n_words", "whole_sha256", "covered")
 _OUT = "row bigint, doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
 
 
@@ -309,49 +316,50 @@ def without_repeats(
     if not 1 <= window <= 100:
         raise ValueError("a window has 1 to 100 words")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    whole = store(rows.mapInArrow(_scan(window), _SCANNED), "scanned").rows
-    begun = whole.select("row", F.explode("anchors").alias("mark"))
+    whole = store(rows.mapInArrow(_scan(window), _SCANNED), "scanned")
+    base = store(whole.rows.select("row", "doc_id", "n_words", "whole_sha256"), "documents")
+    begun = whole.rows.select("row", F.explode("anchors").alias("mark"))
     again = begun.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
     again = store(again, "anchors")
     wanted = begun.join(again.rows, "mark").groupBy("row").agg(F.collect_set("mark").alias("marks"))
     wanted = store(wanted, "wanted")
     again.drop()
-    cut = whole.select("row", "text").join(wanted.rows, "row").select("row", "text", "marks")
+    cut = whole.rows.select("row", "text").join(wanted.rows, "row").select("row", "text", "marks")
     passages = store(cut.mapInArrow(_passages(window), _PASSAGES), "passages")
     wanted.drop()
+    if not with_text:
+        whole.drop()
     key = ["high", "low"]
-    counted = passages.rows.groupBy(*key).agg(F.count("*").alias("copies"), F.first("passage").alias("passage"))
+    cuts = passages.rows.filter("start >= 0")
+    counted = cuts.groupBy(*key).agg(F.count("*").alias("copies"), F.first("passage").alias("passage"))
     distinct = store(
         counted.select(F.monotonically_increasing_id().alias("number"), *key, "copies", "passage"), "distinct"
     ).rows
     windows = distinct.select("number", "copies", "passage").mapInArrow(
         _windows(window), "x bigint, y bigint, number bigint, at int, copies bigint"
     )
-    recurring = windows.groupBy("x", "y").agg(F.sum("copies").alias("n")).filter("n > 1").select("x", "y")
-    recurring = store(recurring, "recurring")
-    # in a passage that occurs twice or more, all windows do
-    single = distinct.filter("copies = 1").select("number", "copies", "passage").mapInArrow(
-        _windows(window), "x bigint, y bigint, number bigint, at int, copies bigint"
-    )
-    starts = (
-        single.select("x", "y", "number", "at")
-        .join(recurring.rows, ["x", "y"])
-        .groupBy("number")
-        .agg(F.collect_list("at").alias("starts"))
+    # nearly all windows here recur, so the few that do not are looked for: such a window is in one place
+    single = windows.groupBy("x", "y").agg(
+        F.sum("copies").alias("n"), F.min("number").alias("number"), F.min("at").alias("at")
     )
-    starts = store(starts, "starts")
-    recurring.drop()
-    found = distinct.select("number", "passage", "copies").join(starts.rows, "number", "left")
-    found = found.filter("copies > 1 OR starts IS NOT NULL").select("number", "passage", "starts")
+    single = single.filter("n = 1").groupBy("number").agg(F.collect_list("at").alias("once"))
+    once = store(single, "once")
+    found = distinct.select("number", "passage").join(once.rows, "number", "left")
     covered = store(
         found.mapInArrow(_locate(window, shard_chars), "number bigint, covered array<struct<a: bigint, b: bigint>>"),
         "covered",
     )
-    starts.drop()
+    once.drop()
     named = store(distinct.select(*key, "number").join(covered.rows, "number").select(*key, "covered"), "named")
-    places = passages.rows.select("row", "start", *key).join(named.rows, key)
+    places = cuts.select("row", "start", *key).join(named.rows, key)
     moved = F.transform("covered", lambda x: F.struct((x["a"] + F.col("start")).alias("a"), (x["b"] + F.col("start")).alias("b")))
     of_row = places.select("row", moved.alias("covered")).groupBy("row").agg(F.flatten(F.collect_list("covered")).alias("covered"))
     of_row = store(of_row, "removed")
-    passages.drop()
-    return whole.drop("anchors").join(of_row.rows, "row", "left").mapInArrow(_finish(with_text), _OUT)
+    if with_text:
+        passages.drop()
+        changed = whole.rows.drop("anchors").join(of_row.rows, "row", "left")
+        return changed.mapInArrow(_finish(True), _OUT)
+    # only texts that hold a passage are read again
+    texts = passages.rows.filter("start < 0").select("row", F.col("passage").alias("text"))
+    changed = texts.join(of_row.rows, "row")
+    return base.rows.join(changed, "row", "left").select(*_FINISHED).mapInArrow(_finish(False), _OUT)
