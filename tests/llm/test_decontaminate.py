@@ -41,6 +41,25 @@ def test_documents_with_items(spark):
     assert sorted((r["doc_id"] for r in clean.collect()), key=repr) == sorted((i for i, b in want if not b), key=repr)
 
 
+def test_items_with_their_parts_in_another_order(spark):
+    items = [(1, prose(600, 59)), (2, prose(601, 40)), (3, "x y z u v w " * 9)]
+    one, two = items[0][1].split(), items[1][1].split()
+    docs = [
+        (1, " ".join([prose(602, 30), *one[29:], *one[:29], prose(603, 30)])),
+        (2, " ".join([prose(604, 30), *two[-8:], *two[:-8], prose(605, 30)])),
+        (3, " ".join([*one[29:], *one[:29]])),
+        (4, " ".join([*two[20:], prose(606, 15), *two[:20]])),
+        (5, "z u v w x y " * 40),
+        (None, " ".join([*two[-8:], *two[:-8], prose(607, 300), *one[29:], *one[:29]])),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontaminate.contamination(frame(spark, docs), benchmark).collect()
+    found = {r["doc_id"]: (r["item_id"], r["similarity"], r["at"]) if r["contaminated"] else None for r in got}
+    want = {i: best_item(t, items) for i, t in docs}
+    assert found == want
+    assert [i for i, b in want.items() if not b] == [4]
+
+
 def test_no_rows(spark, nothing, odd):
     benchmark = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.contamination(nothing, benchmark).collect() == []

@@ -3,9 +3,9 @@
 All of it is DataFrame functions. Words are lower-cased; a text's shingles are its runs of five words,
 hashed to 64 bits (with fewer words, the whole text as one).
 
-1. A window is laid wherever a shingle of an item occurs in a document, so that the shingle has the same
-   place in the window as in the item; a window has as many words as the item and lies inside the document
-   (a shorter document is a window as a whole). A window without a shingle of any item is like none.
+1. A window has as many words as an item and lies inside the document (a shorter document is a window as
+   a whole). Windows are laid at all starts, in any order of an item's parts, where the window holds so many
+   shingles of items of its size that the similarity can be reached; no other window is like an item.
 2. The window and the items get a 64-bit SimHash, each bit the majority of that bit over the shingles.
    Two texts of similarity 0.75 differ in about 11 bits, and hardly ever in more than `RADIUS`.
 3. The fingerprint is cut into blocks of bits. Fingerprints that differ in at most 2 x blocks - 1 bits
@@ -120,6 +120,41 @@ def _bounded(df: DataFrame, n: int) -> DataFrame:
     return F.broadcast(df) if n <= MOST_BROADCAST else df
 
 
+def _runs(hits: str, n: str, size: str, least: float) -> Column:
+    """(low, high) of the runs of starts whose windows may be like an item, in order and apart.
+
+    `hits` are the sorted places of the document's shingles that some item of this size has. A window of
+    w shingles needs c of them, and holds hits[i] to hits[i + c - 1] if it starts from
+    hits[i + c - 1] - w + 1 to hits[i]; both ends grow with i.
+    """
+
+    def shingles(words: str) -> Column:
+        return F.greatest(F.col(words) - (SHINGLE - 1), F.lit(1))
+
+    width = F.least(shingles(n), shingles(size))
+    # shared / (width + shingles of the item - shared) >= least
+    fewest = F.ceil((width + shingles(size)) * (least / (1 + least)) - 1e-6).cast("int")
+    last = F.greatest(F.lit(0), F.col(n) - F.col(size))
+
+    def run(hit: Column, i: Column, w: Column, c: Column) -> Column:
+        low = F.greatest(F.lit(0), F.get(hit, i + c - 1) - w + 1, F.get(hit, i - 1) + 1)
+        return F.struct(low.alias("low"), F.least(F.get(hit, i), last).alias("high"))
+
+    bound = F.transform(
+        F.array(F.struct(F.col(hits).alias("hit"), width.alias("w"), F.greatest(fewest, F.lit(1)).alias("c"))),
+        lambda x: F.when(
+            F.size(x["hit"]) >= x["c"],
+            F.filter(
+                F.transform(
+                    F.sequence(F.lit(0), F.size(x["hit"]) - x["c"]), lambda i: run(x["hit"], i, x["w"], x["c"])
+                ),
+                lambda r: r["low"] <= r["high"],
+            ),
+        ),
+    )
+    return F.get(bound, F.lit(0))
+
+
 def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item_id, size, marks, bits) of the items that have a word."""
     cut = benchmark.select(F.col(id_col).cast("bigint").alias("item_id"), shingled(F.col(text_col)).alias("cut"))
@@ -130,34 +165,36 @@ def item_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "t
 def contaminated_windows(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY
 ) -> DataFrame:
-    """(doc_id, hash, at, item_id, similarity): windows like an item; `hash` is that of the document's text."""
+    """(doc_id, hash, at, placed, item_id, similarity): windows like an item; `hash` is that of the document's text.
+
+    `placed` tells that a shingle has the same place in the window as in an item of that size.
+    """
     items = store(item_table(benchmark), "items").rows
     number = items.agg(F.sum(F.size("marks"))).first()[0] or 0
-    placed = items.select(
-        F.col("size").alias("size"),
-        F.posexplode("marks").alias("place", "mark"),
-        F.expr("marks").alias("own"),
-    ).select(
-        "size",
-        "place",
-        "mark",
-        F.when(F.col("place") > 0, F.get("own", F.col("place") - 1)).alias("before"),
-    ).distinct()
-    cut = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("hash"), shingled(F.col(text_col)).alias("cut")
+    placed = items.select("size", F.posexplode("marks").alias("place", "mark")).distinct()
+    texts = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("_text")
     )
-    spread = cut.select("doc_id", "hash", "cut", F.posexplode("cut.marks").alias("p", "mark"))
-    spread = spread.withColumns({"n": F.col("cut.n"), "marks": F.col("cut.marks")})
-    met = spread.join(_bounded(placed, number), "mark")
-    # one row for a run of shingles that follow each other in the item as in the document
-    first = F.col("before").isNull() | (F.col("p") == 0) | (F.get("marks", F.col("p") - 1) != F.col("before"))
-    at = F.greatest(F.lit(0), F.least(F.col("p") - F.col("place"), F.col("n") - F.col("size")))
-    laid = met.filter(first).select("doc_id", "hash", "size", at.alias("at"), "marks")
+    cut = texts.select("doc_id", "hash", shingled(F.col("_text")).alias("cut"))
+    spread = cut.select("doc_id", "hash", F.col("cut.n").alias("n"), F.posexplode("cut.marks").alias("p", "mark"))
+    last = F.greatest(F.lit(0), F.col("n") - F.col("size"))
+    at = F.greatest(F.lit(0), F.least(F.col("p") - F.col("place"), last))
+    met = spread.join(_bounded(placed, number), "mark").groupBy("doc_id", "hash", "n", "size")
+    met = met.agg(F.array_sort(F.collect_set("p")).alias("hits"), F.collect_set(at).alias("placed"))
+    runs = met.withColumn("runs", _runs("hits", "n", "size", least)).filter(F.size("runs") > 0)
+    starts = store(runs.select("doc_id", "hash", "size", "runs", "placed"), "starts").rows
+    keys = starts.select(F.col("doc_id").alias("d"), F.col("hash").alias("h"), "size", "runs", "placed")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h"))
+    held = texts.join(keys, same).withColumn("cut", shingled(F.col("_text")))
+    laid = held.select(
+        "doc_id", "hash", "size", "placed", F.col("cut.marks").alias("marks"), F.inline("runs").alias("low", "high")
+    ).withColumn("at", F.explode(F.sequence("low", "high")))
     windows = laid.select(
         "doc_id",
         "hash",
         "size",
         "at",
+        F.array_contains("placed", F.col("at")).alias("placed"),
         F.slice("marks", F.col("at") + 1, F.greatest(F.col("size") - (SHINGLE - 1), F.lit(1))).alias("window"),
     ).distinct()
     printed = store(windows.withColumn("bits", simhash(F.col("window"))), "windows").rows
@@ -178,7 +215,7 @@ def contaminated_windows(
     ]
     pairs = near.filter(F.col("block") == F.coalesce(*agree))
     verified = pairs.withColumn("similarity", similarity("window", "item")).filter(F.col("similarity") >= least)
-    return verified.select("doc_id", "hash", "at", "item_id", "similarity")
+    return verified.select("doc_id", "hash", "at", "placed", "item_id", "similarity")
 
 
 def contamination(
@@ -186,13 +223,13 @@ def contamination(
 ) -> DataFrame:
     """(doc_id, hash, contaminated, item_id, similarity, at), one row for each row of `docs`.
 
-    The most similar item counts, of equals the one with the smallest id, at its first place. A null
-    text is empty; empty texts and items are like nothing. Items of fewer than five words are only
+    The most similar item counts, of equals the one with the smallest id, at its first place; of equal
+    windows those come first in which a shingle has its place in the item. A null text is empty; empty texts and items are like nothing. Items of fewer than five words are only
     found in documents of fewer than five words. Equal rows get equal results; null ids are ids like
     any other. Other columns are not read.
     """
     found = contaminated_windows(docs, benchmark, id_col, text_col, least)
-    best = F.max(F.struct("similarity", (-F.col("item_id")).alias("item"), (-F.col("at")).alias("at")))
+    best = F.max(F.struct("similarity", (-F.col("item_id")).alias("item"), "placed", (-F.col("at")).alias("at")))
     worst = found.groupBy(F.col("doc_id").alias("d"), F.col("hash").alias("h")).agg(best.alias("best"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("hash"))
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h"))
