@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import frame, odd_texts
@@ -49,6 +50,24 @@ def test_a_target_out_of_reach_is_met_as_closely_as_can_be(spark):
     assert rates[0] == 0 and np.allclose(totals, (want * tokens) @ p, rtol=0.01)
 
 
+@pytest.mark.parametrize("supply", [(0.97, 0.02, 0.01), (0.995, 0.003, 0.002), (0.998, 0.001, 0.001)])
+def test_targets_of_rare_domains_are_met(spark, supply):
+    draw = np.random.default_rng(4)
+    of = np.repeat([0, 1, 2], np.round(np.array(supply) * 2000).astype(int))
+    p = np.where(np.arange(3) == of[:, None], 0.998, 0.001)
+    tokens = draw.integers(1, 500, len(of))
+    for targets, budget in ([0.9, 0.07, 0.03], 1.0), ([0.98, 0.005, 0.015], 1.1):
+        rates, totals = fitted(spark, p, tokens, targets, budget)
+        assert (rates >= 0).all() and np.allclose((rates * tokens) @ p, totals)
+        assert np.allclose(totals / (budget * tokens.sum()), targets, rtol=0.001)
+
+
+def test_a_missed_target_is_said(spark):
+    p = np.array([[0.9, 0.1], [0.6, 0.4]])
+    with pytest.warns(UserWarning, match="missed by"):
+        fitted(spark, p, np.array([100, 100]), [0.1, 0.9])
+
+
 def test_tables(spark):
     docs, labels = (spark.read.parquet(f"{DIR}/{n}.parquet") for n in ("documents", "labels"))
     rates, totals = mixing.mixed_rates(docs, labels)

@@ -3,7 +3,10 @@
 A classifier fitted on a labelled table gives each document a posterior over the domains. A rate of at
 least 0 for each document is then sought such that the expected tokens of each domain, the sum over
 documents of rate x tokens x posterior, are the target's share of a token budget. The squared miss is
-lowered by projected gradient steps with momentum, from rate 1 for all.
+lowered by projected gradient steps with momentum, from rate 1 for all. The domains' misses are first
+scaled by the inverse of the sums of products of posteriors, so that rare domains come as fast as others;
+where that does not reach the targets, unscaled steps go to the least squared miss. Steps go on until
+each target is met, or no step helps any more; then a warning names what is missed.
 
 The gradient of a document is a product of its posterior and one number for each domain. So a step
 sends the driver those few sums, and a task works out a document's rate again from its posterior and
@@ -12,6 +15,7 @@ the numbers of the steps so far; nothing has to be kept between steps.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -24,7 +28,9 @@ from tidelog.llm.quality import PLACES, indicators, with_indicators
 from tidelog.llm.storage import Stored, store
 from tidelog.llm.words import pieces, words_of
 
+#: steps go on while so many of them halve the squared miss at least
 STEPS = 60
+#: share of each target that may be missed
 TOLERANCE = 1e-6
 #: a text counts as at most so many independent indicators
 EVIDENCE = 30.0
@@ -103,41 +109,45 @@ def with_posteriors(docs: DataFrame, model: DomainModel, text_col: str = "text")
     return docs.select(*others, text_col).mapInArrow(run, schema)
 
 
-def replayed(posterior: np.ndarray, steps: Sequence[Sequence[float]], look_ahead: bool) -> np.ndarray:
-    """Rates after the given steps; each step holds what a posterior is multiplied with.
+def replayed(posterior: np.ndarray, steps: Sequence[Sequence[float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the given steps, and the point at which the next gradient is taken, which momentum carries on.
 
-    With `look_ahead` the point at which the next gradient is taken, which momentum carries on.
+    Each step holds what a posterior is multiplied with, and at the end its momentum.
     """
     rate = point = np.ones(len(posterior))
-    speed = 1.0
-    for step in steps:
+    for *step, momentum in steps:
         new = np.maximum(0.0, point - posterior @ np.asarray(step))
-        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
-        point = new + (speed - 1) / faster * (new - rate)
-        rate, speed = new, faster
-    return point if look_ahead else rate
+        point = new + momentum * (new - rate)
+        rate = new
+    return rate, point
 
 
 def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(-1, k)
 
 
-def _totals(kept: Stored, steps: list[list[float]], k: int, look_ahead: bool) -> np.ndarray:
-    """Expected tokens of each domain under the rates after some steps."""
+def _totals(kept: Stored, steps: list[list[float]], k: int) -> np.ndarray:
+    """Expected tokens of each domain after some steps: under the rates, and where the next gradient is taken.
+
+    And at the end of both rows the tokens times the square of what the last step moved a rate by.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(k)
+        total = np.zeros((2, k + 1))
         for batch in batches:
             p = _matrix(batch.column(1), k)
-            total += (replayed(p, steps, look_ahead) * np.asarray(batch.column(0), dtype=float)) @ p
-        yield pa.RecordBatch.from_arrays([pa.array(total), pa.array(np.arange(k))], names=["total", "domain"])
-
-    sums = kept.rows.select("n_tokens", "posterior").mapInArrow(run, "total double, domain bigint")
-    found = sums.groupBy("domain").agg(F.sum("total").alias("total")).collect()
-    out = np.zeros(k)
+            n = np.asarray(batch.column(0), dtype=float)
+            rate, point = replayed(p, steps)
+            total[:, :k] += np.stack([rate, point]) * n @ p
+            total[:, k] += n @ (rate - replayed(p, steps[:-1])[1]) ** 2
+        yield pa.RecordBatch.from_arrays([pa.array(total.ravel()), pa.array(np.arange(total.size))], names=["total", "at"])
+
+    sums = kept.rows.select("n_tokens", "posterior").mapInArrow(run, "total double, at bigint")
+    found = sums.groupBy("at").agg(F.sum("total").alias("total")).collect()
+    out = np.zeros(2 * k + 2)
     for row in found:
-        out[row["domain"]] = row["total"]
-    return out
+        out[row["at"]] = row["total"]
+    return out.reshape(2, k + 1)
 
 
 def fit_rates(
@@ -145,9 +155,12 @@ def fit_rates(
 ) -> tuple[list[list[float]], np.ndarray]:
     """(the steps to replay, expected tokens of each domain at the end).
 
-    The objective is half the squared miss of the domains' shares; `budget` is the tokens aimed at for
-    each token there is. A step's length is the inverse of the largest curvature, from the sums of products of
-    posteriors. It ends when the largest miss is below the tolerance, or no step helps any more.
+    `budget` is the tokens aimed at for each token there is. The objective is half the squared miss of the
+    domains' shares, scaled by the inverse of the sums of products of posteriors, for which a step's length
+    is 1; then without the scale, for which it is the inverse of the largest curvature. Momentum starts anew
+    when a step did not lower it. Each ends when every target is met up to the tolerance, a share of it, or when a
+    step moves no rate any more, or `steps` steps have not halved the objective; if the targets are not met
+    in the end, a warning gives the misses.
     """
     k = len(targets)
     goal = np.asarray(targets, dtype=float) / sum(targets)
@@ -163,13 +176,32 @@ def fit_rates(
     if not budget:
         return history, np.zeros(k)
     gram = np.array([[row[f"p{i}_{j}"] for j in range(k)] for i in range(k)]) / budget
-    length = 1.0 / max(float(np.linalg.eigvalsh(gram)[-1]), 1e-12)
-    for _ in range(steps):
-        miss = _totals(kept, history, k, look_ahead=True) / budget - goal
-        if np.abs(miss).max() < tolerance:
-            break
-        history.append((length * miss).tolist())
-    return history, _totals(kept, history, k, look_ahead=False)
+    plain = np.eye(k) / max(float(np.linalg.eigvalsh(gram)[-1]), 1e-12)
+    allowed = tolerance * np.where(goal > 0, goal, 1.0)
+    totals = _totals(kept, history, k)
+    for scale in (np.linalg.pinv(gram, rcond=1e-9, hermitian=True), plain):
+        totals[1] = totals[0]
+        if history:
+            history[-1][-1] = 0.0
+        squares: list[float] = []
+        speed = 1.0
+        while True:
+            miss, ahead = totals[:, :k] / budget - goal
+            if (np.abs(miss) <= allowed).all():
+                return history, totals[0, :k]
+            squares.append(float(miss @ scale @ miss))
+            still = len(squares) > 1 and totals[0, k] <= tokens * (1e-3 * tolerance) ** 2
+            if still or len(squares) > steps and squares[-1] > squares[-1 - steps] / 2:
+                break
+            if len(squares) > 1 and squares[-1] >= squares[-2]:
+                speed = 1.0
+            faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
+            history.append([*(scale @ ahead).tolist(), float((speed - 1) / faster)])
+            speed = faster
+            totals = _totals(kept, history, k)
+    missed = ", ".join(f"{100 * m:+.4f} of {100 * g:.4f}" for m, g in zip(miss, goal, strict=True))
+    warnings.warn(f"no rates were found that meet the targets; missed by, in % of the tokens: {missed}", stacklevel=2)
+    return history, totals[0, :k]
 
 
 def with_rates(kept: Stored, steps: list[list[float]], k: int) -> DataFrame:
@@ -180,7 +212,7 @@ def with_rates(kept: Stored, steps: list[list[float]], k: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rates = pa.array(replayed(_matrix(batch.column(at), k), steps, False))
+            rates = pa.array(replayed(_matrix(batch.column(at), k), steps)[0])
             yield pa.RecordBatch.from_arrays([*batch.columns, rates], names=[f.name for f in schema])
 
     return rows.mapInArrow(run, schema)
