@@ -20,7 +20,7 @@ def connection():
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -28,8 +28,9 @@ def test_query(spark, connection, name):
     frame = queries()[name](spark, DIR)
     columns = sorted(frame.columns)
     got = [tuple(_plain(v) for v in row) for row in frame.select(*columns).collect()]
-    table = "pages" if name == "op3_warc" else "documents"
-    assert len(got) == connection.execute(f"SELECT count(*) FROM {table}").fetchone()[0]
+    if name not in ("op12_hard_negatives", "op13_ranked_search"):  # those have a row for each
+        table = "pages" if name == "op3_warc" else "documents"
+        assert len(got) == connection.execute(f"SELECT count(*) FROM {table}").fetchone()[0]
     if name in oracle_sql():
         result = connection.execute(oracle_sql()[name])
         found = [d[0] for d in result.description]

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators."""
+"""The registered queries of the operators."""
 
 from __future__ import annotations
 
@@ -9,10 +9,13 @@ from tidelog.llm import (
     disclosure,
     exact,
     lattice,
+    lexical,
     minhash,
     mixing,
+    negatives,
     quality,
     repeated,
+    scaled,
     tokens,
     warc,
 )
@@ -176,3 +179,60 @@ def op2_substring_dedup(spark, sf_dir):
 @query("op4_lattice")
 def op4_lattice(spark, sf_dir):
     return lattice.lattice_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op11_scaled_sketch")
+def op11_scaled_sketch(spark, sf_dir):
+    return scaled.scaled_fingerprints(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS no, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS MATERIALIZED (
+  SELECT a.no, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.no <> b.no),
+pos AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, vec_id) AS place FROM met WHERE same QUALIFY place <= 5),
+neg AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.no, p.place ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM pos p JOIN met n ON n.no = p.no AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark, sf_dir):
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM documents),
+b AS (SELECT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+q AS MATERIALIZED (SELECT item_id, term, count(*) AS often FROM b GROUP BY ALL),
+total AS MATERIALIZED (SELECT count(*) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM d WHERE len(t) > 0),
+tf AS MATERIALIZED (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(t) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM tf, total GROUP BY term),
+m AS (SELECT row, doc_id, 100 - 25 + ((25 * len(t) * docs) // terms) AS m FROM d, total WHERE len(t) > 0),
+s AS (SELECT item_id, row, any_value(doc_id) AS doc_id,
+        CAST(sum(often * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM tf JOIN w USING (term) JOIN m USING (row) JOIN q USING (term) GROUP BY item_id, row)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query("op13_ranked_search", OP13_SQL)
+def op13_ranked_search(spark, sf_dir):
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

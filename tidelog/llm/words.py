@@ -83,8 +83,11 @@ class Words:
         return self.data[self.start[low] : self.end[high - 1]].tobytes().split() if high > low else []
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
-    """Words of a string array; a null is an empty text. `lower` takes A-Z as a-z."""
+def words_of(texts: pa.Array, lower: bool = False, breaks: np.ndarray = _SPACE) -> Words:
+    """Words of a string array; a null is an empty text. `lower` takes A-Z as a-z.
+
+    `breaks` says for each byte whether it parts words.
+    """
     if texts.null_count:
         texts = texts.fill_null("")
     texts = texts.cast(pa.large_string())
@@ -97,7 +100,7 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     if n == 0:
         none = np.zeros(0, dtype=np.int64)
         return Words(data, none, none, none, np.zeros(len(texts) + 1, dtype=np.int64), none.astype(np.uint64))
-    space = _SPACE[data]
+    space = breaks[data]
     cut = np.zeros(n + 1, dtype=bool)
     cut[offsets] = True
     begins = ~space
