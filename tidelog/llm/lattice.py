@@ -1,6 +1,6 @@
 """Probability of a text under all its segmentations into pieces of an existing vocabulary.
 
-A text is its words, each after a blank, and an end. Pieces do not cross words, so the lattice of a text
+A text is its words, A-Z as a-z, each after a blank, and an end. Pieces do not cross words, so the lattice of a text
 falls apart into those of its words, and the marginal probability of a word, the sum over all its
 segmentations of the product of their pieces' probabilities, is worked out once for each distinct word by
 the forward recursion in logarithms. Every byte is a piece, so each word has a segmentation.
@@ -32,10 +32,13 @@ from tidelog.llm.words import mixed, pieces, words_of
 MOST_HEAD = 300_000
 #: weight of the vocabulary's prior, in pieces
 PRIOR = 50_000.0
-_MOST_KEPT = 1_000_000
+#: words that a task holds before it hands them on
+_MOST_KEPT = 200_000
 #: stands for the end of a text in the table of words; no word is empty
 END = ""
 _SPAN = 1 << 18
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
 _RANDOM = np.random.Generator(np.random.PCG64(4711))
 _BYTES = _RANDOM.integers(1, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -168,20 +171,25 @@ def held_out(id_col: str, folds: int = 7, held: int = 2) -> Column:
 _COUNTED = "word string, train bigint, total bigint"
 
 
+def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The stretches of UTF-8 bytes as strings, A-Z as a-z."""
+    sizes = end - start
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], sizes)
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(_LOWER[data[at]])]
+    return pa.Array.from_buffers(pa.string(), len(sizes), buffers)
+
+
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(held_out, text) -> distinct words of a task with their counts; some rounds of it for a large task."""
-    words: dict[bytes, list[int]] = {}
+    """(held_out, text) -> words with their counts, each word once for every `_MOST_KEPT` that were found."""
+    kept: list[tuple] = []
 
     def out() -> pa.RecordBatch:
-        train, total = zip(*words.values(), strict=True)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([x.decode() for x in words], type=pa.string()),
-                pa.array(train, type=pa.int64()),
-                pa.array(total, type=pa.int64()),
-            ],
-            names=["word", "train", "total"],
-        )
+        marks, train, total = (np.concatenate([k[n] for k in kept]) for n in range(3))
+        words = pa.concat_arrays([k[3] for k in kept])
+        _, first, inverse = np.unique(marks, return_index=True, return_inverse=True)
+        sums = [pa.array(np.bincount(inverse, weights=x).astype(np.int64)) for x in (train, total)]
+        return pa.RecordBatch.from_arrays([words.take(pa.array(first)), *sums], names=["word", "train", "total"])
 
     end = [0, 0]
     for batch in batches:
@@ -189,27 +197,23 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end[0] += int((~held).sum())
         end[1] += len(held)
         for low, high in pieces(texts):
-            found = words_of(texts.slice(low, high - low))
+            found = words_of(texts.slice(low, high - low), lower=True)
             if not len(found.mark):
                 continue
             marks, first, inverse, count = np.unique(
                 found.mark, return_index=True, return_inverse=True, return_counts=True
             )
             train = np.bincount(inverse, weights=~held[low + found.text], minlength=len(marks)).astype(np.int64)
-            starts, stops = found.start[first].tolist(), found.end[first].tolist()
-            data = found.data.tobytes()
-            for a, b, n, m in zip(starts, stops, train.tolist(), count.tolist(), strict=True):
-                known = words.get(data[a:b])
-                if known is None:
-                    words[data[a:b]] = [n, m]
-                else:
-                    known[0] += n
-                    known[1] += m
-            if len(words) > _MOST_KEPT:
+            kept.append((marks, train, count, _strings(found.data, found.start[first], found.end[first])))
+            if sum(len(k[0]) for k in kept) > _MOST_KEPT:
                 yield out()
-                words.clear()
-    words[END.encode()] = end
-    yield out()
+                kept = []
+    if kept:
+        yield out()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([END]), pa.array(end[:1], type=pa.int64()), pa.array(end[1:], type=pa.int64())],
+        names=["word", "train", "total"],
+    )
 
 
 def _cut(path: str, size: int):
@@ -268,7 +272,7 @@ def _score_docs(head, base_of_total: float, end_train: int, end_log: float):
         for batch in batches:
             texts = batch.column(2)
             for low, high in pieces(texts):
-                found = words_of(texts.slice(low, high - low))
+                found = words_of(texts.slice(low, high - low), lower=True)
                 at = np.minimum(np.searchsorted(marks, found.mark), max(0, len(marks) - 1))
                 there = marks[at] == found.mark if len(marks) else np.zeros(len(found.mark), dtype=bool)
                 n = high - low
