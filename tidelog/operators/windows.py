@@ -11,14 +11,31 @@ from pyspark.sql import types as T
 from tidelog.operators.ordered import HOT_KEY_ROWS, running, sessions
 
 
-def watermarked(df: DataFrame, ts: str, lateness: str = "0 seconds") -> DataFrame:
+#: event time of the row that ends a bounded stream; rows of the input must lie before it
+END_OF_INPUT = "9999-01-01 00:00:00"
+
+
+def watermarked(df: DataFrame, ts: str, lateness: str = "0 seconds", ended: str | None = None) -> DataFrame:
     """Declare the event-time column and how late rows may come; 0 means ascending times.
 
     Watermarks need a point in time, so a time without zone is read as session time (UTC).
+
+    `ended` names a folder that is read along with the stream. `jobs.run_bounded` puts one row into it when the
+    input has been read, whose time moves the watermark past everything, so that all windows,
+    sessions and timers that are still open are given out. No operator sees that row.
     """
     if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
         df = df.withColumn(ts, F.col(ts).cast("timestamp"))
-    return df.withWatermark(ts, lateness)
+    if ended is None or not df.isStreaming:
+        return df.withWatermark(ts, lateness)
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(ended)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    last = spark.readStream.schema("at timestamp").parquet(ended)
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != ts else F.col("at").alias(ts) for f in df.schema]
+    both = df.unionByName(last.select(*columns)).withWatermark(ts, lateness)
+    # a filter on the event time itself stays above the watermark, which so takes the last row in
+    return both.filter(F.col(ts).isNull() | (F.col(ts) < F.lit(END_OF_INPUT).cast("timestamp")))
 
 
 def time_windows(

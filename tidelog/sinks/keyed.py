@@ -27,7 +27,7 @@ _VERSION = "_version"
 _BATCHES = 10**9  # numbers of one writer
 
 
-def _folder(spark: SparkSession, name: str):
+def hadoop_folder(spark: SparkSession, name: str):
     """(path classes, path, its file system) of a folder."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     path = hadoop.Path(name)
@@ -43,7 +43,7 @@ def version_of(spark: SparkSession, path: str, writer: str | None, batch: int) -
         return batch
     if batch >= _BATCHES:
         raise ValueError(f"batch {batch} is beyond {_BATCHES}")
-    hadoop, folder, files = _folder(spark, f"{path.rstrip('/')}/_writers")
+    hadoop, folder, files = hadoop_folder(spark, f"{path.rstrip('/')}/_writers")
     names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
     known = {name.split("=", 1)[1]: int(name.split("=", 1)[0]) for name in names}
     if writer not in known:
@@ -53,13 +53,13 @@ def version_of(spark: SparkSession, path: str, writer: str | None, batch: int) -
 
 
 def _delete(spark: SparkSession, name: str) -> None:
-    _, path, files = _folder(spark, name)
+    _, path, files = hadoop_folder(spark, name)
     files.delete(path, True)
 
 
 def _finished(spark: SparkSession, folder: str, name: str) -> list[int]:
     """Numbers of the complete `name=<number>` folders."""
-    hadoop, path, files = _folder(spark, folder)
+    hadoop, path, files = hadoop_folder(spark, folder)
     if not files.exists(path):
         return []
     found = [status.getPath() for status in files.listStatus(path) if status.isDirectory()]

@@ -11,13 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidelog.operators.ordered import HOT_KEY_ROWS, Aggregates, running
+from tidelog.operators.windows import END_OF_INPUT
 from tidelog.session import configure
-from tidelog.sinks.keyed import KeyedTable, version_of
+from tidelog.sinks.keyed import KeyedTable, hadoop_folder, version_of
 
 # micro-batches between two compactions of a keyed table
 COMPACT_EVERY = 10
@@ -124,6 +125,21 @@ def upsert_several(
     return to_batches(df, apply, checkpoint, "append", every, name)
 
 
+def run_bounded(start: Callable[[], StreamingQuery], ended: str, spark: SparkSession) -> None:
+    """Run a stream over all there is, then once more so that nothing stays open.
+
+    `start` starts the query from its checkpoint; its frame was made by `windows.watermarked` with the same
+    folder `ended`. After that the input has ended: rows that come later are late. A run that failed
+    is repeated by calling this again.
+    """
+    start().awaitTermination()
+    _, folder, files = hadoop_folder(spark, ended)
+    if not files.exists(folder) or not files.listStatus(folder):
+        rows = spark.range(1).select(F.lit(END_OF_INPUT).cast("timestamp").alias("at"))
+        rows.coalesce(1).write.mode("overwrite").parquet(ended)
+    start().awaitTermination()
+
+
 def run_until_idle(query: StreamingQuery, poll_seconds: float = 0.3) -> None:
     """Stop a stream once micro-batches find no new rows.
 
