@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import windows
 from tidelog.sinks import files as sink
+from tidelog.sinks.derived import DerivedTable
 from tidelog.sinks.keyed import KeyedTable
 from tidelog.sources import files, generate, messages
 from tidelog.streaming import jobs, state
@@ -81,7 +82,7 @@ def test_running_sum_state(feed, tmp_path):
     numbered = [(n, pump, litres) for n, (_, pump, litres) in enumerate(LITRES)]
     source.add(*numbered[:4], (100, "yard", None))
     source.add(*numbered[4:], (101, "south", None))
-    out = run(state.running_reduce(source.read(), "name", "litres", "id", "string"), tmp_path)
+    out = run(state.running_reduce(source.read(), "name", "litres", "id"), tmp_path)
     got = sorted((k, i, t if t is None else round(t, 4)) for k, i, t in out.collect() if i < 100)
     want, totals = [], {}
     for n, pump, litres in numbered:
@@ -96,7 +97,7 @@ def test_state_expires(spark, feed, tmp_path):
 
     source = feed("id bigint, name string, amount double")
     source.add((1, "lock", 1.0))
-    sums = state.running_reduce(source.read(), "name", "amount", "id", "string", ttl_ms=2_000)
+    sums = state.running_reduce(source.read(), "name", "amount", "id", ttl_ms=2_000)
     path = str(tmp_path / "out")
 
     def store(batch, number):
@@ -115,13 +116,13 @@ def test_timers(feed, tmp_path):
     source.add(*LITRES, (700, "yard", None))
     source.add((FAR, "far", 0.0))
     timed = windows.watermarked(source.read().withColumn("ts", F.timestamp_millis("ms")), "ts", "2 seconds")
-    out = run(state.sum_on_timer(timed, "name", "litres", "ms", "string"), tmp_path)
+    out = run(state.sum_on_timer(timed, "name", "litres", "ms"), tmp_path)
     want = [
         (pump, ms, round(sum(v for _, _, v in data), 4))
         for pump, data in by_pump().items()
         for ms in {ms + 5000 for ms, _, _ in data} | ({5700} if pump == "yard" else set())
     ]
-    assert rows(out.filter("key <> 'far'")) == sorted(want, key=repr)
+    assert rows(out.filter("name <> 'far'")) == sorted(want, key=repr)
 
 
 def test_count_window_and_missing_numbers(feed, tmp_path):
@@ -130,14 +131,14 @@ def test_count_window_and_missing_numbers(feed, tmp_path):
     rows_in = [(v, k) for k, values in numbers.items() for v in values]
     pairs.add(*rows_in[:4])
     pairs.add(*rows_in[4:])
-    out = run(state.count_window_sums(pairs.read(), "key", "v", 2, "string"), tmp_path)
-    assert rows(out) == sorted([("a", 4.0), ("a", 3.5), ("b", None)], key=repr)
+    out = run(state.count_window_sums(pairs.read(), "key", "v", 2), tmp_path)
+    assert rows(out) == sorted([("a", 0, 4.0), ("a", 1, 3.5), ("b", 0, None)], key=repr)
 
 
 def test_top_values_and_missing_numbers(feed, tmp_path):
     source = feed("v double, key string")
     source.add((4.0, "a"), (None, "a"), (9.5, "a"), (None, "b"))
-    out = state.top_values(source.read(), "key", "v", 2, "string")
+    out = state.top_values(source.read(), "key", "v", 2)
     path = str(tmp_path / "top")
     jobs.upsert(out, path, ["key", "rank"], f"{path}-c").awaitTermination()
     assert rows(KeyedTable(source.spark, path, ["key", "rank"]).read()) == [("a", 1, 9.5), ("a", 2, 4.0)]
@@ -148,7 +149,7 @@ def test_max_over_preceding_out_of_order(feed, tmp_path):
     source.add(*[(*p, i) for i, p in enumerate(LITRES)], (14_000, "yard", None, 50))
     source.add((FAR, "far", 0.0, 100))
     timed = windows.watermarked(source.read().withColumn("ts", F.timestamp_millis("ms")), "ts", "3 seconds")
-    out = run(state.max_over_preceding(timed, "name", "litres", "ms", "id", "string"), tmp_path)
+    out = run(state.max_over_preceding(timed, "name", "litres", "ms", "id"), tmp_path)
     got = sorted((x[0], x[2], x[3]) for x in out.collect() if x[0] != "far")
     want = [("yard", 14_000, 2.0)]
     for pump, data in by_pump(key=lambda n, row: row[0]).items():
@@ -364,3 +365,209 @@ def test_deletes(spark, tmp_path):
         table.compact()
     table.upsert(spark.createDataFrame([("a", 3, 8, "I")], schema), 3)
     assert rows(table.rows().select("k", "v")) == [("a", 3), ("b", 7)]
+
+
+def bounded(df, tmp_path, ended, name="out"):
+    path = str(tmp_path / name)
+    jobs.run_bounded(lambda: jobs.to_files(df, path, f"{path}-checkpoint"), ended, df.sparkSession)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def test_a_bounded_stream_leaves_nothing_open(feed, tmp_path):
+    """Windows, sessions, timers and rows that wait come out as in batch, also when the run is repeated."""
+    source = feed("ms bigint, name string, litres double, id bigint")
+    source.add(*[(*row, n) for n, row in enumerate(LITRES)], (None, "north", 5.0, 99))
+    ended = str(tmp_path / "ended")
+    timed = source.read().withColumn("ts", F.timestamp_millis("ms"))
+    timed = windows.watermarked(timed, "ts", "3 seconds", ended)
+    summed = windows.time_windows(timed, ["name"], "ts", "5 seconds", {"total": F.sum("litres")})
+    for _ in range(2):
+        got = bounded(summed, tmp_path, ended).select("name", F.unix_seconds("window_start").alias("s"), "total")
+        assert rows(got) == sorted([(*key, total) for key, total in windowed(5).items()], key=repr)
+    sessions = windows.session_windows(timed, ["name"], "ts", "4 seconds", {"n": F.count("*")})
+    got = bounded(sessions, tmp_path, ended, "sessions").agg(F.sum("n"), F.count("*"))
+    assert rows(got) == [(len(LITRES), 4)]  # north pauses once
+    out = bounded(state.sum_on_timer(timed, "name", "litres", "ms"), tmp_path, ended, "timers")
+    assert {(r["name"], r["fired_ms"]) for r in out.collect()} == {(name, ms + 5_000) for ms, name, _ in LITRES}
+    out = bounded(state.max_over_preceding(timed, "name", "litres", "ms", "id"), tmp_path, ended, "last")
+    assert sorted(r["id"] for r in out.collect()) == list(range(len(LITRES)))
+
+
+@pytest.fixture
+def small_frames(spark, monkeypatch):
+    """Rows of a key come in frames of three, and are sorted in slices of seven."""
+    monkeypatch.setattr(state, "ROWS_PER_SLICE", 7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_composite_keys_of_any_type_in_the_order_of_a_column(small_frames, feed, tmp_path):
+    import datetime
+    import random
+
+    day = datetime.date(2024, 2, 29)
+    pick = random.Random(3)
+    rows_in = [(n, pick.choice(["a", None]), pick.choice([day, None]), pick.choice([n % 9, None])) for n in range(90)]
+    source = feed("id bigint, org string, day date, n bigint")
+    first, second = rows_in[:60], rows_in[60:]
+    for part in (first, second):
+        source.add(*pick.sample(part, len(part)))
+    keys = ["org", "day"]
+    reduced = state.running_reduce(source.read(), keys, "n", "id", lambda a, b: a * 3 - b, order="id")
+    want, totals = [], {}
+    for i, org, d, n in rows_in:
+        if n is not None:
+            held = totals.get((org, d))
+            totals[org, d] = n if held is None else held * 3 - n
+        want.append((org, d, i, totals.get((org, d))))
+    assert rows(run(reduced, tmp_path)) == sorted(want, key=repr)
+    sums = state.count_window_sums(source.read(), keys, "n", 4, order="id")
+    want = []
+    for key in {(org, d) for _, org, d, _ in rows_in}:
+        mine = [n for _, org, d, n in rows_in if (org, d) == key]
+        for no in range(len(mine) // 4):
+            known = [n for n in mine[4 * no : 4 * no + 4] if n is not None]
+            want.append((*key, no, sum(known) if known else None))
+    assert rows(run(sums, tmp_path, "sums")) == sorted(want, key=repr)
+
+
+def test_rows_of_a_large_key_wait_in_slices(small_frames, feed, tmp_path):
+    import random
+
+    pick = random.Random(8)
+    rows_in = [(n, pick.randrange(1, 41) * 250, pick.choice([pick.randrange(100), None])) for n in range(120)]
+    source = feed("id bigint, ms bigint, v int")
+    for k in range(3):
+        source.add(*rows_in[40 * k : 40 * k + 40])
+    timed = source.read().withColumns({"ts": F.timestamp_millis("ms"), "key": F.lit("hot")})
+
+    def ending(name):
+        return windows.watermarked(timed, "ts", "1 hour", str(tmp_path / name))
+
+    out = bounded(state.max_over_preceding(ending("a"), "key", "v", "ms", "id", 3), tmp_path, str(tmp_path / "a"))
+    ordered = sorted(rows_in, key=lambda r: (r[1], r[0]))
+    want = []
+    for n, (i, ms, _) in enumerate(ordered):
+        known = [v for _, _, v in ordered[max(0, n - 3) : n + 1] if v is not None]
+        want.append(("hot", i, ms, max(known) if known else None))
+    assert rows(out) == sorted(want, key=repr)
+    out = bounded(state.sum_on_timer(ending("b"), "key", "v", "ms", 100), tmp_path, str(tmp_path / "b"), "timers")
+    total = sum(v for _, _, v in rows_in if v is not None)
+    assert rows(out) == sorted([("hot", ms, total) for ms in {ms + 100 for _, ms, _ in rows_in}], key=repr)
+
+
+def test_state_of_several_keys_expires(spark, feed, tmp_path):
+    import time
+
+    source = feed("org string, day string, url string")
+    path = str(tmp_path / "out")
+
+    def store(batch, number):
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    for turn in range(2):
+        source.add(("o", "d1", "/a"), ("o", "d1", "/a"), ("o", "d2", "/a"))
+        counts = state.count_with_expiry(source.read(), ["org", "day", "url"], 2_000)
+        jobs.run_until_idle(jobs.to_batches(counts, store, f"{path}-checkpoint", "update", every="200 milliseconds"))
+        time.sleep(3 * (1 - turn))
+    got = [r[:4] for r in rows(spark.read.schema(counts.schema).parquet(path))]
+    assert sorted(got) == [("o", "d1", "/a", 2)] * 2 + [("o", "d2", "/a", 1)] * 2
+
+
+def test_late_rows_are_told_apart(feed, tmp_path):
+    source = feed("ms bigint, name string, litres double")
+    source.add((10_000, "on time", 0.1), (20_000, "moves the watermark", 0.25), (None, "without time", None))
+    source.add((14_999, "late", 0.1), (17_000, "at the border", 0.2), (17_001, "still in time", 0.3))
+    timed = windows.watermarked(source.read().withColumn("ts", F.timestamp_micros(F.col("ms") * 1000 + 7)), "ts", "3 seconds")
+    out = run(state.marked_late(timed, F.col("ts")), tmp_path).select("name", "litres", F.unix_micros("ts").alias("us"), "late")
+    assert rows(out) == sorted(
+        [
+            ("on time", 0.1, 10_000_007, False),
+            ("moves the watermark", 0.25, 20_000_007, False),
+            ("without time", None, None, False),
+            ("late", 0.1, 14_999_007, True),
+            ("at the border", 0.2, 17_000_007, True),
+            ("still in time", 0.3, 17_001_007, False),
+        ],
+        key=repr,
+    )
+
+
+def test_only_touched_buckets_are_read_and_rewritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = KeyedTable(spark, path, ["k"], {"n": "sum"}, buckets=8)
+    everything = spark.range(100).select(F.col("id").alias("k"), F.lit(1).cast("bigint").alias("n"))
+    table.upsert(everything, 0)
+    table.compact()
+    few = everything.filter("k < 2")
+    touched = table.buckets_of(few)
+    assert 1 <= len(touched) <= 2
+    files_read = table.read(buckets=touched).inputFiles()
+    assert files_read and all(any(f"_bucket={b}/" in f for b in touched) for f in files_read)
+    table.upsert(few, 1)
+    table.compact()
+    rewritten = {p.name for p in (tmp_path / "t" / "bases" / "upto=1").glob("_bucket=*")}
+    assert rewritten == {f"_bucket={b}" for b in touched}
+    for number in range(2, 6):
+        table.upsert(everything.filter(F.col("k") == number), number)
+        table.compact()
+        assert KeyedTable(spark, path, ["k"], {"n": "sum"}).buckets == 8
+    assert _sums(table) == {k: 2 if k < 6 else 1 for k in range(100)}
+    # every bucket has one base that counts and at most one older
+    held = [p.name for p in (tmp_path / "t" / "bases").glob("upto=*/_bucket=*")]
+    assert max(held.count(name) for name in held) <= 2
+    table.upsert(everything.limit(0), 6)
+    assert _sums(table)[99] == 1
+
+
+BOOKS = "id bigint, text string, seq bigint, op string"
+
+
+def _chapters(parents):
+    return parents.select("id", F.posexplode(F.split("text", "/")).alias("no", "chapter"))
+
+
+def test_children_follow_their_parents(spark, feed, tmp_path):
+    """Books get shorter, longer, vanish and come back; changes come late and twice; the job restarts and is made anew."""
+    source = feed(BOOKS)
+    path = str(tmp_path / "chapters")
+
+    def go(checkpoint="c", every=10):
+        return jobs.derive(
+            source.read(), path, ["id"], ["seq"], _chapters, f"{path}-{checkpoint}", buckets=4, compact_every=every
+        ).awaitTermination()
+
+    def now():
+        return rows(DerivedTable(spark, path, ["id"], ["seq"], "op = 'D'").read())
+
+    source.add((1, "a/b/c", 1, "I"), (2, "d", 1, "I"), (3, "e/f", 1, "I"), (None, "n/m", 1, "I"))
+    go()
+    assert now() == sorted([(1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (2, 0, "d"), (3, 0, "e"), (3, 1, "f"), (None, 0, "n"), (None, 1, "m")], key=repr)
+    source.add((1, "A", 5, "U"), (1, "x/y", 4, "U"), (2, None, 2, "D"), (None, "N", 2, "U"))
+    source.add((3, "old/old/old", 0, "U"), (2, "late", 1, "U"))
+    go(every=1)
+    want = sorted([(1, 0, "A"), (3, 0, "e"), (3, 1, "f"), (None, 0, "N")], key=repr)
+    assert now() == want
+    source.add((2, "again/d", 9, "I"), (4, None, 1, "D"))
+    go()
+    want = sorted([*want, (2, 0, "again"), (2, 1, "d")], key=repr)
+    assert now() == want
+    go("another")
+    assert now() == want
+    DerivedTable(spark, path, ["id"], ["seq"], "op = 'D'").compact()
+    assert now() == want
+
+
+def test_a_replayed_batch_of_changes_adds_nothing(spark, tmp_path):
+    table = DerivedTable(spark, str(tmp_path / "t"), ["id"], ["seq"], "op = 'D'")
+    assert table.read() is None
+    first = spark.createDataFrame([(1, "a/b", 1, "I")], BOOKS)
+    second = spark.createDataFrame([(1, "c", 2, "U")], BOOKS)
+    for number, batch in enumerate((first, first, second, second)):
+        table.apply(batch, _chapters, number // 2)
+    assert rows(table.read()) == [(1, 0, "c")]
+    table.apply(spark.createDataFrame([(1, None, 3, "D")], BOOKS), _chapters, 2)
+    assert rows(table.read()) == []
+    table.compact()
+    assert rows(table.read()) == []

@@ -15,6 +15,8 @@ _DATE = r"(\d{4}-\d{2}-\d{2}|\d{8})"
 _TIME = r"(\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{4}(?:\d{2}(?:[.,]\d+)?)?)"
 _ZONE = r"(Z|[+-]\d{2}(?::?\d{2})?)"
 ISO_DATE_TIME = f"^{_DATE}(?:[T ]{_TIME}{_ZONE}?)?$"
+# the extended form with seconds, which most logs write
+USUAL_DATE_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})?$"
 
 
 def _column(value: Column | str) -> Column:
@@ -66,6 +68,12 @@ def iso_timestamp(column: Column | str, millis: bool = True) -> Column:
     the time is cut to milliseconds.
     """
     column = _column(column)
+    # the usual form is one that Spark reads itself; only what is left is taken apart
+    usual = F.when(column.rlike(USUAL_DATE_TIME), F.try_to_timestamp(column)).otherwise(_parsed(column))
+    return F.date_trunc("MILLISECOND", usual) if millis else usual
+
+
+def _parsed(column: Column) -> Column:
     time = F.regexp_extract(column, ISO_DATE_TIME, 2)
     digits = F.translate(F.regexp_extract(time, r"^[\d:]+", 0), ":", "")
     whole = F.rpad(digits, 6, "0")
@@ -74,14 +82,14 @@ def iso_timestamp(column: Column | str, millis: bool = True) -> Column:
     zone = F.regexp_replace(F.regexp_extract(column, ISO_DATE_TIME, 3), r"^([+-]\d{2}):?(\d{2})?$", "$1:$2")
     zone = F.when(zone.endswith(":"), F.concat(zone, F.lit("00"))).otherwise(zone)
     text = F.concat(_iso_day(column), F.lit(" "), clock, F.lit("."), fraction, zone)
-    parsed = F.when(column.rlike(ISO_DATE_TIME), F.try_to_timestamp(text))
-    return F.date_trunc("MILLISECOND", parsed) if millis else parsed
+    return F.when(column.rlike(ISO_DATE_TIME), F.try_to_timestamp(text))
 
 
 def iso_date(column: Column | str) -> Column:
     """The calendar date written in an ISO-8601 text, in the text's own zone; bad text gives NULL."""
     column = _column(column)
-    return F.when(iso_timestamp(column, millis=False).isNotNull(), _iso_day(column))
+    day = F.when(column.rlike(USUAL_DATE_TIME), F.substring(column, 1, 10)).otherwise(_iso_day(column))
+    return F.when(iso_timestamp(column, millis=False).isNotNull(), day)
 
 
 def utc_millis(column: Column | str, pattern: str = "yyyy-MM-dd'T'HH:mm:ss'Z'") -> Column:

@@ -33,9 +33,13 @@ def watermarked(df: DataFrame, ts: str, lateness: str = "0 seconds", ended: str
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     last = spark.readStream.schema("at timestamp").parquet(ended)
     columns = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != ts else F.col("at").alias(ts) for f in df.schema]
-    both = df.unionByName(last.select(*columns)).withWatermark(ts, lateness)
+    inside = F.col(ts).isNull() | (F.col(ts) < F.lit(END_OF_INPUT).cast("timestamp"))
+    # state is kept under one schema: a column that is never NULL must not become one that may be, or back, as
+    # one of the two inputs is empty
+    firm = {f.name: F.when(inside, F.col(f.name)) for f in df.schema if not f.nullable and f.name != ts}
+    both = df.withColumns(firm).unionByName(last.select(*columns)).withWatermark(ts, lateness)
     # a filter on the event time itself stays above the watermark, which so takes the last row in
-    return both.filter(F.col(ts).isNull() | (F.col(ts) < F.lit(END_OF_INPUT).cast("timestamp")))
+    return both.filter(inside)
 
 
 def time_windows(

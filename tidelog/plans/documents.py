@@ -10,6 +10,11 @@ from tidelog.functions.scalars import PAGE_CUTS, words
 from tidelog.operators import documents as d
 from tidelog.operators.vectors import cosine_top_k, label_centroids
 from tidelog.plans.registry import query, table
+from tidelog.session import work_dir
+from tidelog.sinks.derived import DerivedTable
+from tidelog.sources import files
+from tidelog.sources.changes import change_feed
+from tidelog.streaming import jobs
 
 STRIDE = CHUNK_SIZE - CHUNK_OVERLAP
 
@@ -121,6 +126,50 @@ def ingest_recursive(spark, sf):
     )
 
 
+_CHANGED_SQL = f"""
+SELECT title, link, CASE WHEN id % 3 = 0 THEN substring(text, 1, length(text) // 2) ELSE text END AS text
+FROM (SELECT * FROM ({_BOOKS_SQL}) QUALIFY row_number() OVER (PARTITION BY link ORDER BY id DESC) = 1) WHERE id % 5 <> 0
+"""
+
+
+@query(
+    "v4_stream_change_feed",
+    f"""
+    SELECT sha256(link || '#' || chunk_no) AS _id, title, sha256(link) AS item, link AS source, chunk, 384 AS dimensions
+    FROM ({_chunks_sql(_CHANGED_SQL, "title, link")})
+    """,
+)
+def change_feed_to_rows(spark, sf):
+    """A feed of book changes kept as embedding rows: inserts, then, after a restart, shortened books and deletes.
+
+    Each turn also repeats an old insert of every book, which comes too late to count.
+    """
+    feed, path = work_dir(spark, "feed"), work_dir(spark, "rows")
+    pages = table(spark, sf, "pages").groupBy("url").agg(F.max_by(F.struct("page_id", "html"), "page_id").alias("p"))
+    books = d.load_text(
+        pages.select(F.col("p.page_id").alias("id"), F.regexp_extract("p.html", "<title>([^<]*)</title>", 1).alias("title"), F.col("url").alias("link")),
+        table(spark, sf, "pages"),
+    )
+    inserts = change_feed(books, F.lit("I"), F.lit(1))
+    half = F.substring("text", F.lit(1), F.floor(F.length("text") / 2).cast("int"))
+    shorter = change_feed(books.filter("id % 3 = 0").withColumn("text", half), F.lit("U"), F.lit(2))
+    removed = change_feed(books.filter("id % 5 = 0"), F.lit("D"), F.lit(3))
+    stale = change_feed(books.withColumn("text", F.lit("stale")), F.lit("U"), F.lit(0))
+
+    def rows(parents):
+        chunks = d.chunk_rows(parents.select("title", "link", "text"))
+        made = d.embedding_rows(chunks)
+        return made.select("*", F.col("source").alias("link"))
+
+    for changes in (inserts, shorter.unionByName(removed).unionByName(stale)):
+        changes.write.mode("append").parquet(feed)
+        arrived = files.parquet_rows(spark, feed, stream=True)
+        jobs.derive(arrived, path, ["link"], ["seq"], rows, f"{path}-checkpoint").awaitTermination()
+    stored = DerivedTable(spark, path, ["link"], ["seq"], "op = 'D'")
+    stored.compact()
+    return stored.read().select("_id", "title", "item", "source", "chunk", F.size("embedding").alias("dimensions"))
+
+
 _NEAREST_SQL = """
 WITH parts AS (SELECT label, generate_subscripts(embedding, 1) AS p, unnest(embedding) AS x FROM embeddings),
 means AS (SELECT label, p, avg(x :: DOUBLE) AS m FROM parts GROUP BY label, p),

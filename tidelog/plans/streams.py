@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import operator
+import time
+
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from tidelog.operators import changelog as c
 from tidelog.operators import windows as w
@@ -21,11 +25,18 @@ def _stream(spark, sf):
     return files.parquet_rows(spark, f"{sf}/events.parquet", stream=True)
 
 
-def _written(df, name, *, flat=()):
+def _written(df, name, *, flat=(), ended=None):
     """Run a stream to its end and read what it wrote; `flat` names its points in time."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    jobs.to_files(df, path, f"{path}-checkpoint").awaitTermination()
+
+    def start():
+        return jobs.to_files(df, path, f"{path}-checkpoint")
+
+    if ended is None:
+        start().awaitTermination()
+    else:
+        jobs.run_bounded(start, ended, spark)
     stored = spark.read.schema(df.schema).parquet(path)
     return stored.withColumns({n: F.col(n).cast("timestamp_ntz") for n in flat})
 
@@ -33,32 +44,42 @@ def _written(df, name, *, flat=()):
 _BOUNDS = ("window_start", "window_end")
 
 
-def _closed_sql(size: str, key: str, lateness: str) -> str:
-    """Windows that the watermark has passed when all rows are in."""
+def _windows_sql(size: str, key: str) -> str:
     bucket = f"time_bucket(INTERVAL {size}, ts, {EPOCH})"
     return f"""
-    SELECT * FROM (
-      SELECT {key}, {bucket} AS window_start, {bucket} + INTERVAL {size} AS window_end, count(*) AS n FROM events
-      GROUP BY ALL)
-    WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL {lateness} FROM events)
+    SELECT {key}, {bucket} AS window_start, {bucket} + INTERVAL {size} AS window_end, count(*) AS n FROM events
+    GROUP BY ALL
     """
 
 
-@query("e2_stream_tumbling_ascending", _closed_sql("5 MINUTE", "event_type", "0 SECOND"))
+# when all rows are in, the watermark has passed a window that ends here or before
+_PASSED_SQL = "(SELECT date_trunc('millisecond', max(ts)) FROM events)"
+
+
+def _bounded(spark, sf, lateness="0 seconds"):
+    """(events with a watermark, the folder that ends them)."""
+    ended = work_dir(spark, "ended")
+    return w.watermarked(_stream(spark, sf), "ts", lateness, ended), ended
+
+
+@query("e2_stream_tumbling_ascending", _windows_sql("5 MINUTE", "event_type"))
 def tumbling_ascending(spark, sf):
-    events = w.watermarked(_stream(spark, sf), "ts")
+    events, ended = _bounded(spark, sf)
     counted = w.time_windows(events, ["event_type"], "ts", "5 minutes", {"n": F.count("*")})
-    return _written(counted, "tumbling", flat=_BOUNDS)
+    return _written(counted, "tumbling", flat=_BOUNDS, ended=ended)
 
 
-@query("e3_stream_tumbling_late", _closed_sql("10 SECOND", "user_id", "3 SECOND"))
+@query("e3_stream_tumbling_late", _windows_sql("10 SECOND", "user_id"))
 def tumbling_late(spark, sf):
-    events = w.watermarked(_stream(spark, sf), "ts", "3 seconds")
+    events, ended = _bounded(spark, sf, "3 seconds")
     counted = w.time_windows(events, ["user_id"], "ts", "10 seconds", {"n": F.count("*")})
-    return _written(counted, "tumbling", flat=_BOUNDS)
+    return _written(counted, "tumbling", flat=_BOUNDS, ended=ended)
 
 
-@query("e4_stream_late_rows", _closed_sql("5 MINUTE", "event_type", "0 SECOND"))
+@query(
+    "e4_stream_late_rows",
+    f"SELECT * FROM ({_windows_sql('5 MINUTE', 'event_type')}) WHERE window_end <= {_PASSED_SQL}",
+)
 def late_rows(spark, sf):
     """All events arrive a second time, too late for the windows that are closed by then."""
     arrivals, out = work_dir(spark, "arrivals"), work_dir(spark, "windows")
@@ -74,21 +95,21 @@ def late_rows(spark, sf):
 @query(
     "c4_stream_closed_windows",
     f"""
-    WITH {EDGE_SQL} SELECT * FROM (
-      SELECT org AS "OrgUID", time_bucket(INTERVAL 5 MINUTE, ts, {EPOCH}) AS window_start,
-        time_bucket(INTERVAL 5 MINUTE, ts, {EPOCH}) + INTERVAL 5 MINUTE AS window_end, count(url) AS url_count
-      FROM edge GROUP BY ALL)
-    WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 SECOND FROM events)
+    WITH {EDGE_SQL}
+    SELECT org AS "OrgUID", time_bucket(INTERVAL 5 MINUTE, ts, {EPOCH}) AS window_start,
+      time_bucket(INTERVAL 5 MINUTE, ts, {EPOCH}) + INTERVAL 5 MINUTE AS window_end, count(url) AS url_count
+    FROM edge GROUP BY ALL
     """,
 )
 def closed_windows(spark, sf):
     """JSON messages decoded, counted per organisation in 5-minute windows, appended as windows close."""
     lines = edge_message(_stream(spark, sf)).select("value")
-    logs = w.watermarked(edge_log(lines), "EventTime", "5 seconds")
+    ended = work_dir(spark, "ended")
+    logs = w.watermarked(edge_log(lines), "EventTime", "5 seconds", ended)
     counted = w.time_windows(
         logs, ["OrgUID"], "EventTime", "5 minutes", {"url_count": F.count("ClientRequestURI")}
     )
-    return _written(counted, "closed", flat=_BOUNDS)
+    return _written(counted, "closed", flat=_BOUNDS, ended=ended)
 
 
 @query(
@@ -102,17 +123,15 @@ def closed_windows(spark, sf):
     numbered AS (
       SELECT *, sum(CASE WHEN ts <= before THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts) AS no
       FROM marked)
-    SELECT * FROM (
-      SELECT user_id, min(ts) AS window_start, max(reach) AS window_end, count(*) AS n
-      FROM numbered GROUP BY user_id, no)
-    WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
+    SELECT user_id, min(ts) AS window_start, max(reach) AS window_end, count(*) AS n
+    FROM numbered GROUP BY user_id, no
     """,
 )
 def session_gap_per_row(spark, sf):
-    events = w.watermarked(_stream(spark, sf), "ts")
+    events, ended = _bounded(spark, sf)
     gap = F.concat((F.get_json_object("props", "$.k").cast("int") + 1).cast("string"), F.lit(" minutes"))
     counted = w.session_windows(events, ["user_id"], "ts", gap, {"n": F.count("*")})
-    return _written(counted, "session", flat=_BOUNDS)
+    return _written(counted, "session", flat=_BOUNDS, ended=ended)
 
 
 @query(
@@ -121,13 +140,13 @@ def session_gap_per_row(spark, sf):
     SELECT event_type, start AS window_start, start + INTERVAL 60 MINUTE AS window_end, count(*) AS n
     FROM (SELECT *, time_bucket(INTERVAL 10 MINUTE, ts, {EPOCH}) - INTERVAL 10 MINUTE * i AS start
           FROM events, range(6) r(i))
-    GROUP BY ALL HAVING window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 3 SECOND FROM events)
+    GROUP BY ALL
     """,
 )
 def sliding(spark, sf):
-    events = w.watermarked(_stream(spark, sf), "ts", "3 seconds")
+    events, ended = _bounded(spark, sf, "3 seconds")
     counted = w.time_windows(events, ["event_type"], "ts", "60 minutes", {"n": F.count("*")}, "10 minutes")
-    return _written(counted, "sliding", flat=_BOUNDS)
+    return _written(counted, "sliding", flat=_BOUNDS, ended=ended)
 
 
 @query(
@@ -139,13 +158,12 @@ def sliding(spark, sf):
     numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM marked)
     SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, count(*) AS n
     FROM numbered GROUP BY user_id, no
-    HAVING window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
     """,
 )
 def session(spark, sf):
-    events = w.watermarked(_stream(spark, sf), "ts")
+    events, ended = _bounded(spark, sf)
     counted = w.session_windows(events, ["user_id"], "ts", "30 minutes", {"n": F.count("*")})
-    return _written(counted, "session", flat=_BOUNDS)
+    return _written(counted, "session", flat=_BOUNDS, ended=ended)
 
 
 @query(
@@ -156,14 +174,13 @@ def session(spark, sf):
     FROM (SELECT event_type, time_bucket(INTERVAL 1 DAY, ts, {EPOCH}) AS window_start,
             CAST(json_extract_string(props, '$.k') AS INTEGER) AS status FROM events)
     GROUP BY event_type, window_start, status
-    HAVING window_end <= (SELECT max(ts) FROM events)
     """,
 )
 def status_counts(spark, sf):
-    events = w.watermarked(_stream(spark, sf), "ts")
+    events, ended = _bounded(spark, sf)
     events = events.withColumn("status", F.get_json_object("props", "$.k").cast("int"))
     counted = w.status_counts_with_total(events, "event_type", "status", "ts", "1 day")
-    return _written(counted, "statuses", flat=_BOUNDS)
+    return _written(counted, "statuses", flat=_BOUNDS, ended=ended)
 
 
 # how often the streams below are stopped, given new files and started again
@@ -223,23 +240,27 @@ def changelog(spark, sf):
     return spark.read.schema(schema).parquet(path).drop("batch")
 
 
-_FINAL_SUM_SQL = "SELECT user_id AS key, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1"
+def _sums_in_turns(spark, sf, name, function, ordered="event_id"):
+    """(key, event_id, total) of a running reduce over several micro-batches and restarts."""
+    path = work_dir(spark, name)
+    schema = []
 
+    def start(rows):
+        reduced = state.running_reduce(rows, "user_id", "value", "event_id", function, order=ordered)
+        schema.append(reduced.schema)
+        return jobs.to_files(reduced, path, f"{path}-checkpoint")
 
-def _final_sums(rows):
-    return rows.groupBy("key").agg(F.count("*").alias("n"), F.round(F.max("total"), 4).alias("total"))
+    _in_turns(spark, sf, ["user_id", "value"], start)
+    return spark.read.schema(schema[0]).parquet(path).withColumnRenamed("user_id", "key")
 
 
 @query(
     "a10_stream_reduce",
-    "SELECT user_id AS key, count(*) AS n, max(value) AS total FROM events GROUP BY 1",
+    "SELECT user_id AS key, event_id, max(value) OVER (PARTITION BY user_id ORDER BY event_id) AS total FROM events",
 )
 def running_reduce(spark, sf):
     """A user's reducing function, here the larger of two, given out after every row."""
-    rows = _stream(spark, sf).select("event_id", "user_id", "value")
-    return _final_sums(
-        _written(state.running_reduce(rows, "user_id", "value", "event_id", "bigint", max), "reduce")
-    )
+    return _sums_in_turns(spark, sf, "reduce", lambda a, b: a if a > b else b)
 
 
 @query(
@@ -253,31 +274,31 @@ def top2(spark, sf):
     """The two largest values per key, kept up to date over micro-batches."""
     rows = staged_events(spark, sf, "user_id", "value").select("user_id", "value")
     path, keys = work_dir(spark, "top"), ["key", "rank"]
-    best = state.top_values(rows, "user_id", "value", 2, "bigint")
+    best = state.top_values(rows.withColumnRenamed("user_id", "key"), "key", "value", 2)
     jobs.upsert(best, path, keys, f"{path}-checkpoint").awaitTermination()
     return KeyedTable(spark, path, keys).read()
 
 
-@query("d1_stream_state", _FINAL_SUM_SQL)
+@query(
+    "d1_stream_state",
+    "SELECT user_id AS key, event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY event_id), 4) AS total FROM events",
+)
 def value_state(spark, sf):
-    """A sum kept in state, given out after every row; shown are the rows and the last sum per key."""
-    rows = _stream(spark, sf).select("event_id", "user_id", "value")
-    return _final_sums(_written(state.running_reduce(rows, "user_id", "value", "event_id", "bigint"), "state"))
+    """A sum kept in state, given out after every row, over several micro-batches and restarts."""
+    return _sums_in_turns(spark, sf, "state", operator.add).withColumn("total", F.round("total", 4))
 
 
 @query(
     "d2_stream_timers",
     """
-    WITH moments AS (
-      SELECT user_id, epoch_us(ts) // 1000 + 5000 AS fired_ms, sum(value) OVER (PARTITION BY user_id) AS total FROM events)
-    SELECT DISTINCT user_id AS key, fired_ms, round(total, 4) AS total FROM moments
-    WHERE fired_ms <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - 2000
+    SELECT DISTINCT user_id AS key, epoch_us(ts) // 1000 + 5000 AS fired_ms,
+      round(sum(value) OVER (PARTITION BY user_id), 4) AS total FROM events
     """,
 )
 def timers(spark, sf):
-    events = w.watermarked(_stream(spark, sf), "ts", "2 seconds")
-    timed = events.select("user_id", "value", "ts", F.unix_millis("ts").alias("ms"))
-    fired = _written(state.sum_on_timer(timed, "user_id", "value", "ms", "bigint"), "timers")
+    events, ended = _bounded(spark, sf, "2 seconds")
+    timed = events.select(F.col("user_id").alias("key"), "value", "ts", F.unix_millis("ts").alias("ms"))
+    fired = _written(state.sum_on_timer(timed, "key", "value", "ms"), "timers", ended=ended)
     return fired.withColumn("total", F.round("total", 4))
 
 
@@ -286,50 +307,122 @@ def timers(spark, sf):
     """
     SELECT user_id AS key, event_id AS id, epoch_us(ts) // 1000 AS ms, max(value) OVER (PARTITION BY user_id
       ORDER BY epoch_us(ts) // 1000, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS top FROM events
-    QUALIFY epoch_us(ts) // 1000 <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - 3000
     """,
 )
 def max_over_preceding(spark, sf):
-    events = w.watermarked(_stream(spark, sf), "ts", "3 seconds")
-    timed = events.select("user_id", "event_id", "value", "ts", F.unix_millis("ts").alias("ms"))
-    return _written(state.max_over_preceding(timed, "user_id", "value", "ms", "event_id", "bigint"), "preceding")
+    events, ended = _bounded(spark, sf, "3 seconds")
+    names = [F.col("user_id").alias("key"), F.col("event_id").alias("id")]
+    timed = events.select(*names, "value", "ts", F.unix_millis("ts").alias("ms"))
+    return _written(state.max_over_preceding(timed, "key", "value", "ms", "id"), "preceding", ended=ended)
 
 
 @query(
     "e9_stream_count_window",
-    "SELECT user_id AS key, count(*) // 2 AS windows FROM events GROUP BY user_id",
+    """
+    WITH numbered AS (
+      SELECT user_id, value, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 3 AS window_no FROM events)
+    SELECT user_id AS key, window_no, round(sum(value), 4) AS total FROM numbered GROUP BY ALL HAVING count(*) = 3
+    """,
 )
 def count_window(spark, sf):
-    rows = _stream(spark, sf).select("user_id", "value")
-    sums = _written(state.count_window_sums(rows, "user_id", "value", 2, "bigint"), "count")
-    return sums.groupBy("key").agg(F.count("*").alias("windows"))
+    """Every three rows of a key, also where they come in different micro-batches."""
+    path = work_dir(spark, "count")
 
+    def start(rows):
+        sums = state.count_window_sums(rows, "user_id", "value", 3, order="event_id")
+        return jobs.to_files(sums, path, f"{path}-checkpoint")
 
-def _with_expiry(df, name, mode):
-    """Run a stream whose state expires by the clock; it does not end by itself."""
-    spark = df.sparkSession
-    path = work_dir(spark, name)
+    _in_turns(spark, sf, ["user_id", "value"], start)
+    stored = spark.read.schema("user_id bigint, window_no bigint, total double").parquet(path)
+    return stored.select(F.col("user_id").alias("key"), "window_no", F.round("total", 4).alias("total"))
 
-    def store(batch, number):
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    running = jobs.to_batches(df, store, f"{path}-checkpoint", mode, every="1 second")
-    jobs.run_until_idle(running)
-    return spark.read.schema(df.schema).parquet(path)
+@query(
+    "e4_stream_late_split",
+    f"""
+    WITH again AS (
+      SELECT event_id, {f"time_bucket(INTERVAL 5 MINUTE, ts, {EPOCH})"} + INTERVAL 5 MINUTE <= {_PASSED_SQL} AS passed FROM events)
+    SELECT event_id, 1 AS turn, FALSE AS late FROM events
+    UNION ALL SELECT event_id, 2, passed FROM again
+    """,
+)
+def late_split(spark, sf):
+    """All events arrive a second time. Each row is kept, and marked late if its window had closed by then."""
+    arrivals, out = work_dir(spark, "arrivals"), work_dir(spark, "marked")
+    for turn in (1, 2):
+        events = table(spark, sf, "events").select("event_id", "ts", F.lit(turn).alias("turn"))
+        events.write.mode("append").parquet(arrivals)
+        rows = w.watermarked(files.parquet_rows(spark, arrivals, stream=True), "ts")
+        marked = state.marked_late(rows, F.window("ts", "5 minutes")["end"])
+        jobs.to_files(marked, out, f"{out}-checkpoint").awaitTermination()
+    return spark.read.schema(marked.schema).parquet(out).select("event_id", "turn", "late")
+
+
+EXPIRY_MS = 4_000
+
+
+def _with_expiry(spark, sf, columns, name, mode, make):
+    """Half of the events, then nothing until all state has expired, then the other half.
+
+    State that expires by the clock keeps a stream from ending by itself.
+    """
+    path, arrivals = work_dir(spark, name), work_dir(spark, "arrivals")
+    events = table(spark, sf, "events").select("event_id", *columns)
+    half = events.agg(F.floor((F.min("event_id") + F.max("event_id")) / 2)).first()[0]
+    for turn, rows in enumerate((events.filter(F.col("event_id") <= half), events.filter(F.col("event_id") > half))):
+        rows.write.mode("append").parquet(arrivals)
+        made = make(files.parquet_rows(spark, arrivals, stream=True))
+
+        def store(batch, number, turn=turn):
+            batch.write.mode("overwrite").parquet(f"{path}/turn={turn}/batch={number}")
+
+        jobs.run_until_idle(jobs.to_batches(made, store, f"{path}-checkpoint", mode, every="1 second"))
+        if turn == 0:
+            time.sleep(EXPIRY_MS / 1000 + 1)
+    return spark.read.schema(made.schema.add("turn", IntegerType())).parquet(path)
+
 
+_HALVES_SQL = "event_id > (SELECT (min(event_id) + max(event_id)) // 2 FROM events)"
 
-@query("d3_stream_state_expiry", _FINAL_SUM_SQL)
+
+@query(
+    "d3_stream_state_expiry",
+    f"""
+    SELECT user_id AS key, event_id, round(sum(value) OVER (PARTITION BY user_id, {_HALVES_SQL} ORDER BY event_id), 4)
+      AS total FROM events
+    """,
+)
 def state_expiry(spark, sf):
-    rows = _stream(spark, sf).select("event_id", "user_id", "value")
-    sums = state.running_reduce(rows, "user_id", "value", "event_id", "bigint", ttl_ms=3_600_000)
-    return _final_sums(_with_expiry(sums, "expiry", "append"))
+    """Sums that begin anew once a key was idle for longer than its state lives."""
+
+    def make(rows):
+        return state.running_reduce(rows, "user_id", "value", "event_id", ttl_ms=EXPIRY_MS, order="event_id")
 
+    sums = _with_expiry(spark, sf, ["user_id", "value"], "expiry", "append", make)
+    return sums.select(F.col("user_id").alias("key"), "event_id", F.round("total", 4).alias("total"))
 
-@query("d4_stream_idle_counts", "SELECT user_id AS key, count(*) AS count FROM events GROUP BY user_id")
+
+@query(
+    "d4_stream_idle_counts",
+    f"""
+    WITH {EDGE_SQL}
+    SELECT org, day, url, CAST({_HALVES_SQL} AS INTEGER) AS turn, count(*) AS count FROM edge GROUP BY ALL
+    """,
+)
 def idle_counts(spark, sf):
-    rows = _stream(spark, sf).select("user_id")
-    counts = state.count_with_expiry(rows, "user_id", "bigint", ttl_ms=3_600_000)
-    return _with_expiry(counts, "idle", "update").groupBy("key").agg(F.max("count").alias("count"))
+    """Counts by organisation, day and URL, of which none outlives a pause."""
+    keys = [
+        (F.col("user_id") % 10).cast("string").alias("org"),
+        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.concat(F.lit("/v3/"), "event_type").alias("url"),
+    ]
+
+    def make(rows):
+        return state.count_with_expiry(rows.select(*keys), ["org", "day", "url"], EXPIRY_MS)
+
+    counts = _with_expiry(spark, sf, ["user_id", "ts", "event_type"], "idle", "update", make)
+    # a key's count grows over the micro-batches of a turn
+    return counts.groupBy("org", "day", "url", "turn").agg(F.max("count").alias("count"))
 
 
 @query(

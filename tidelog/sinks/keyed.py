@@ -11,19 +11,27 @@ another writer, whose batches follow those of the writers before it.
 
 `compact` merges what is there into a base, which bounds the work of later reads, and
 deletes what the base before covers; readers that began before still find their files.
+
+Rows lie in buckets by a hash of their key. A reader that names the keys it asks for opens
+their buckets only, and a compaction rewrites only the buckets that batches have touched; the
+others stay in the base they are in.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.operators.relational import latest_per_key
 
 _MERGES = {"sum": F.sum, "min": F.min, "max": F.max}
 _VERSION = "_version"
+_BUCKET = "_bucket"
+#: buckets of a table that does not say how many; a table keeps the number it was made with
+BUCKETS = 16
 _BATCHES = 10**9  # numbers of one writer
 
 
@@ -70,6 +78,13 @@ def _finished(spark: SparkSession, folder: str, name: str) -> list[int]:
     )
 
 
+def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Numbers of the `name=<number>` folders, complete or not."""
+    _, path, files = hadoop_folder(spark, folder)
+    names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()] if files.exists(path) else []
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{name}="))
+
+
 class KeyedTable:
     """Rows by key.
 
@@ -89,11 +104,37 @@ class KeyedTable:
         merges: dict[str, str] | None = None,
         sequence: Sequence[str] = (),
         deleted: str | None = None,
+        buckets: int | None = None,
     ):
         if merges is not None and deleted is not None:
             raise ValueError("a table of merged deltas has no deletes")
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.merges, self.sequence, self.deleted = merges, list(sequence), deleted
+        self.wanted_buckets = buckets or BUCKETS
+
+    @property
+    def buckets(self) -> int:
+        """The number of buckets that the table was made with, or will be."""
+        found = _numbers(self.spark, f"{self.path}/_buckets", "n")
+        return found[0] if found else self.wanted_buckets
+
+    def _bucket(self, buckets: int) -> Column:
+        # keys as text, so that the width of a number does not matter
+        return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(buckets)).cast("int")
+
+    def buckets_of(self, rows: DataFrame) -> list[int]:
+        """The buckets that rows with the table's keys belong to."""
+        return sorted(r[0] for r in rows.select(self._bucket(self.buckets).alias(_BUCKET)).distinct().collect())
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        buckets = self.buckets
+        if not _numbers(self.spark, f"{self.path}/_buckets", "n"):
+            # rows without any file of their own still have a schema
+            rows.limit(0).write.mode("overwrite").parquet(f"{self.path}/_schema")
+            hadoop, path, files = hadoop_folder(self.spark, f"{self.path}/_buckets/n={buckets}")
+            files.mkdirs(path)
+        numbered = rows.withColumn(_BUCKET, self._bucket(buckets)).hint("rebalance", _BUCKET)
+        numbered.write.mode("overwrite").partitionBy(_BUCKET).parquet(folder)
 
     def _merged(self, df: DataFrame, order: Sequence[str]) -> DataFrame:
         if self.merges is None:
@@ -105,7 +146,7 @@ class KeyedTable:
         if self.merges is not None or self.sequence:
             rows = self._merged(rows, self.sequence)
         version = version_of(self.spark, self.path, writer, batch)
-        rows.write.mode("overwrite").parquet(f"{self.path}/batches/batch={version}")
+        self._write(rows, f"{self.path}/batches/batch={version}")
         return version
 
     def rows(self) -> DataFrame | None:
@@ -115,8 +156,8 @@ class KeyedTable:
             return found
         return found.filter(~F.coalesce(F.expr(self.deleted), F.lit(False)))
 
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """The table as the batches (those with a number less than `before`) left it."""
+    def read(self, before: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
+        """The table as the batches (those with a number less than `before`) left it; with `buckets`, these only."""
 
         def wanted(numbers):
             return [n for n in numbers if before is None or n < before]
@@ -126,27 +167,45 @@ class KeyedTable:
         batches = [n for n in wanted(_finished(self.spark, f"{self.path}/batches", "batch")) if n > base]
         if not bases and not batches:
             return None
-        parts = []
-        if bases:
-            parts.append(self._load("bases", "upto", [base]))
-        if batches:
-            parts.append(self._load("batches", "batch", batches))
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        if len(batches) + len(bases[-1:]) == 1:
-            return rows.drop(_VERSION)
+        newest = self._newest(bases)
+        parts = [f"{self.path}/bases/upto={n}/{_BUCKET}={b}" for b, n in newest.items() if buckets is None or b in buckets]
+        rows = self._load("bases", "upto", parts)
+        parts = [
+            f"{self.path}/batches/batch={n}/{_BUCKET}={b}"
+            for n in batches
+            for b in _numbers(self.spark, f"{self.path}/batches/batch={n}", _BUCKET)
+            if buckets is None or b in buckets
+        ]
+        if bases or len(batches) > 1:
+            rows = rows.unionByName(self._load("batches", "batch", parts))
+        else:
+            return self._alone(self._load("batches", "batch", parts))
+        if not batches:
+            return self._alone(rows)
         merged = self._merged(rows, [*self.sequence, _VERSION])
         return merged.drop(_VERSION) if self.merges is None else merged
 
-    def _load(self, kind: str, name: str, numbers: list[int]) -> DataFrame:
-        root = f"{self.path}/{kind}"
-        paths = [f"{root}/{name}={n}" for n in numbers]
-        rows = self.spark.read.option("basePath", root).parquet(*paths)
-        return rows.withColumnRenamed(name, _VERSION)
+    def _alone(self, rows: DataFrame) -> DataFrame:
+        """What one base or one batch holds, which has no key twice."""
+        return rows.drop(_VERSION)
+
+    def _newest(self, bases: Sequence[int]) -> dict[int, int]:
+        """For each bucket the last of the bases that holds it."""
+        return {b: n for n in sorted(bases) for b in _numbers(self.spark, f"{self.path}/bases/upto={n}", _BUCKET)}
+
+    def _load(self, kind: str, name: str, paths: list[str]) -> DataFrame:
+        schema = self.spark.read.parquet(f"{self.path}/_schema").schema
+        if not paths:
+            return self.spark.createDataFrame([], schema.add(_VERSION, T.LongType()))
+        reader = self.spark.read.option("basePath", f"{self.path}/{kind}")
+        rows = reader.schema(schema.add(name, T.LongType()).add(_BUCKET, T.IntegerType())).parquet(*paths)
+        return rows.withColumnRenamed(name, _VERSION).drop(_BUCKET)
 
     def compact(self, before: int | None = None) -> None:
-        """Merge all complete batches, or those `before` a version, into one base that later reads start from.
+        """Merge all complete batches, or those `before` a version, into the base that later reads start from.
 
-        The base before it stays, and the batches after that; older ones are deleted.
+        Only the buckets that these batches touch are rewritten. Of each bucket the form before stays, as do the
+        batches since then; older ones are deleted.
         """
         bases = _finished(self.spark, f"{self.path}/bases", "upto")
         batches = _finished(self.spark, f"{self.path}/batches", "batch")
@@ -154,9 +213,19 @@ class KeyedTable:
         last = bases[-1] if bases else -1
         if not batches or batches[-1] <= last:
             return
-        self.read(before).write.mode("overwrite").parquet(f"{self.path}/bases/upto={batches[-1]}")
+        touched = {
+            b for n in batches if n > last for b in _numbers(self.spark, f"{self.path}/batches/batch={n}", _BUCKET)
+        }
+        self._write(self.read(before, sorted(touched)), f"{self.path}/bases/upto={batches[-1]}")
+        kept = self._newest(bases)
         for number in bases[:-1]:
-            _delete(self.spark, f"{self.path}/bases/upto={number}")
+            held = _numbers(self.spark, f"{self.path}/bases/upto={number}", _BUCKET)
+            gone = [b for b in held if kept[b] != number]
+            if len(gone) == len(held):
+                _delete(self.spark, f"{self.path}/bases/upto={number}")
+            else:
+                for b in gone:
+                    _delete(self.spark, f"{self.path}/bases/upto={number}/{_BUCKET}={b}")
         for number in batches:
             if number <= last:
                 _delete(self.spark, f"{self.path}/batches/batch={number}")

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tidelog.operators.ordered import HOT_KEY_ROWS, Aggregates, running
 from tidelog.operators.windows import END_OF_INPUT
 from tidelog.session import configure
+from tidelog.sinks.derived import DerivedTable
 from tidelog.sinks.keyed import KeyedTable, hadoop_folder, version_of
 
 # micro-batches between two compactions of a keyed table
@@ -79,6 +80,7 @@ def upsert(
     name: str | None = None,
     deleted: str | None = None,
     compact_every: int = COMPACT_EVERY,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Keep a `KeyedTable` at `path` up to date.
 
@@ -88,7 +90,7 @@ def upsert(
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        table = KeyedTable(batch.sparkSession, path, keys, merges, sequence, deleted)
+        table = KeyedTable(batch.sparkSession, path, keys, merges, sequence, deleted, buckets)
         table.upsert(batch, number, _writer_of(batch))
         if table.open_batches() >= compact_every:
             table.compact()
@@ -96,6 +98,34 @@ def upsert(
     return to_batches(df, apply, checkpoint, mode, every, name)
 
 
+def derive(
+    changes: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    sequence: Sequence[str],
+    children: Callable[[DataFrame], DataFrame],
+    checkpoint: str,
+    deleted: str = "op = 'D'",
+    every: str | None = None,
+    name: str | None = None,
+    buckets: int | None = None,
+    compact_every: int = COMPACT_EVERY,
+) -> StreamingQuery:
+    """Keep a `DerivedTable` at `path` up to date with a feed of changes of its parents."""
+
+    def apply(batch: DataFrame, number: int) -> None:
+        table = DerivedTable(batch.sparkSession, path, keys, sequence, deleted, buckets)
+        batch.persist()
+        try:
+            table.apply(batch, children, number, _writer_of(batch))
+        finally:
+            batch.unpersist()
+        if table.open_batches() >= compact_every:
+            table.compact()
+
+    return to_batches(changes, apply, checkpoint, "append", every, name)
+
+
 def upsert_several(
     df: DataFrame,
     tables: dict[str, tuple[Callable[[DataFrame], DataFrame], dict]],
@@ -129,7 +159,7 @@ def run_bounded(start: Callable[[], StreamingQuery], ended: str, spark: SparkSes
     """Run a stream over all there is, then once more so that nothing stays open.
 
     `start` starts the query from its checkpoint; its frame was made by `windows.watermarked` with the same
-    folder `ended`. After that the input has ended: rows that come later are late. A run that failed
+    folder `ended`, which is this query's own: another one would read its end before its input. After that the input has ended: rows that come later are late. A run that failed
     is repeated by calling this again.
     """
     start().awaitTermination()
@@ -201,11 +231,13 @@ def running_batches(
     max_rows_per_task: int = HOT_KEY_ROWS,
     every: str | None = None,
     name: str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """`ordered.running` over a stream: each row with its key's aggregates so far.
 
     The totals of earlier micro-batches lie in a `KeyedTable` beside the checkpoint. They
-    join a batch as one leading row per key, so a hot key is cut like any batch. Rows are
+    join a batch as one leading row per key, so a hot key is cut like any batch. Of the table a
+    micro-batch opens the buckets of its own keys only. Rows are
     in order inside a micro-batch, and micro-batches follow each other.
     """
     keys, order = list(keys), list(order)
@@ -224,12 +256,13 @@ def running_batches(
 
     def write(batch: DataFrame, micro_batch: int) -> None:
         spark = batch.sparkSession
-        state = KeyedTable(spark, f"{checkpoint}-totals", keys, merges)
+        state = KeyedTable(spark, f"{checkpoint}-totals", keys, merges, buckets=buckets)
         number = version_of(spark, f"{checkpoint}-totals", _writer_of(batch), micro_batch)
         new = batch.withColumns(
             {f"_part_{n}": partial(kind, column) for n, (kind, column) in aggregates.items()}
         ).withColumn("_kind", F.lit(1))
-        earlier = state.read(before=number)
+        # only the buckets that the batch's keys lie in
+        earlier = state.read(before=number, buckets=state.buckets_of(batch))
         rows = new
         if earlier is not None:
             present = batch.select(*[F.col(k).alias(f"_on_{k}") for k in keys]).distinct()

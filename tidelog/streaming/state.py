@@ -1,251 +1,508 @@
-"""Stateful processors for `transformWithState`: per-key state, timers and time-to-live.
+"""Stateful processors for `transformWithStateInPandas`: per-key state, timers and time-to-live.
 
-Rows of a key come in order of arrival. State is a few values per key, except in
-`LastRows`, which holds rows back until the watermark has passed them.
+Keys are any columns, values of any type; the types come from the frame. Rows of a key reach a processor in
+frames of bounded size and are worked on a frame at a time. Where `order` names a column, the rows of a
+key in one micro-batch are taken in that order; without it in the order they arrive. What has to
+wait (for its order, or for event time) lies in list state as columns and is read back in
+sorted slices, so a large key is never held in memory as a whole. A key has one timer, at the
+earliest moment that it waits for.
+
+Columns may hold NULLs: they travel as a value that is not looked at, beside a flag.
 """
 
 from __future__ import annotations
 
-import heapq
 import operator
-from collections.abc import Callable, Iterator
-from itertools import chain
-
-from pyspark.sql import DataFrame, Row
+from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate, chain
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidelog.session import configure
 
+#: rows of one key that a task holds at once when it sorts
+ROWS_PER_SLICE = 100_000
+_FLAG = "_missing_"
+_UFUNCS = {operator.add: np.add, max: np.maximum, min: np.minimum}
+
+
+def _names(keys: str | Sequence[str]) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
+
+
+def _filler(kind: T.DataType) -> Column:
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.lit("1970-01-01").cast(kind)
+    return F.lit(0).cast(kind) if isinstance(kind, (T.NumericType, T.BooleanType)) else F.lit("").cast(kind)
+
+
+def _packed(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Keys, and each column filled and with a flag that tells whether it was NULL."""
+    parts = []
+    for c in dict.fromkeys(columns):
+        if c not in keys:
+            parts.append(F.coalesce(F.col(c), _filler(df.schema[c].dataType)).alias(c))
+        parts.append(F.col(c).isNull().alias(_FLAG + c))
+    return df.select(*keys, *parts)
+
+
+def _apply(packed: DataFrame, keys, processor, schema: str, mode: str, time_mode: str) -> DataFrame:
+    configure(packed.sparkSession)
+    processor.names = packed.columns
+    return packed.groupBy(*keys).transformWithStateInPandas(processor, schema, mode, time_mode)
+
+
+def _schema(df: DataFrame, keys: Sequence[str], **others: str) -> str:
+    kinds = [(k, df.schema[k].dataType.simpleString()) for k in keys] + list(others.items())
+    return ", ".join(f"`{name}` {kind}" for name, kind in kinds)
+
+
+def _series(values: np.ndarray, missing: np.ndarray) -> pd.Series:
+    out = pd.Series(values)
+    if missing.any():
+        out = out.astype(object)
+        out[missing] = None
+    return out
+
+
+class _Waiting:
+    """Rows of a key that wait, as batches of columns in list state; the first `sorted_by` columns are their order."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, kinds: Sequence[str], sorted_by: int, timed: bool):
+        columns = ", ".join(f"c{n} array<{kind}>" for n, kind in enumerate(kinds))
+        self.handle, self.sorted_by, self.timed = handle, sorted_by, timed
+        self.lists = [handle.getListState(f"{name}{n}", columns) for n in range(2)]
+        self.at = handle.getValueState(f"{name}_at", "active int, timer bigint")
+
+    def _now(self) -> tuple[int, int | None]:
+        held = self.at.get()
+        return (0, None) if held is None else (held[0], held[1])
+
+    def add(self, columns: Sequence[np.ndarray]) -> None:
+        if not len(columns[0]):
+            return
+        order = np.lexsort(columns[: self.sorted_by][::-1])
+        columns = [np.asarray(c)[order] for c in columns]
+        active, timer = self._now()
+        self.lists[active].appendValue(tuple(c.tolist() for c in columns))
+        if not self.timed:
+            return
+        first = int(columns[0][0])
+        if timer is None or first < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(first)
+            self.at.update((active, first))
+
+    def taken(self, upto=None) -> Iterator[list[np.ndarray]]:
+        """Rows whose first column is at most `upto` (all without it), in sorted slices; the others stay.
+
+        A slice holds about `ROWS_PER_SLICE` rows, more only where one value of the first column has more.
+        """
+        active, _ = self._now()
+
+        def entries() -> Iterator[tuple[list, int]]:
+            for entry in self.lists[active].get():
+                first = np.asarray(entry[0])
+                yield entry, len(first) if upto is None else int(np.searchsorted(first, upto, "right"))
+
+        taken, rest, marks = 0, 0, []
+        for entry, n in entries():
+            taken, rest = taken + n, rest + len(entry[0]) - n
+            marks.append(np.asarray(entry[0])[:n:1000])
+        if taken:
+            marks = np.sort(np.concatenate(marks))
+            slices = -(-taken // ROWS_PER_SLICE)
+            cuts = np.unique(marks[[len(marks) * k // slices for k in range(1, slices)]]) if slices > 1 else []
+            for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+                parts: list[list] = []
+                for entry, n in entries():
+                    first = np.asarray(entry[0])[:n]
+                    a = 0 if low is None else int(np.searchsorted(first, low, "left"))
+                    b = n if high is None else int(np.searchsorted(first, high, "left"))
+                    if b > a:
+                        parts.append([np.asarray(c)[a:b] for c in entry])
+                if parts:
+                    columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+                    order = np.lexsort(columns[: self.sorted_by][::-1])
+                    yield [c[order] for c in columns]
+        least = None
+        if rest and taken:
+            for entry, n in entries():
+                if n < len(entry[0]):
+                    least = entry[0][n] if least is None else min(least, entry[0][n])
+                    self.lists[1 - active].appendValue(tuple(c[n:] for c in entry))
+        elif rest:
+            least = min(entry[0][0] for entry, _ in entries())
+        if taken:
+            self.lists[active].clear()
+            active = 1 - active
+        if self.timed and least is not None:
+            self.handle.registerTimer(int(least))
+        self.at.update((active, least if self.timed else None))
+
+
+def _named(rows: Iterator[pd.DataFrame], names: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Frames under the names of their columns, which the optimizer may have lost."""
+    for frame in rows:
+        frame.columns = list(names)
+        yield frame
+
+
+class _Processor(StatefulProcessor):
+    """A processor over frames of (keys, columns), in the order of a column if one is named."""
+
+    def __init__(self, keys: Sequence[str], columns: Sequence[str], kinds: Sequence[str], order: str | None):
+        self.keys, self.columns, self.kinds, self.order = list(keys), list(columns), list(kinds), order
 
-def _apply(df, key, processor, schema, mode, time_mode) -> DataFrame:
-    configure(df.sparkSession)
-    return df.groupBy(key).transformWithState(processor, schema, mode, time_mode)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        if self.order is not None:
+            kinds = list(chain.from_iterable((kind, "boolean") for kind in self.kinds))
+            place = self.columns.index(self.order)
+            self.flat = [c for name in self.columns for c in (name, _FLAG + name)]
+            # the order first
+            self.flat = [self.flat.pop(2 * place), *self.flat]
+            kinds = [kinds.pop(2 * place), *kinds]
+            self.sorting = _Waiting(handle, "sorting", kinds, 1, timed=False)
+
+    def frames(self, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = _named(rows, self.names)
+        if self.order is None:
+            yield from rows
+            return
+        first = next(rows, None)
+        if first is None:
+            return
+        second = next(rows, None)
+        if second is None:
+            yield first.sort_values(self.order, kind="stable")
+            return
+        for frame in chain((first, second), rows):
+            self.sorting.add([frame[c].to_numpy() for c in self.flat])
+        for columns in self.sorting.taken():
+            yield pd.DataFrame(dict(zip(self.flat, columns, strict=True)))
+
+    def out(self, key, n: int, **columns) -> pd.DataFrame:
+        keys = {name: pd.Series([value] * n, dtype=object) for name, value in zip(self.keys, key, strict=True)}
+        return pd.DataFrame({**keys, **columns})
 
+    def close(self) -> None:
+        pass
 
-class _Reduce(StatefulProcessor):
+
+class _Reduce(_Processor):
     """Emits the key's reduced value after every row."""
 
-    def __init__(
-        self, function: Callable[[float, float], float], value: str, id_column: str, ttl_ms: int | None
-    ):
+    def __init__(self, keys, columns, kinds, order, function, value, id_column, ttl_ms):
+        super().__init__(keys, columns, kinds, order)
         self.function, self.value, self.id_column, self.ttl_ms = function, value, id_column, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "total double", self.ttl_ms)
+        super().init(handle)
+        kind = self.kinds[self.columns.index(self.value)]
+        self.total = handle.getValueState("total", f"total {kind}", self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held = self.total.get()
         total = None if held is None else held[0]
-        for row in rows:
-            value = row[self.value]
-            if value is not None:  # as in SQL, NULL changes nothing
-                total = value if total is None else self.function(total, value)
-            yield Row(key=key[0], id=row[self.id_column], total=total)
+        for frame in self.frames(rows):
+            missing = frame[_FLAG + self.value].to_numpy(dtype=bool)
+            values = frame[self.value].to_numpy()[~missing]  # as in SQL, NULL changes nothing
+            ufunc = _UFUNCS.get(self.function) if values.dtype.kind in "iuf" else None
+            before = [] if total is None else [total]
+            if not len(values):
+                so_far = before
+            elif ufunc is not None:
+                so_far = ufunc.accumulate(np.concatenate([np.asarray(before, dtype=values.dtype), values]))
+            else:
+                so_far = list(accumulate(chain(before, values.tolist()), self.function))
+            at = np.cumsum(~missing) - 1 + len(before)
+            totals = np.asarray(so_far)[np.maximum(at, 0)] if len(so_far) else np.zeros(len(at))
+            if len(so_far):
+                total = so_far[-1].item() if hasattr(so_far[-1], "item") else so_far[-1]
+            ids = _series(frame[self.id_column].to_numpy(), frame[_FLAG + self.id_column].to_numpy(dtype=bool))
+            yield self.out(key, len(frame), **{self.id_column: ids.to_numpy(), "total": _series(totals, at < 0).to_numpy()})
         # written after every read as well, so that reading renews the time to live
         self.total.update((total,))
 
-    def close(self) -> None:
-        pass
-
 
 def running_reduce(
     df: DataFrame,
-    key: str,
+    keys: str | Sequence[str],
     value: str,
     id_column: str,
-    key_type: str,
-    function: Callable[[float, float], float] = operator.add,
+    function: Callable = operator.add,
     ttl_ms: int | None = None,
+    order: str | None = None,
 ) -> DataFrame:
-    """(key, id, total) after each row: the key's values so far, reduced two by two.
+    """(keys, id column, total) after each row: the key's values so far, reduced two by two.
 
     State not touched for `ttl_ms` is forgotten.
     """
+    keys = _names(keys)
+    columns = list(dict.fromkeys([value, id_column, *([order] if order else [])]))
+    kinds = [df.schema[c].dataType.simpleString() for c in columns]
+    processor = _Reduce(keys, columns, kinds, order, function, value, id_column, ttl_ms)
+    kind = df.schema[value].dataType.simpleString()
+    schema = _schema(df, keys, **{id_column: df.schema[id_column].dataType.simpleString(), "total": kind})
     time_mode = "processingTime" if ttl_ms else "none"
-    schema = f"key {key_type}, id bigint, total double"
-    processor = _Reduce(function, value, id_column, ttl_ms)
-    return _apply(df, key, processor, schema, "append", time_mode)
+    return _apply(_packed(df, keys, columns), keys, processor, schema, "append", time_mode)
 
 
-class _TopN(StatefulProcessor):
+class _TopN(_Processor):
     """Emits the key's `n` largest values once per micro-batch."""
 
-    def __init__(self, value: str, n: int):
-        self.value, self.n = value, n
+    def __init__(self, keys, columns, kinds, n: int):
+        super().__init__(keys, columns, kinds, None)
+        self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", "vals array<double>")
+        super().init(handle)
+        self.best = handle.getValueState("best", f"vals array<{self.kinds[0]}>")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        (value,) = self.columns
         held = self.best.get()
-        before = [] if held is None else list(held[0])
-        best = heapq.nlargest(self.n, chain(before, (row[self.value] for row in rows if row[self.value] is not None)))
+        best = [] if held is None else list(held[0])
+        for frame in self.frames(rows):
+            values = frame[value].to_numpy()[~frame[_FLAG + value].to_numpy(dtype=bool)]
+            if values.dtype.kind in "iuf" and len(values) > self.n:
+                values = np.partition(values, len(values) - self.n)[-self.n :]
+            best = sorted([*best, *values.tolist()], reverse=True)[: self.n]
         self.best.update((best,))
-        for rank, value in enumerate(best, 1):
-            yield Row(key=key[0], rank=rank, value=value)
-
-    def close(self) -> None:
-        pass
+        if best:
+            yield self.out(key, len(best), rank=np.arange(1, len(best) + 1, dtype=np.int32), value=best)
 
 
-def top_values(df: DataFrame, key: str, value: str, n: int, key_type: str) -> DataFrame:
-    """(key, rank, value): the present `n` largest values of each key that got rows. For an upsert by (key, rank)."""
-    return _apply(df, key, _TopN(value, n), f"key {key_type}, rank int, value double", "update", "none")
+def top_values(df: DataFrame, keys: str | Sequence[str], value: str, n: int) -> DataFrame:
+    """(keys, rank, value): the present `n` largest values of each key that got rows. For an upsert by (keys, rank)."""
+    keys, kind = _names(keys), df.schema[value].dataType.simpleString()
+    schema = _schema(df, keys, rank="int", value=kind)
+    return _apply(_packed(df, keys, [value]), keys, _TopN(keys, [value], [kind], n), schema, "update", "none")
 
 
-class _IdleCount(StatefulProcessor):
+class _IdleCount(_Processor):
     """Emits the key's count once per micro-batch."""
 
-    def __init__(self, ttl_ms: int):
+    def __init__(self, keys, ttl_ms: int):
+        super().__init__(keys, [], [], None)
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.count = handle.getValueState("count", "count bigint", self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held = self.count.get()
-        count = (0 if held is None else held[0]) + sum(1 for _ in rows)
+        count = (0 if held is None else held[0]) + sum(map(len, rows))
         self.count.update((count,))
-        yield Row(key=key[0], count=count)
-
-    def close(self) -> None:
-        pass
+        yield self.out(key, 1, count=[count])
 
 
-def count_with_expiry(df: DataFrame, key: str, key_type: str, ttl_ms: int) -> DataFrame:
-    """Running count per key; a key left idle for `ttl_ms` is forgotten and counts from 1 again."""
-    schema = f"key {key_type}, count bigint"
-    return _apply(df, key, _IdleCount(ttl_ms), schema, "update", "processingTime")
+def count_with_expiry(df: DataFrame, keys: str | Sequence[str], ttl_ms: int) -> DataFrame:
+    """(keys, count): running count per key; a key left idle for `ttl_ms` is forgotten and counts from 1 again."""
+    keys = _names(keys)
+    packed = df.select(*keys, F.lit(True).alias(f"{_FLAG}row"))
+    return _apply(packed, keys, _IdleCount(keys, ttl_ms), _schema(df, keys, count="bigint"), "update", "processingTime")
 
 
-class _CountWindow(StatefulProcessor):
+class _CountWindow(_Processor):
     """Emits the sum of every `size` rows."""
 
-    def __init__(self, value: str, size: int):
+    def __init__(self, keys, columns, kinds, order, value: str, size: int):
+        super().__init__(keys, columns, kinds, order)
         self.value, self.size = value, size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.window = handle.getValueState("window", "rows bigint, total double")
+        super().init(handle)
+        kind = self.kinds[self.columns.index(self.value)]
+        self.window = handle.getValueState("window", f"number bigint, rows bigint, total {kind}")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held = self.window.get()
-        count, total = (0, None) if held is None else (held[0], held[1])
-        for row in rows:
-            value = row[self.value]
-            count += 1
-            if value is not None:
-                total = value if total is None else total + value
-            if count == self.size:
-                yield Row(key=key[0], total=total)
-                count, total = 0, None
-        self.window.update((count, total))
-
-    def close(self) -> None:
-        pass
-
-
-def count_window_sums(df: DataFrame, key: str, value: str, size: int, key_type: str) -> DataFrame:
-    """(key, total) for every `size` rows of a key; an unfinished window waits."""
-    schema = f"key {key_type}, total double"
-    return _apply(df, key, _CountWindow(value, size), schema, "append", "none")
-
+        number, count, total = (0, 0, None) if held is None else (held[0], held[1], held[2])
+        for frame in self.frames(rows):
+            missing = frame[_FLAG + self.value].to_numpy(dtype=bool)
+            values = frame[self.value].to_numpy()
+            place = (count + np.arange(len(frame))) // self.size
+            found = np.arange(int(place[-1]) + 1) if len(place) else np.zeros(0, dtype=int)
+            starts = np.searchsorted(place, found)
+            sums = np.add.reduceat(np.where(missing, 0, values), starts) if len(found) else values[:0]
+            known = np.add.reduceat((~missing).astype(int), starts) > 0 if len(found) else missing[:0]
+            if total is not None and len(found):
+                sums[0], known[0] = sums[0] + total, True
+            count += len(frame)
+            done = count // self.size
+            if done:
+                yield self.out(
+                    key, done, window_no=number + np.arange(done), total=_series(sums[:done], ~known[:done]).to_numpy()
+                )
+            if len(found):
+                open_window = done < len(found)
+                total = sums[done].item() if open_window and known[done] else None
+            number, count = number + done, count % self.size
+        self.window.update((number, count, total))
+
+
+def count_window_sums(
+    df: DataFrame, keys: str | Sequence[str], value: str, size: int, order: str | None = None
+) -> DataFrame:
+    """(keys, window_no, total) for every `size` rows of a key; an unfinished window waits."""
+    keys = _names(keys)
+    columns = list(dict.fromkeys([value, *([order] if order else [])]))
+    kinds = [df.schema[c].dataType.simpleString() for c in columns]
+    schema = _schema(df, keys, window_no="bigint", total=df.schema[value].dataType.simpleString())
+    processor = _CountWindow(keys, columns, kinds, order, value, size)
+    return _apply(_packed(df, keys, columns), keys, processor, schema, "append", "none")
 
-class _SumTimer(StatefulProcessor):
-    """Adds rows up; a timer per row emits the sum at that time."""
 
-    MOST_KNOWN = 100_000
+class _SumTimer(_Processor):
+    """Adds rows up; event time reaching a moment emits the sum."""
 
-    def __init__(self, value: str, millis: str, delay_ms: int):
+    def __init__(self, keys, columns, kinds, value: str, millis: str, delay_ms: int):
+        super().__init__(keys, columns, kinds, None)
         self.value, self.millis, self.delay_ms = value, millis, delay_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.known = {}  # totals read back in this task
-        self.total = handle.getValueState("total", "total double")
+        super().init(handle)
+        self.total = handle.getValueState("total", f"total {self.kinds[0]}")
+        self.moments = _Waiting(handle, "moments", ["bigint"], 1, timed=True)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held = self.total.get()
-        total = 0.0 if held is None else held[0]
-        due = set()
-        for row in rows:
-            total += row[self.value] or 0.0
-            due.add(row[self.millis] + self.delay_ms)
+        total = 0 if held is None else held[0]
+        for frame in self.frames(rows):
+            values = frame[self.value].to_numpy()[~frame[_FLAG + self.value].to_numpy(dtype=bool)]
+            total = total + values.sum().item() if len(values) else total
+            timed = ~frame[_FLAG + self.millis].to_numpy(dtype=bool)
+            self.moments.add([np.unique(frame[self.millis].to_numpy()[timed]) + self.delay_ms])
         self.total.update((total,))
-        for moment in due:
-            self.handle.registerTimer(moment)
-        self.known.pop(key[0], None)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # timers fire after all rows of a micro-batch: a total once read stays right in this task
-        if key[0] not in self.known:
-            if len(self.known) >= self.MOST_KNOWN:
-                self.known.clear()
-            self.known[key[0]] = self.total.get()[0]
-        yield Row(key=key[0], fired_ms=expiredTimerInfo.getExpiryTimeInMs(), total=self.known[key[0]])
-
-    def close(self) -> None:
-        pass
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # timers fire after all rows of a micro-batch
+        total = self.total.get()[0]
+        for (moments,) in self.moments.taken(timerValues.getCurrentWatermarkInMs()):
+            moments = np.unique(moments)
+            yield self.out(key, len(moments), fired_ms=moments, total=[total] * len(moments))
 
 
 def sum_on_timer(
-    df: DataFrame, key: str, value: str, millis: str, key_type: str, delay_ms: int = 5_000
+    df: DataFrame, keys: str | Sequence[str], value: str, millis: str, delay_ms: int = 5_000
 ) -> DataFrame:
-    """(key, fired_ms, total): the key's sum when event time is `delay_ms` past each row.
+    """(keys, fired_ms, total): the key's sum when event time is `delay_ms` past each row.
 
     `df` needs a watermark; `millis` is its event time in epoch milliseconds.
     """
-    schema = f"key {key_type}, fired_ms bigint, total double"
-    return _apply(df, key, _SumTimer(value, millis, delay_ms), schema, "append", "eventTime")
+    keys, kind = _names(keys), df.schema[value].dataType.simpleString()
+    kinds = [kind, "bigint"]
+    processor = _SumTimer(keys, [value, millis], kinds, value, millis, delay_ms)
+    schema = _schema(df, keys, fired_ms="bigint", total=kind)
+    return _apply(_packed(df, keys, [value, millis]), keys, processor, schema, "append", "eventTime")
 
 
-class _LastRows(StatefulProcessor):
+class _LastRows(_Processor):
     """Emits each row with the maximum over it and the rows before it, in event-time order."""
 
-    def __init__(self, value: str, millis: str, id_column: str, preceding: int):
+    def __init__(self, keys, columns, kinds, value: str, millis: str, id_column: str, preceding: int):
+        super().__init__(keys, columns, kinds, None)
         self.value, self.millis, self.id_column, self.preceding = value, millis, id_column, preceding
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getMapState("waiting", "ms bigint", "ids array<bigint>, vals array<double>")
-        self.last = handle.getValueState("last", "vals array<double>")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new: dict[int, list] = {}
-        for row in rows:
-            new.setdefault(row[self.millis], []).append((row[self.id_column], row[self.value]))
-        for moment, pairs in new.items():
-            # rows behind the watermark are late
-            if moment <= timerValues.getCurrentWatermarkInMs():
-                continue
-            held = self.waiting.getValue((moment,)) if self.waiting.containsKey((moment,)) else ([], [])
-            pairs = sorted([*zip(held[0], held[1], strict=True), *pairs], key=lambda pair: pair[0])
-            self.waiting.updateValue((moment,), ([i for i, _ in pairs], [v for _, v in pairs]))
-            self.handle.registerTimer(moment)
+        super().init(handle)
+        value, number = self.kinds[0], self.kinds[2]
+        self.waiting = _Waiting(handle, "waiting", ["bigint", number, value, "boolean"], 2, timed=True)
+        self.last = handle.getValueState("last", f"vals array<{value}>, missing array<boolean>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        behind = timerValues.getCurrentWatermarkInMs()
+        for frame in self.frames(rows):
+            frame = frame[(frame[self.millis] > behind) & ~frame[_FLAG + self.millis]]  # others are late
+            columns = [self.millis, self.id_column, self.value, _FLAG + self.value]
+            self.waiting.add([frame[c].to_numpy() for c in columns])
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        moment = expiredTimerInfo.getExpiryTimeInMs()
-        ids, values = self.waiting.getValue((moment,))
-        self.waiting.removeKey((moment,))
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held = self.last.get()
-        last = [] if held is None else list(held[0])
-        for row_id, value in zip(ids, values, strict=True):
-            last = [*last, value][-(self.preceding + 1) :]
-            yield Row(key=key[0], id=row_id, ms=moment, top=max((v for v in last if v is not None), default=None))
-        self.last.update((last,))
+        last, gone = ([], []) if held is None else (list(held[0]), list(held[1]))
+        for moments, ids, values, missing in self.waiting.taken(timerValues.getCurrentWatermarkInMs()):
+            n = len(moments)
+            all_values = np.concatenate([np.asarray(last, dtype=values.dtype), values])
+            all_gone = np.concatenate([np.asarray(gone, dtype=bool), missing.astype(bool)])
+            top, empty = all_values[len(last) :].copy(), all_gone[len(last) :].copy()
+            for back in range(1, self.preceding + 1):
+                # the value `back` rows before, where there is one
+                at = np.arange(len(last), len(last) + n) - back
+                there = at >= 0
+                there[there] = ~all_gone[at[there]]
+                better = there & (empty | (all_values[np.maximum(at, 0)] > top))
+                top[better], empty[better] = all_values[at[better]], False
+            yield self.out(key, n, **{self.id_column: ids, "ms": moments, "top": _series(top, empty).to_numpy()})
+            keep = max(0, len(all_values) - self.preceding)
+            last, gone = all_values[keep:].tolist(), all_gone[keep:].tolist()
+        self.last.update((last, gone))
+
+
+def max_over_preceding(
+    df: DataFrame, keys: str | Sequence[str], value: str, millis: str, id_column: str, preceding: int = 2
+) -> DataFrame:
+    """(keys, id column, ms, top): the largest of a row's value and the `preceding` ones before it.
+
+    `df` needs a watermark; a row comes out once the watermark has reached it. Equal times are ordered by the id.
+    Times up to 1970 are late from the start, as that is where watermarks begin.
+    """
+    keys = _names(keys)
+    columns = [value, millis, id_column]
+    kinds = [df.schema[c].dataType.simpleString() for c in columns]
+    processor = _LastRows(keys, columns, kinds, value, millis, id_column, preceding)
+    schema = _schema(df, keys, **{id_column: kinds[2], "ms": "bigint", "top": kinds[0]})
+    return _apply(_packed(df, keys, columns), keys, processor, schema, "append", "eventTime")
+
+
+class _Late(StatefulProcessor):
+    """Compares every row with the watermark of its micro-batch; keeps nothing."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        behind = timerValues.getCurrentWatermarkInMs()
+        for frame in _named(rows, self.names):
+            kept = frame.drop(columns=["part", "until"])
+            yield kept.assign(late=frame["until"] <= behind)
 
     def close(self) -> None:
         pass
 
 
-def max_over_preceding(
-    df: DataFrame, key: str, value: str, millis: str, id_column: str, key_type: str, preceding: int = 2
-) -> DataFrame:
-    """(key, id, ms, top): the largest of a row's value and the `preceding` ones before it.
+def marked_late(df: DataFrame, until: Column, parts: int | None = None) -> DataFrame:
+    """The rows of a stream with a watermark, and `late`: event time had passed `until` before the row's micro-batch.
 
-    `df` needs a watermark; a row comes out once the watermark has reached it.
+    `until` is the point in time up to which a row is in time: its own, or the end of its window. A NULL one
+    is in time. Nothing is dropped, so the rows in time and the late ones are the input together.
     """
-    processor = _LastRows(value, millis, id_column, preceding)
-    schema = f"key {key_type}, id bigint, ms bigint, top double"
-    return _apply(df, key, processor, schema, "append", "eventTime")
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nested = {f.name: f.dataType for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))}
+    flat = df.withColumns({name: F.to_json(name) for name in nested})
+    # the event time goes along under another name, where Spark does not know it: it would drop late rows
+    names = {c: f"_{n}" for n, c in enumerate(df.columns)}
+    millis = F.coalesce(F.unix_millis(until.cast("timestamp")), F.lit(2**62))
+    packed = flat.select(
+        F.pmod(F.xxhash64(*flat.columns), F.lit(parts)).alias("part"),
+        *[F.coalesce(F.col(c), _filler(flat.schema[c].dataType)).alias(n) for c, n in names.items()],
+        *[F.col(c).isNull().alias(_FLAG + n) for c, n in names.items()],
+        millis.alias("until"),
+    )
+    kinds = [f"`{n}` {packed.schema[n].dataType.simpleString()}" for n in packed.columns if n not in ("part", "until")]
+    out = _apply(packed, ["part"], _Late(), ", ".join([*kinds, "late boolean"]), "append", "eventTime")
+    back = []
+    for c, n in names.items():
+        value = F.when(~F.col(_FLAG + n), F.col(n))
+        back.append((F.from_json(value, nested[c]) if c in nested else value).alias(c))
+    return out.select(*back, "late")
