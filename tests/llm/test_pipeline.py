@@ -78,3 +78,30 @@ def test_odd_texts_go_through(spark, odd, folder):
         assert 0 < docs.count() <= len(odd_texts()) * 2
     whole = docs.agg(F.count("*")).first()[0]
     assert corpus_pipeline.token_ids(spark, docs, path).count() == whole
+
+
+CLASHING = ["_number", "_mark", "_often", "_score", "_d", "_h", "places", "posterior", "n_tokens", "rate"]
+
+
+@pytest.mark.parametrize("files", [1, 7])
+def test_any_file_layout_and_any_columns(spark, folder, files, tmp_path):
+    """The same documents stay however they lie in files, and columns with names used inside come out as they were."""
+    path, rows, _ = folder
+    docs = frame(spark, [*rows, *rows[:5], (None, None), (None, "")]).select(*COLUMNS)
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in CLASHING})
+    docs.repartition(files, "doc_id").sortWithinPartitions("doc_id" if files > 1 else F.desc("text")).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, path)
+        assert docs.columns == COLUMNS + CLASHING
+        stored = docs.collect()
+        for row in stored:
+            if row["doc_id"] is not None:
+                assert [row[c] for c in CLASHING] == [f"{c} of {row['doc_id']}" for c in CLASHING]
+        kept[name] = sorted(repr(tuple(r)) for r in stored)
+    known = _LAYOUTS.setdefault("kept", kept)
+    assert known == kept
+
+
+_LAYOUTS: dict = {}

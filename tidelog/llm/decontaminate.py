@@ -246,8 +246,12 @@ def contamination(
 def without_benchmark(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY
 ) -> DataFrame:
-    """The rows of `docs` that hold nothing like an item, with all their columns."""
+    """The rows of `docs` that hold nothing like an item, with all their columns.
+
+    Rows with a null or empty text stay, and so does everything where there are no items; equal rows stay or go
+    together. Columns of `docs` may have any names.
+    """
     found = contaminated_windows(docs, benchmark, id_col, text_col, least)
     found = found.select(F.col("doc_id").alias("_d"), F.col("hash").alias("_h")).distinct()
-    same = docs[id_col].cast("bigint").eqNullSafe(F.col("_d")) & (F.xxhash64(docs[text_col]) == F.col("_h"))
+    same = docs[id_col].cast("bigint").eqNullSafe(found["_d"]) & (F.xxhash64(docs[text_col]) == found["_h"])
     return docs.join(found, same, "left_anti")

@@ -22,11 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType
+from pyspark.sql.types import ArrayType, DoubleType
 
-from tidelog.llm.quality import PLACES, indicators, with_indicators
+from tidelog.llm.quality import PLACES, places_of, with_indicators
 from tidelog.llm.storage import Stored, store
-from tidelog.llm.words import pieces, words_of
 
 #: steps go on while so many of them halve the squared miss at least
 STEPS = 60
@@ -55,12 +54,12 @@ class DomainModel:
 
 
 def fit_domains(rows: DataFrame, domains: Sequence[str], smoothing: float = 0.5) -> DomainModel:
-    """Fit on (text, domain); rows with a null or another domain are left out.
+    """Fit on (places, domain); rows with a null or another domain are left out.
 
     The counts are taken over all rows. A domain without rows has the prior of half a row.
     """
-    known = rows.filter(F.col("domain").isin(list(domains))).select("domain", "text")
-    kept = store(with_indicators(known), "domains")
+    known = rows.filter(F.col("domain").isin(list(domains)))
+    kept = store(known.select("domain", "places"), "domains")
     found = kept.rows.groupBy("domain").agg(F.count("*").alias("n")).collect()
     counted = (
         kept.rows.select("domain", F.explode("places").alias("place"))
@@ -81,32 +80,25 @@ def fit_domains(rows: DataFrame, domains: Sequence[str], smoothing: float = 0.5)
     return DomainModel(domains, table.astype(np.float32), np.log(prior / prior.sum()))
 
 
-def with_posteriors(docs: DataFrame, model: DomainModel, text_col: str = "text") -> DataFrame:
-    """The rows without the text, with `n_tokens` (words) and `posterior` (an array in the order of the domains).
+def with_posteriors(rows: DataFrame, model: DomainModel) -> DataFrame:
+    """Rows with `n_tokens` and `places`; instead of the places they get `posterior`, an array in the order of the domains.
 
-    A null text is an empty one. Columns with these two names are replaced.
+    A column of that name is replaced.
     """
-    others = [c for c in docs.columns if c not in (text_col, "n_tokens", "posterior")]
-    schema = docs.select(*others).schema.add("n_tokens", LongType()).add("posterior", ArrayType(DoubleType()))
+    others = [c for c in rows.columns if c not in ("places", "posterior")]
+    schema = rows.select(*others).schema.add("posterior", ArrayType(DoubleType()))
     k = len(model.domains)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(others))
-            tokens = [np.diff(words_of(texts.slice(a, b - a)).first) for a, b in pieces(texts)]
-            tokens = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int64)
-            found = model.posteriors(indicators(texts)).ravel()
-            offsets = np.arange(len(tokens) + 1, dtype=np.int32) * k
+            found = model.posteriors(places_of(batch.column(len(others)))).ravel()
+            offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * k
             yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[: len(others)],
-                    pa.array(tokens.astype(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(found)),
-                ],
+                [*batch.columns[: len(others)], pa.ListArray.from_arrays(pa.array(offsets), pa.array(found))],
                 names=[f.name for f in schema],
             )
 
-    return docs.select(*others, text_col).mapInArrow(run, schema)
+    return rows.select(*others, "places").mapInArrow(run, schema)
 
 
 def replayed(posterior: np.ndarray, steps: Sequence[Sequence[float]]) -> tuple[np.ndarray, np.ndarray]:
@@ -246,14 +238,17 @@ def mixed_rates(
     Every row of `docs` gets a row, repeated rows the same rate. Labels that are repeated for an id
     count once. `others` are columns of `docs` to carry along; the rest is not read. `budget` is the
     tokens aimed at for each token there is. A null text has no tokens, and rates the prior's way.
+    Without rows there are no rates; columns of other names that this works with are replaced, not read.
     """
     targets = targets or TARGETS
     domains = list(targets)
     label = labels.filter("doc_id is not null").groupBy("doc_id")
     label = label.agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    known = docs.select("doc_id", "text").join(label.select("doc_id", domain_of().alias("domain")), "doc_id")
-    model = fit_domains(known.select("text", "domain"), domains)
-    scored = with_posteriors(docs.select(*dict.fromkeys(["doc_id", *others, "text"])), model)
-    kept = store(scored, "posteriors")
+    # the texts are read once, in place; labels meet the indicators
+    counted = store(with_indicators(docs.select(*dict.fromkeys(["doc_id", *others, "text"])), count=True), "indicators")
+    known = counted.rows.select("doc_id", "places").join(label.select("doc_id", domain_of().alias("domain")), "doc_id")
+    model = fit_domains(known, domains)
+    kept = store(with_posteriors(counted.rows, model), "posteriors")
+    counted.drop()
     steps, totals = fit_rates(kept, [targets[d] for d in domains], budget)
     return with_rates(kept, steps, len(domains)), dict(zip(domains, totals.tolist(), strict=True))

@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, LongType
 
 from tidelog.llm.storage import store
 from tidelog.llm.words import Words, mixed, pieces, words_of
@@ -54,8 +54,8 @@ def shape_marks(words: Words) -> np.ndarray:
     return mixed(sums[end] - sums[begin], 5)
 
 
-def indicators(texts: pa.Array) -> Iterator[np.ndarray]:
-    """For each text the sorted distinct places of its n-grams."""
+def counted_indicators(texts: pa.Array) -> Iterator[tuple[np.ndarray, int]]:
+    """For each text the sorted distinct places of its n-grams, and its number of words."""
     for low, high in pieces(texts):
         words = words_of(texts.slice(low, high - low), lower=True)
         shape = shape_marks(words)
@@ -65,26 +65,42 @@ def indicators(texts: pa.Array) -> Iterator[np.ndarray]:
         word = (mixed(words.mark, 3) % np.uint64(WORD_PLACES)).astype(np.int32) + SHAPE_PLACES
         for n in range(high - low):
             a, b = words.first[n], words.first[n + 1]
-            yield np.unique(np.concatenate([single[a:b], pair[a : max(a, b - 1)], word[a:b]]))
+            yield np.unique(np.concatenate([single[a:b], pair[a : max(a, b - 1)], word[a:b]])), int(b - a)
+
+
+def indicators(texts: pa.Array) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct places of its n-grams."""
+    return (places for places, _ in counted_indicators(texts))
+
 
+def places_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """The rows of a column of places."""
+    ends, flat = np.asarray(column.offsets), np.asarray(column.values)
+    return (flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
 
-def with_indicators(rows: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows with a column `places` in the place of the text."""
-    others = [c for c in rows.columns if c != text_col]
+
+def with_indicators(rows: DataFrame, text_col: str = "text", count: bool = False) -> DataFrame:
+    """The rows with `places` instead of the text, and with `count` also `n_tokens`, the number of words.
+
+    What needs the texts of documents that are known by id only is joined to these rows: they are short, and so
+    no text is shuffled. Columns with these names are replaced.
+    """
+    made = ["places", *(["n_tokens"] if count else [])]
+    others = [c for c in rows.columns if c != text_col and c not in made]
     schema = rows.select(*others).schema.add("places", ArrayType(IntegerType()))
-    ordered = rows.select(*others, text_col)
+    schema = schema.add("n_tokens", LongType()) if count else schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(indicators(batch.column(len(others))))
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            flat = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
-            places = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(others)], places], names=[*others, "places"]
-            )
+            found = list(counted_indicators(batch.column(len(others))))
+            ends = np.cumsum([0, *(len(p) for p, _ in found)]).astype(np.int32)
+            flat = np.concatenate([p for p, _ in found]) if found else np.zeros(0, dtype=np.int32)
+            columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))]
+            if count:
+                columns.append(pa.array([n for _, n in found], type=pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *columns], names=[f.name for f in schema])
 
-    return ordered.mapInArrow(run, schema)
+    return rows.select(*others, text_col).mapInArrow(run, schema)
 
 
 def dual_coordinate_descent(
@@ -165,20 +181,24 @@ def fit_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "label",
+    places_col: str | None = None,
     most_fitted: int = MOST_FITTED,
     smoothing: float = 1.0,
     cost: float = 1.0,
 ) -> QualityModel:
     """Fit on labelled rows; those with a null or another label than 0 and 1 are left out.
 
+    `places_col` names a column of `with_indicators` that is taken instead of the text.
     Counts are taken over all rows. The linear model takes the `most_fitted` rows that come first in
     the order of a hash of their id: four fifths for the weights and one for the logistic curve.
     Without rows of both classes every text scores their share of class 1 (one half without any row).
     """
     labelled = rows.filter(F.col(label_col).isin(0, 1)).select(
-        F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"), F.col(text_col).alias("text")
+        F.col(id_col).alias("id"),
+        F.col(label_col).cast("int").alias("label"),
+        F.col(places_col).alias("places") if places_col else F.col(text_col).alias("text"),
     )
-    kept = store(with_indicators(labelled), "labelled")
+    kept = store(labelled if places_col else with_indicators(labelled), "labelled")
     counts = (
         kept.rows.select("label", F.explode("places").alias("place"))
         .groupBy("place")
@@ -199,9 +219,11 @@ def fit_quality(
     scale = np.log(ones / ones.sum()) - np.log(zeros / zeros.sum())
     order = [F.xxhash64(F.col("id").cast("string")), F.col("id")]
     chosen = kept.rows.select("id").distinct().orderBy(*order).limit(most_fitted)
-    sample = kept.rows.join(F.broadcast(chosen), "id").select("id", "label", "places").toArrow()
+    sample = kept.rows.join(F.broadcast(chosen), "id").select("id", "label", "places")
+    # an id that is repeated may have many rows
+    sample = sample.orderBy(*order, F.xxhash64("label", "places")).limit(most_fitted).toArrow()
     kept.drop()
-    # an order that does not depend on how the rows came in; repeated ids may make the sample longer
+    # an order that does not depend on how the rows came in
     found = sample["id"].to_numpy()
     taken = np.lexsort((found, pd.util.hash_array(found)))[:most_fitted]
     labels = sample["label"].to_numpy()[taken]
@@ -227,18 +249,22 @@ def score_quality(
     text_col: str = "text",
     score_col: str = "score",
     keep_text: bool = False,
+    places_col: str | None = None,
 ) -> DataFrame:
     """The rows with a score for the whole text, which is left out unless `keep_text`.
 
-    A null text scores as an empty one. A column with the name of the score is replaced.
+    A null text scores as an empty one. A column with the name of the score is replaced. With
+    `places_col`, a column of `with_indicators`, that stands for the text.
     """
+    text_col = places_col or text_col
     others = [c for c in docs.columns if c not in (text_col, score_col)]
     sent = [*others, text_col]
     schema = docs.select(*(sent if keep_text else others)).schema.add(score_col, "double")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array(model.scores(indicators(batch.column(len(others)))), type=pa.float64())
+            column = batch.column(len(others))
+            scores = pa.array(model.scores((places_of if places_col else indicators)(column)), type=pa.float64())
             kept = batch.columns if keep_text else batch.columns[: len(others)]
             yield pa.RecordBatch.from_arrays([*kept, scores], names=[f.name for f in schema])
 
@@ -250,8 +276,17 @@ def fold(id_col: str, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
-    """(doc_id, text, label) of labelled documents outside the held-out fold; labels repeated for an id count once."""
+def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, column: str = "text") -> DataFrame:
+    """(doc_id, text or another column, label) of labelled documents outside the held-out fold; labels repeated for an id count once."""
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id")
     known = known.agg(F.max("quality").alias("label")).filter(fold("doc_id", folds) != held)
-    return docs.select("doc_id", "text").join(known, "doc_id")
+    return docs.select("doc_id", column).join(known, "doc_id")
+
+
+def learned(docs: DataFrame, labels: DataFrame) -> tuple[QualityModel, DataFrame]:
+    """(the model learned from the labelled documents, doc_id and indicators of every row of `docs`).
+
+    The texts are read once, in place; labels meet the indicators.
+    """
+    known = store(with_indicators(docs.select("doc_id", "text")), "indicators").rows
+    return fit_quality(training_rows(known, labels, column="places"), places_col="places"), known

@@ -68,8 +68,8 @@ def op10_token_ids(spark, sf_dir):
 @query("op7_quality")
 def op7_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    model = quality.fit_quality(quality.training_rows(docs, table(spark, sf_dir, "labels")))
-    scored = quality.score_quality(docs.select("doc_id", "text"), model)
+    model, known = quality.learned(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(known, model, places_col="places")
     return scored.select(
         "doc_id",
         F.coalesce(quality.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
