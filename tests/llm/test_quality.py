@@ -76,3 +76,12 @@ def test_fold(spark):
     got = frame(spark, [(7, "x"), (None, "y")]).select(F.col("doc_id"), quality.fold("doc_id", 5).alias("f")).collect()
     assert {r["doc_id"]: r["f"] for r in got} == {7: zlib.crc32(b"7") % 5, None: None}
     assert prose(1, 2)
+
+
+def test_packed_places_come_back():
+    draw = np.random.default_rng(3)
+    rows = [np.unique(draw.integers(0, quality.PLACES, n)).astype(np.int32) for n in (0, 1, 5, 0, 900, 2)]
+    rows += [np.array(x, dtype=np.int32) for x in ([0], [65534], [65535], [65536], [0, 65535, 131070, 327679], [])]
+    for part in (rows, rows[:1], []):
+        got = [x.tolist() for x in quality.places_of(quality.packed(part))]
+        assert got == [x.tolist() for x in part]

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from tidelog.llm.quality import PLACES, places_of, with_indicators
+from tidelog.llm.quality import place_counts, places_of, with_indicators
 from tidelog.llm.storage import Stored, store
 
 #: steps go on while so many of them halve the squared miss at least
@@ -61,18 +61,9 @@ def fit_domains(rows: DataFrame, domains: Sequence[str], smoothing: float = 0.5)
     known = rows.filter(F.col("domain").isin(list(domains)))
     kept = store(known.select("domain", "places"), "domains")
     found = kept.rows.groupBy("domain").agg(F.count("*").alias("n")).collect()
-    counted = (
-        kept.rows.select("domain", F.explode("places").alias("place"))
-        .groupBy("place")
-        .agg(*[F.count_if(F.col("domain") == name).alias(f"n{k}") for k, name in enumerate(domains)])
-        .toArrow()  # PLACES rows at most
-    )
+    table = place_counts(kept.rows, "domain", list(domains)) + smoothing
     kept.drop()
     number = {name: n for n, name in enumerate(domains)}
-    table = np.full((len(domains), PLACES), smoothing)
-    at = counted["place"].to_numpy()
-    for k in range(len(domains)):
-        table[k, at] += counted[f"n{k}"].to_numpy()
     table = np.log(table) - np.log(table.sum(axis=1, keepdims=True))
     prior = np.full(len(domains), 0.5)
     for row in found:

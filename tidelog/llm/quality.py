@@ -9,7 +9,7 @@ coordinate descent, and a logistic curve turns its margin into a score between 0
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType
+from pyspark.sql.types import BinaryType, LongType
 
 from tidelog.llm.storage import store
 from tidelog.llm.words import Words, mixed, pieces, words_of
@@ -28,6 +28,8 @@ PLACES = SHAPE_PLACES + WORD_PLACES
 #: labelled rows that the linear model is fitted on at most; the counts take all
 MOST_FITTED = 10_000
 
+_MARK = 65535
+
 _KIND = np.arange(256, dtype=np.uint8)
 _KIND[ord("a") : ord("z") + 1] = ord("a")
 _KIND[ord("A") : ord("Z") + 1] = ord("A")
@@ -73,29 +75,74 @@ def indicators(texts: pa.Array) -> Iterator[np.ndarray]:
     return (places for places, _ in counted_indicators(texts))
 
 
+def packed(rows: list[np.ndarray]) -> pa.Array:
+    """Sorted places as 16-bit gaps, which take half the room of the places and less when compressed.
+
+    A gap of 65535 or more is as many marks of that value as fit, and the rest.
+    """
+    sizes = np.array([len(r) for r in rows], dtype=np.int64)
+    flat = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, dtype=np.int64)
+    gaps = np.diff(flat, prepend=0)
+    first = np.concatenate([[0], np.cumsum(sizes)])[:-1][sizes > 0]
+    gaps[first] = flat[first]
+    marks, rest = np.divmod(gaps, _MARK)
+    at = np.cumsum(marks + 1) - 1
+    units = np.full(int(at[-1]) + 1 if len(at) else 0, _MARK, dtype="<u2")
+    units[at] = rest
+    ends = np.concatenate([[0], at + 1])[np.concatenate([[0], np.cumsum(sizes)])] * 2
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(units.tobytes())]
+    return pa.Array.from_buffers(pa.binary(), len(rows), buffers)
+
+
 def places_of(column: pa.Array) -> Iterator[np.ndarray]:
-    """The rows of a column of places."""
-    ends, flat = np.asarray(column.offsets), np.asarray(column.values)
-    return (flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
+    """The rows of a column of packed places."""
+    for row in column:
+        units = np.frombuffer(row.as_buffer(), dtype="<u2")
+        yield np.cumsum(units, dtype=np.int64)[units != _MARK].astype(np.int32)
+
+
+def place_counts(rows: DataFrame, column: str, classes: Sequence) -> np.ndarray:
+    """How many rows of each class (down) have each place (across); each task counts its own first."""
+    k = len(classes)
+    names = ["place", *(f"n{c}" for c in range(k))]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros((k, PLACES), dtype=np.int64)
+        number = {name: c for c, name in enumerate(classes)}
+        for batch in batches:
+            found: list[list] = [[] for _ in classes]
+            for name, places in zip(batch.column(0).to_pylist(), places_of(batch.column(1)), strict=True):
+                found[number[name]].append(places)
+            for c, lists in enumerate(found):
+                if lists:
+                    table[c] += np.bincount(np.concatenate(lists), minlength=PLACES)
+        used = np.flatnonzero(table.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(n) for n in table[:, used])], names=names)
+
+    parts = rows.select(column, "places").mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
+    # PLACES rows at most
+    counted = parts.groupBy("place").agg(*[F.sum(n).alias(n) for n in names[1:]]).toArrow()
+    table = np.zeros((k, PLACES), dtype=np.int64)
+    for c, n in enumerate(names[1:]):
+        table[c, np.asarray(counted["place"])] = np.asarray(counted[n])
+    return table
 
 
 def with_indicators(rows: DataFrame, text_col: str = "text", count: bool = False) -> DataFrame:
-    """The rows with `places` instead of the text, and with `count` also `n_tokens`, the number of words.
+    """The rows with `places` (packed) instead of the text, and with `count` also `n_tokens`, the number of words.
 
     What needs the texts of documents that are known by id only is joined to these rows: they are short, and so
     no text is shuffled. Columns with these names are replaced.
     """
     made = ["places", *(["n_tokens"] if count else [])]
     others = [c for c in rows.columns if c != text_col and c not in made]
-    schema = rows.select(*others).schema.add("places", ArrayType(IntegerType()))
+    schema = rows.select(*others).schema.add("places", BinaryType())
     schema = schema.add("n_tokens", LongType()) if count else schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(counted_indicators(batch.column(len(others))))
-            ends = np.cumsum([0, *(len(p) for p, _ in found)]).astype(np.int32)
-            flat = np.concatenate([p for p, _ in found]) if found else np.zeros(0, dtype=np.int32)
-            columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))]
+            columns = [packed([p for p, _ in found])]
             if count:
                 columns.append(pa.array([n for _, n in found], type=pa.int64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *columns], names=[f.name for f in schema])
@@ -199,12 +246,6 @@ def fit_quality(
         F.col(places_col).alias("places") if places_col else F.col(text_col).alias("text"),
     )
     kept = store(labelled if places_col else with_indicators(labelled), "labelled")
-    counts = (
-        kept.rows.select("label", F.explode("places").alias("place"))
-        .groupBy("place")
-        .agg(F.sum("label").alias("ones"), F.count("*").alias("n"))
-        .toArrow()  # PLACES rows at most
-    )
     classes = {r["label"]: r["n"] for r in kept.rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
         share = float(max(classes)) if classes else 0.5
@@ -212,10 +253,7 @@ def fit_quality(
         p = min(max(share, 1e-6), 1 - 1e-6)
         kept.drop()
         return QualityModel(flat, flat, 0.0, 1.0, float(np.log(p / (1 - p))))
-    ones, zeros = np.full(PLACES, smoothing), np.full(PLACES, smoothing)
-    at, of_ones = counts["place"].to_numpy(), counts["ones"].to_numpy()
-    ones[at] += of_ones
-    zeros[at] += counts["n"].to_numpy() - of_ones
+    zeros, ones = place_counts(kept.rows, "label", [0, 1]) + smoothing
     scale = np.log(ones / ones.sum()) - np.log(zeros / zeros.sum())
     order = [F.xxhash64(F.col("id").cast("string")), F.col("id")]
     chosen = kept.rows.select("id").distinct().orderBy(*order).limit(most_fitted)
@@ -227,9 +265,8 @@ def fit_quality(
     found = sample["id"].to_numpy()
     taken = np.lexsort((found, pd.util.hash_array(found)))[:most_fitted]
     labels = sample["label"].to_numpy()[taken]
-    lists = sample["places"].combine_chunks()
-    flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-    places = [flat[ends[n] : ends[n + 1]] for n in taken]
+    every = list(places_of(sample["places"]))
+    places = [every[n] for n in taken]
     held = np.arange(len(places)) % 5 == 4
     if len(set(labels[~held])) < 2 or len(set(labels[held])) < 2:
         held = np.zeros(len(places), dtype=bool)
