@@ -269,3 +269,25 @@ def test_cosine_top_k(spark, per_block):
         for i in sorted(scores, key=lambda i: (-round(scores[i], 12), i))[:4]:
             want.append((q, i, round(scores[i], 4)))
     assert rows(got) == sorted(want, key=repr)
+
+
+def test_centroids_of_ragged_vectors_and_missing_values(spark):
+    from tidelog.operators.vectors import label_centroids
+
+    data = [("a", [1.0, 2.0]), ("a", [3.0, None, 5.0]), (None, [4.0]), ("b", None), ("c", []), ("a", [5.0, 4.0])]
+    df = spark.createDataFrame(data, "label string, embedding array<float>").repartition(3)
+    got = {r["query_id"]: list(r["vector"]) for r in label_centroids(df).collect()}
+    assert got == {"a": [3.0, 3.0, 5.0], None: [4.0]}
+
+
+def test_the_collection_is_not_shuffled_for_many_queries(spark):
+    """What a job for a block of queries writes to shuffles is at most k rows per query and task."""
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    data = [(n, draw.normal(size=8).tolist()) for n in range(500)]
+    collection = spark.createDataFrame(data, "vec_id bigint, embedding array<double>").repartition(4)
+    asked = collection.limit(90).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    many = cosine_top_k(collection, asked, 3, queries_per_block=20)
+    assert rows(many) == rows(cosine_top_k(collection, asked, 3))
+    assert "embedding" not in many._jdf.queryExecution().executedPlan().toString()

@@ -1,18 +1,29 @@
-"""Exact nearest neighbours by cosine similarity."""
+"""Exact nearest neighbours by cosine similarity.
+
+The collection stays where it lies: a block of query vectors is sent to the tasks, each of which goes over
+its part of the collection in tiles and keeps the best per query. More queries are more blocks, one after the
+other; no vector of the collection is ever shuffled. A query whose best in a tile is below the worst it
+keeps already is passed over, which needs one maximum per query and tile.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidelog.operators.relational import top_n
+from tidelog.session import materialize
 
-# Query vectors sent to every task at once, and collection rows one group holds beyond that.
+# Query vectors sent to every task at once, and similarities worked out at once.
 QUERIES_PER_BLOCK = 2_048
-ROWS_PER_PART = 50_000
+TILE = 1 << 21
 
 
 def _unit(vectors) -> np.ndarray:
@@ -30,10 +41,24 @@ class _Best:
         self.held = [(np.empty(0), None) for _ in queries]
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        for n, scores in enumerate(self.queries @ vectors.T):
+        step = max(64, TILE // max(1, len(self.queries)))
+        for at in range(0, len(ids), step):
+            self._tile(ids[at : at + step], vectors[at : at + step])
+
+    def _tile(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        similar = self.queries @ vectors.T
+        floors = np.array([s[-1] if len(s) == self.k else -np.inf for s, _ in self.held])
+        with np.errstate(invalid="ignore"):
+            # a query or vector without direction is like nothing
+            hopeful = np.flatnonzero((similar >= floors[:, None]).any(axis=1))
+        for n in hopeful:
+            scores = similar[n]
             best, best_ids = self.held[n]
-            floor = best[-1] if len(best) == self.k else -np.inf
-            better = scores >= floor
+            better = np.flatnonzero(scores >= floors[n])
+            if len(better) > 4 * self.k:
+                # the k best and all that equal the last of them
+                kth = np.partition(scores[better], len(better) - self.k)[len(better) - self.k]
+                better = better[scores[better] >= kth]
             scores = np.concatenate([best, scores[better]])
             found = ids[better] if best_ids is None else np.concatenate([best_ids, ids[better]])
             order = np.argsort(found, kind="stable")
@@ -62,10 +87,9 @@ def cosine_top_k(
 ) -> DataFrame:
     """The `k` nearest rows of `collection` for each row of `queries`.
 
-    `queries` has (query_id, vector); ids of the collection are numbers or text. Up to
-    `queries_per_block` queries are sent to all tasks, and the collection is read once
-    without a shuffle. More queries are met block by block with parts of the
-    collection. Either way a task hands on no more than `k` rows per query.
+    `queries` has (query_id, vector); ids of the collection are numbers or text. About
+    `queries_per_block` queries are sent to all tasks at once, and for each such block the collection is
+    read once, without a shuffle. A task hands on no more than `k` rows per query.
     """
     rows = collection.select(F.col(id_column).alias("_id"), F.col(vector).alias("_vector"))
     wanted = queries.select("query_id", F.col("vector").alias("_query"))
@@ -80,14 +104,19 @@ def cosine_top_k(
     )
     first = wanted.limit(queries_per_block + 1).collect()
     if len(first) <= queries_per_block:
-        near = _near_few(rows, first, k, schema)
+        near = _near(rows, first, k, schema)
     else:
-        near = _near_blocks(rows, wanted, k, schema, queries_per_block)
+        # stored, so that every job finds the same queries in a block
+        wanted = materialize(wanted, "queries")
+        blocks = -(-wanted.count() // queries_per_block)
+        block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+        parts = [_near(rows, wanted.filter(block == n).collect(), k, schema) for n in range(blocks)]
+        near = reduce(DataFrame.unionByName, [materialize(part, "near") for part in parts])
     order = [F.col("similarity").desc(), F.col("neighbour_id")]
     return top_n(near, ["query_id"], order, k)
 
 
-def _near_few(rows: DataFrame, queries: list, k: int, schema: T.StructType) -> DataFrame:
+def _near(rows: DataFrame, queries: list, k: int, schema: T.StructType) -> DataFrame:
     if not queries:
         return rows.sparkSession.createDataFrame([], schema)
     ids = [q["query_id"] for q in queries]
@@ -103,43 +132,46 @@ def _near_few(rows: DataFrame, queries: list, k: int, schema: T.StructType) -> D
     return rows.mapInPandas(search, schema)
 
 
-def _near_blocks(
-    rows: DataFrame, queries: DataFrame, k: int, schema: T.StructType, per_block: int
-) -> DataFrame:
-    blocks = -(-queries.count() // per_block)
-    parts = max(1, -(-rows.count() // ROWS_PER_PART))
-    # every (block, part) is met once: queries are copied per part, rows per block
-    left = queries.withColumns(
-        {
-            "_block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)),
-            "_part": F.explode(F.expr(f"sequence(0L, {parts - 1}L)")),
-        }
-    )
-    right = rows.withColumns(
-        {
-            "_part": F.pmod(F.xxhash64("_id"), F.lit(parts)),
-            "_block": F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")),
-        }
-    )
-
-    def search(wanted: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        if wanted.empty or part.empty:
-            return pd.DataFrame(columns=schema.names)
-        best = _Best(_unit(wanted["_query"]), k)
-        best.add(part["_id"].to_numpy(), _unit(part["_vector"]))
-        return best.rows(wanted["query_id"])
+def label_centroids(collection: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
+    """Mean vector of each label as (query_id, vector): ready to be used as queries.
 
-    by = ["_block", "_part"]
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, schema)
+    Each task adds up its vectors per label, so what meets is one sum per label and task. NULLs do not
+    count, place by place.
+    """
+    rows = collection.filter(F.col(vector).isNotNull()).select(
+        F.col(label).alias("query_id"), F.col(vector).cast("array<double>").alias("vector")
+    )
+    schema = T.StructType([rows.schema["query_id"], *T._parse_datatype_string("place int, total double, n bigint").fields])
 
+    kind = to_arrow_type(schema["query_id"].dataType)
 
-def label_centroids(collection: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
-    """Mean vector of each label as (query_id, vector): ready to be used as queries."""
-    positions = collection.select(label, F.posexplode(vector).alias("_position", "_value"))
-    means = positions.groupBy(label, "_position").agg(F.avg(F.col("_value").cast("double")).alias("_mean"))
+    def add_up(batches):
+        sums: dict = {}
+        for batch in batches:
+            labels, flat = batch.column(0).to_pylist(), batch.column(1).flatten()
+            offsets = np.asarray(batch.column(1).offsets)
+            sizes = np.diff(offsets)
+            values = np.asarray(flat.fill_null(0.0), dtype=float)
+            there = np.asarray(flat.is_valid().to_numpy(zero_copy_only=False), dtype=np.int64)
+            place = np.arange(len(values)) - np.repeat(offsets[:-1] - offsets[0], sizes)
+            codes: dict = {}
+            owner = np.repeat([codes.setdefault(x, len(codes)) for x in labels], sizes).astype(np.int64)
+            width = int(sizes.max(initial=0))
+            totals = np.bincount(owner * width + place, values, len(codes) * width).reshape(-1, width)
+            counts = np.bincount(owner * width + place, there, len(codes) * width).reshape(-1, width)
+            for x, c in codes.items():
+                held = sums.setdefault(x, (np.zeros(0), np.zeros(0)))
+                size = max(len(held[0]), width)
+                sums[x] = tuple(np.pad(h, (0, size - len(h))) + np.pad(new[c], (0, size - width)) for h, new in zip(held, (totals, counts), strict=True))
+        for x, (total, n) in sums.items():
+            used = np.flatnonzero(n)
+            columns = [pa.array([x] * len(used), type=kind), pa.array(used.astype(np.int32)), pa.array(total[used]), pa.array(n[used].astype(np.int64))]
+            names = ["query_id", "place", "total", "n"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    partial = rows.mapInArrow(add_up, schema).groupBy("query_id", "place")
+    means = partial.agg((F.sum("total") / F.sum("n")).alias("mean"))
     # one entry per dimension
-    return means.groupBy(F.col(label).alias("query_id")).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("_position", "_mean"))), lambda entry: entry["_mean"]
-        ).alias("vector")
+    return means.groupBy("query_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "mean"))), lambda entry: entry["mean"]).alias("vector")
     )

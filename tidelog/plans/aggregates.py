@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import operator
+
 from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import WHITESPACE
-from tidelog.operators import ordered
+from tidelog.operators import folds, ordered
 from tidelog.operators import relational as r
 from tidelog.plans.registry import EDGE_SQL, edge_logs, query, table, without_zone
 
@@ -126,6 +128,50 @@ def running_reduce(spark, sf):
     return out.select("event_id", "event_type", "low", "high", "n")
 
 
+def _xor_sql(key: str) -> str:
+    """DuckDB has the user's function as an aggregate."""
+    return (
+        f"SELECT event_id, {key}, bit_xor(event_id * 40503 % 65536) OVER (PARTITION BY {key} ORDER BY ts, event_id) AS total "
+        "FROM events"
+    )
+
+
+def _xor(spark, sf, key, most):
+    events = table(spark, sf, "events").select("event_id", "ts", key, (F.col("event_id") * 40503 % 65536).alias("mark"))
+    out = folds.rolling_reduce(events, [key], ["ts", "event_id"], "mark", operator.xor, max_rows_per_task=most)
+    return out.select("event_id", key, "total")
+
+
+@query("a10_rolling_user_function", _xor_sql("user_id"))
+def rolling_user_function(spark, sf):
+    """Each row with a user's reduction of its key's rows so far."""
+    return _xor(spark, sf, "user_id", ordered.HOT_KEY_ROWS)
+
+
+@query("a10_rolling_user_function_hot_keys", _xor_sql("event_type"))
+def rolling_user_function_hot(spark, sf):
+    return _xor(spark, sf, "event_type", few_rows(spark, sf))
+
+
+@query(
+    "a10_rolling_fold",
+    """
+    WITH numbered AS (
+      SELECT *, CASE row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) % 2 WHEN 0 THEN 1 ELSE -1 END AS sign FROM events)
+    SELECT event_id, user_id,
+      CAST(sign * sum(sign * (event_id % 1000)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS total
+    FROM numbered
+    """,
+)
+def rolling_fold(spark, sf):
+    """A function that is not associative: the new value less what was before."""
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", (F.col("event_id") % 1000).alias("mark"))
+    out = folds.rolling_reduce(
+        events, ["user_id"], ["ts", "event_id"], "mark", lambda a, b: b - a, associative=False
+    )
+    return out.select("event_id", "user_id", "total")
+
+
 @query(
     "a11_word_count",
     f"SELECT word, count(*) AS count FROM (SELECT unnest(regexp_split_to_array(text, '{WHITESPACE}')) AS word "

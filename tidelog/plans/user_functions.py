@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidelog.functions import udfs
+from tidelog.operators import folds
 from tidelog.operators import relational as r
 from tidelog.plans.aggregates import _TOP2_SQL
 from tidelog.plans.registry import EPOCH, query, table
@@ -166,3 +169,34 @@ def window_function(spark, sf):
         "event_type", F.window("ts", "1 day")["start"].alias("window_start"), "value"
     )
     return r.user_aggregate(events, ["event_type", "window_start"], ["value"], SPREAD)
+
+
+def longest_rise(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The elements of a window and the most of them that rise one after the other."""
+    last, n, run, longest = None, 0, 0, 0
+    for batch in batches:
+        for value in batch.column("value").to_pylist():
+            run = run + 1 if last is not None and value > last else 1
+            longest, last, n = max(longest, run), value, n + 1
+    columns = [pa.array([key[0]], pa.string()), pa.array([n]), pa.array([longest])]
+    yield pa.RecordBatch.from_arrays(columns, names=["event_type", "n", "longest"])
+
+
+@query(
+    "u7_window_elements_in_order",
+    f"""
+    WITH marked AS (
+      SELECT event_type, time_bucket(INTERVAL 60 DAY, ts, {EPOCH}) AS start, ts, event_id,
+        CASE WHEN value > lag(value) OVER w THEN 0 ELSE 1 END AS fresh FROM events
+      WINDOW w AS (PARTITION BY event_type, time_bucket(INTERVAL 60 DAY, ts, {EPOCH}) ORDER BY ts, event_id)),
+    runs AS (SELECT *, sum(fresh) OVER (PARTITION BY event_type, start ORDER BY ts, event_id) AS run FROM marked),
+    sizes AS (SELECT event_type, start, run, count(*) AS size FROM runs GROUP BY ALL)
+    SELECT event_type, CAST(sum(size) AS BIGINT) AS n, max(size) AS longest FROM sizes GROUP BY event_type, start
+    """,
+)
+def window_elements(spark, sf):
+    """A function of the order of a window's elements, where a window holds a fifth of all rows."""
+    events = table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    return folds.apply_to_windows(
+        events, ["event_type"], "ts", "60 days", ["ts", "event_id"], longest_rise, "event_type string, n bigint, longest bigint"
+    )

@@ -1,22 +1,28 @@
-"""Text, CSV and JSON files with declared schemas."""
+"""Text, CSV and JSON files with declared schemas.
+
+A stream reads all that is there as one micro-batch, or up to a number of files or bytes at a time.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _reader(spark: SparkSession, stream: bool, files_per_batch: int | None):
+def _reader(spark: SparkSession, stream: bool, files_per_batch: int | None, bytes_per_batch: int | None = None):
     if not stream:
         return spark.read
     reader = spark.readStream
+    if bytes_per_batch:
+        # as many files as fit; one that is larger comes alone
+        return reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
 
 
 def text_lines(
-    spark: SparkSession, path: str, stream: bool = False, files_per_batch: int | None = None
+    spark: SparkSession, path: str, stream: bool = False, files_per_batch: int | None = None, bytes_per_batch: int | None = None
 ) -> DataFrame:
     """One row per line, column `value`."""
-    return _reader(spark, stream, files_per_batch).option("lineSep", "\n").text(path)
+    return _reader(spark, stream, files_per_batch, bytes_per_batch).option("lineSep", "\n").text(path)
 
 
 def csv_rows(
@@ -25,24 +31,24 @@ def csv_rows(
     schema: str,
     stream: bool = False,
     header: bool = False,
-    files_per_batch: int | None = None,
+    files_per_batch: int | None = None, bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    return _reader(spark, stream, files_per_batch).schema(schema).option("header", header).csv(path)
+    return _reader(spark, stream, files_per_batch, bytes_per_batch).schema(schema).option("header", header).csv(path)
 
 
 def json_rows(
-    spark: SparkSession, path: str, schema: str, stream: bool = False, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: str, stream: bool = False, files_per_batch: int | None = None, bytes_per_batch: int | None = None
 ) -> DataFrame:
     """One row per JSON line; keys that the schema does not name are ignored."""
-    return _reader(spark, stream, files_per_batch).schema(schema).json(path)
+    return _reader(spark, stream, files_per_batch, bytes_per_batch).schema(schema).json(path)
 
 
 def parquet_rows(
-    spark: SparkSession, path: str, stream: bool = False, files_per_batch: int | None = None
+    spark: SparkSession, path: str, stream: bool = False, files_per_batch: int | None = None, bytes_per_batch: int | None = None
 ) -> DataFrame:
     if not stream:
         return spark.read.parquet(path)
-    reader = _reader(spark, True, files_per_batch).schema(spark.read.parquet(path).schema)
+    reader = _reader(spark, True, files_per_batch, bytes_per_batch).schema(spark.read.parquet(path).schema)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if files.getFileStatus(hadoop_path).isDirectory():
