@@ -45,12 +45,14 @@ def _same(keys: Sequence[str], prefix: str) -> Column:
 
 
 def _apart(
-    df: DataFrame, keys: Sequence[str], max_rows_per_task: int
+    df: DataFrame, keys: Sequence[str], max_rows_per_task: int | None
 ) -> tuple[DataFrame, DataFrame | None, int]:
     """(the rows of all other keys, the rows of large keys if there are any, how many those are).
 
-    At most one key in `max_rows_per_task` rows is large, so the driver may hold them.
+    None for the bound says that no key is large, which saves the look. At most one key in `max_rows_per_task` rows is large, so the driver may hold them.
     """
+    if max_rows_per_task is None:
+        return df, None, 0
     if df.select(F.lit(1)).limit(max_rows_per_task + 1).count() <= max_rows_per_task:
         return df, None, 0
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > max_rows_per_task).collect()
@@ -99,11 +101,12 @@ def running(
     order: Sequence[str],
     aggregates: Aggregates,
     previous: bool = False,
-    max_rows_per_task: int = HOT_KEY_ROWS,
+    max_rows_per_task: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Each row with the aggregates of its key's rows up to and including it.
 
-    `aggregates` maps a name to (sum | count | min | max, column). With `previous`
+    `aggregates` maps a name to (sum | count | min | max, column). `max_rows_per_task` None means that the
+    caller knows of no large key: the input is then read once. With `previous`
     there is also `previous_<name>`, the value before the row. `order` must be
     total inside a key.
     """
@@ -164,7 +167,7 @@ def over_preceding(
     order: Sequence[str],
     preceding: int,
     aggregates: dict[str, Column],
-    max_rows_per_task: int = HOT_KEY_ROWS,
+    max_rows_per_task: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Each row with aggregates over itself and the `preceding` rows before it in its key."""
     rest, large, n = _apart(df, keys, max_rows_per_task)
@@ -221,7 +224,7 @@ def count_windows(
     order: Sequence[str],
     size: int,
     aggregates: dict[str, Column],
-    max_rows_per_task: int = HOT_KEY_ROWS,
+    max_rows_per_task: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Aggregates over every `size` rows of a key, in order; an unfinished last window gives nothing."""
     numbered = running(df, keys, order, {"_nth": ("count", F.lit(1))}, max_rows_per_task=max_rows_per_task)
@@ -240,7 +243,7 @@ def sessions(
     ts: str,
     gap: Column | str,
     aggregates: Aggregates,
-    max_rows_per_task: int = HOT_KEY_ROWS,
+    max_rows_per_task: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Session windows per key: (keys, window_start, window_end, aggregates).
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators.ordered import HOT_KEY_ROWS, running, sessions
+from tidelog.session import materialize
 
 
 #: event time of the row that ends a bounded stream; rows of the input must lie before it
@@ -142,7 +143,8 @@ def session_status_counts(
     Every row takes the latest session start of its key that is not after it, as a
     running maximum over starts and rows together; no row meets another row.
     """
-    found = sessions(df, [key], ts, gap, {"window_count": ("count", F.lit(1))}, max_rows_per_task)
+    # kept, as its starts and its ends are both needed
+    found = materialize(sessions(df, [key], ts, gap, {"window_count": ("count", F.lit(1))}, max_rows_per_task), "sessions")
     starts = found.select(
         key,
         F.col("window_start").alias("_ts"),

@@ -9,6 +9,9 @@ from tidelog.operators import columns as c
 from tidelog.operators import relational as r
 from tidelog.operators.validate import check_records, reject_counts, split_records
 from tidelog.plans.registry import EDGE_SQL, edge_logs, edge_message, query, table, without_zone
+from tidelog.session import work_dir
+from tidelog.sources.files import parquet_rows
+from tidelog.streaming import jobs
 
 
 @query("p1_select_rename", "SELECT o_orderkey AS order_id, o_totalprice * 2 AS doubled FROM orders")
@@ -168,6 +171,25 @@ def rejects(spark, sf):
     return reject_counts(_mixed_messages(spark, sf))
 
 
+@query(
+    "p13_stream_reject_counts",
+    f"""
+    WITH found AS (SELECT coalesce({_REASON_SQL}, 'ok') AS reason FROM events)
+    SELECT reason, count(*) AS records, count_if(reason = 'ok') AS written FROM found GROUP BY 1
+    """,
+)
+def stream_rejects(spark, sf):
+    """A stream that keeps the good records and the number of those that each reason stopped."""
+    arrivals, good, counts = (work_dir(spark, name) for name in ("arrivals", "good", "counts"))
+    _mixed_messages(spark, sf).write.option("maxRecordsPerFile", 1_000).parquet(arrivals)
+    records = parquet_rows(spark, arrivals, stream=True, bytes_per_batch=64_000)
+    jobs.validated(records, good, counts, f"{good}-checkpoint").awaitTermination()
+    totals = spark.read.schema("reason string, records bigint").parquet(counts)
+    totals = totals.groupBy("reason").agg(F.sum("records").alias("records"))
+    written = spark.read.schema("event_id bigint").parquet(good).agg(F.count("*").alias("n")).first()["n"]
+    return totals.withColumn("written", F.when(F.col("reason") == "ok", written).otherwise(0).cast("bigint"))
+
+
 @query(
     "p14_flatten_field",
     f"WITH {EDGE_SQL} SELECT event_id, url AS ClientRequestURI, org AS x_org_uid FROM edge",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidelog.operators.ordered import HOT_KEY_ROWS, Aggregates, running
+from tidelog.operators.validate import EDGE_LOG_RULES, REASON, FieldRule, check_records
 from tidelog.operators.windows import END_OF_INPUT
 from tidelog.session import configure
 from tidelog.sinks.derived import DerivedTable
@@ -219,6 +220,30 @@ def fan_out(
     return to_batches(df, write, checkpoint, "append", every, name)
 
 
+def validated(
+    records: DataFrame,
+    path: str,
+    counts: str,
+    checkpoint: str,
+    column: str = "value",
+    rules: tuple[FieldRule, ...] = EDGE_LOG_RULES,
+    every: str | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Append the records that keep the rules to `path`, and for each micro-batch how many each reason stopped.
+
+    `counts` gets (reason, records, batch), good records under `ok`, so rejected ones are never dropped unseen. A
+    repeated micro-batch replaces its numbers.
+    """
+    branches = {
+        path: lambda batch: batch.filter(F.col(REASON).isNull()).drop(REASON),
+        counts: lambda batch: batch.groupBy(F.coalesce(REASON, F.lit("ok")).alias("reason")).agg(
+            F.count("*").alias("records")
+        ),
+    }
+    return fan_out(check_records(records, column, rules), branches, checkpoint, every, name)
+
+
 def running_batches(
     df: DataFrame,
     keys: Sequence[str],
