@@ -1,9 +1,11 @@
 """Groups of documents with equal texts, by naming blocks.
 
-A text is cut into blocks of a fixed size. All blocks are sorted and each distinct one gets an integer
-name; then each pair of adjacent names gets a name of its own, and so on, until a text has one name.
-Names are ranks and not hashes, so two texts of the same number of rounds share a name only if they
-are equal. The work of a round is half that of the round before.
+A text is cut into blocks of a fixed size. Blocks are dealt to partitions, equal ones to the same, and
+sorted there; each distinct one gets an integer name, its partition's number and its rank in it. Then each
+pair of adjacent names gets a name of its own likewise, and so on, until a text has one name.
+A hash only chooses the partition and names are ranks, so two texts of the same number of rounds share a
+name only if they are equal. The work of a round is half that of the round before. Names need no order
+between partitions, so no block is sampled for the driver.
 
 A block that very many documents hold is first named inside each batch of rows, so the sort gets it
 once for each batch; the joins that bring the names back have files on both sides, which lets
@@ -101,7 +103,7 @@ def rank_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _named_pairs(names: DataFrame, partitions: int) -> Stored:
+def _named_pairs(names: DataFrame) -> Stored:
     """One round: (row, names) with several names each -> (row, names) with half as many.
 
     The pairs are aggregated, sorted and numbered; 0 stands for no partner.
@@ -120,8 +122,7 @@ def _named_pairs(names: DataFrame, partitions: int) -> Stored:
         ).alias("place", "pair"),
     )
     flat = store(pairs.select("row", "place", "pair.left", "pair.right"), "pairs")
-    distinct = flat.rows.select("left", "right").distinct()
-    ranked = distinct.repartitionByRange(partitions, "left", "right").sortWithinPartitions("left", "right")
+    ranked = flat.rows.select("left", "right").distinct().sortWithinPartitions("left", "right")
     ranks = store(ranked.select("*", (F.monotonically_increasing_id() + 1).alias("name")), "names")
     joined = flat.rows.join(ranks.rows, ["left", "right"]).select("row", "place", "name")
     out = store(_in_order(joined), "named")
@@ -148,7 +149,7 @@ def name_texts(
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     cut = store(rows.mapInArrow(cut_blocks(block_bytes), _CUT), "blocks")
     blocks = cut.rows.filter("local is not null")
-    order = blocks.select("local", "block").repartitionByRange(partitions, "block")
+    order = blocks.select("local", "block").repartition(partitions, "block")
     ranks = store(
         order.sortWithinPartitions("block").mapInArrow(rank_sorted, "local bigint, name bigint"), "block-names"
     )
@@ -166,7 +167,7 @@ def name_texts(
         longer = current.rows.filter(~one)
         if longer.isEmpty():
             break
-        current = _named_pairs(longer, partitions)
+        current = _named_pairs(longer)
         rounds += 1
     names = finished[0]
     for more in finished[1:]:
