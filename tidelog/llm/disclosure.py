@@ -1,13 +1,17 @@
 """Personal data, and terms that give it away.
 
 Mail addresses, IP addresses, card and phone numbers are found by their form. The words around such an
-entity are its context. Over the contexts of the whole corpus (copies of a document count once) it is
-estimated how much of an entity's information a term reveals: their pointwise mutual information as a
-share of the entity's information content, log2(N n_et / (n_e n_t)) / log2(N / n_e), where N is the
-number of documents with contexts, n_e those with the entity, n_t those with the term in a context, n_et
-those with it in the entity's. A term must be in `LEAST_CONTEXTS` of the entity's contexts; equal ones count
-once for each document. In documents that
-hold the entity, terms over a threshold are replaced by a general word, terms over a higher one removed.
+entity are its context. Over the whole corpus it is estimated how much of an entity's information a
+term reveals: their pointwise mutual information as a share of the entity's information content,
+log2(N n_et / (n_e n_t)) / log2(N / n_e), where N is the number of documents, n_e those with the entity,
+n_t those with the term anywhere, n_et those with it in a context of the entity. A share says little of
+a term that many documents hold once N is large, so a term must also lead to the entity: n_et / (n_t + 1),
+a cautious estimate of the entity's probability given the term, must reach `LEAST_POSTERIOR`.
+
+Terms over a threshold are replaced by a general word, terms over a higher one removed: all of a document's
+words that are such a term in a context of the document itself, or in the contexts of one of its entities
+in at least one of `COMMON` documents with the entity. (The second kind are at most 16 x `COMMON` terms for
+an entity with one place a document, so the work stays linear even if a third of all rows hold the entity.)
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import islice
 from typing import NamedTuple
@@ -29,7 +34,8 @@ from tidelog.llm.storage import store
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("generalised", "removed")
 CONTEXT_WORDS = 8
-LEAST_CONTEXTS = 3
+LEAST_POSTERIOR = 0.2
+COMMON = 20
 GENERALISE_AT = 0.5
 REMOVE_AT = 0.9
 
@@ -138,19 +144,56 @@ def context(text: str, span: Span, covered: list[tuple[int, int]], words: int =
 
 _FOUND = (
     "row bigint, doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, "
-    "text string, entities array<struct<entity string, document string, context string, terms array<string>>>"
+    "text string, entities array<struct<entity string, terms array<string>>>, term string, n bigint"
 )
-_ENTITIES = pa.list_(pa.struct([("entity", pa.string()), ("document", pa.string()), ("context", pa.string()), ("terms", pa.list_(pa.string()))]))
+_ENTITIES = pa.list_(pa.struct([("entity", pa.string()), ("terms", pa.list_(pa.string()))]))
 _ARROW = pa.schema(
     [("row", pa.int64()), ("doc_id", pa.int64())]
     + [(f"n_{k}", pa.int64()) for k in KINDS]
-    + [("base", pa.string()), ("text", pa.string()), ("entities", _ENTITIES)]
+    + [("base", pa.string()), ("text", pa.string()), ("entities", _ENTITIES), ("term", pa.string()), ("n", pa.int64())]
 )
+_MOST_KNOWN = 100_000
+
+
+class Frequencies:
+    """In how many documents each term is, handed on before too many words are held."""
+
+    def __init__(self, most: int = _MOST_KNOWN):
+        self.most = most
+        self.counts: Counter[str] = Counter()
+        self.known: dict[bytes, str] = {}
+
+    def add(self, text: str) -> None:
+        known = self.known
+        words = set(text.encode().split())  # bytes are parted at the same marks as words
+        for word in words.difference(known):
+            known[word] = term(word.decode())
+        self.counts.update({known[w] for w in words})
+
+    def full(self) -> bool:
+        return len(self.known) >= self.most
+
+    def hand_on(self) -> pa.RecordBatch:
+        self.counts.pop("", None)
+        found = [{"term": t, "n": n} for t, n in self.counts.items()]
+        self.counts, self.known = Counter(), {}
+        return pa.RecordBatch.from_pylist(found, schema=_ARROW)
+
+
+def terms_of_entities(text: str, spans: list[Span], words: int = CONTEXT_WORDS) -> dict[str, set[str]]:
+    """The terms in the contexts of each entity of a text."""
+    covered, out = merged(spans), {}
+    for s in spans:
+        out.setdefault(entity(text, s), set()).update(context(text, s, covered, words))
+    return out
 
 
 def _find(words: int):
+    """A row for each document, and rows that say how many documents of the task have a term."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
+        frequencies = Frequencies()
         for batch in batches:
             for low in range(0, batch.num_rows, 1000):
                 out = []
@@ -162,20 +205,15 @@ def _find(words: int):
                     number += 1
                     if spans:
                         row["text"] = text
-                        covered = merged(spans)
-                        digest = hashlib.md5(text.encode()).hexdigest()
                         row["entities"] = [
-                            {
-                                "entity": entity(text, s),
-                                "document": digest,
-                                "context": hashlib.md5(" ".join(terms).encode()).hexdigest(),
-                                "terms": sorted(set(terms)),
-                            }
-                            for s in spans
-                            for terms in [context(text, s, covered, words)]
+                            {"entity": e, "terms": sorted(terms)} for e, terms in terms_of_entities(text, spans, words).items()
                         ]
                     out.append(row)
+                    frequencies.add(text)
+                    if frequencies.full():
+                        yield frequencies.hand_on()
                 yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+        yield frequencies.hand_on()
 
     return run
 
@@ -257,27 +295,28 @@ def _finish(remove_at: float):
 
 
 def revealing_terms(
-    contexts: DataFrame, least_contexts: int = LEAST_CONTEXTS, least_disclosure: float = GENERALISE_AT
+    contexts: DataFrame,
+    frequencies: DataFrame,
+    total: int,
+    least_posterior: float = LEAST_POSTERIOR,
+    least_disclosure: float = GENERALISE_AT,
 ) -> DataFrame:
-    """(entity, term, disclosure) from (entity, document, context, terms).
+    """(entity, term, disclosure, common) from (row, entity, terms), (term, n_t) and the number of documents.
 
-    Rows with an equal entity, document and context count once. An entity that is in every document has
-    nothing to reveal.
+    `contexts` has one row for each document and entity. An entity that is in every document has nothing to
+    reveal. `common` says whether the term is in enough of the entity's contexts to hold for all documents
+    with the entity.
     """
-    once = contexts.groupBy("entity", "document", "context").agg(F.first("terms").alias("terms"))
-    total = F.lit(once.select("document").distinct().count())
-    entities = once.select("entity", "document").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    spread = once.select("entity", "document", F.explode("terms").alias("term"))
-    pairs = spread.groupBy("entity", "document", "term").agg(F.count("*").alias("contexts"))
-    terms = pairs.select("document", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.sum("contexts").alias("contexts"))
-    both = both.filter(F.col("contexts") >= least_contexts)
-    share = F.log2(total * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log2(total / F.col("n_e"))
+    entities = contexts.groupBy("entity").agg(F.count("*").alias("n_e"))
+    pairs = contexts.select("entity", F.explode("terms").alias("term"))
+    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"))
+    n_t = F.greatest("n_t", "n_et")
+    known = both.join(frequencies, "term").withColumn("n_t", n_t).filter(F.col("n_et") / (F.col("n_t") + 1) >= least_posterior)
+    share = F.log2(F.lit(total) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log2(F.lit(total) / F.col("n_e"))
     return (
-        both.join(entities, "entity")
-        .join(terms, "term")
-        .filter(total > F.col("n_e"))
-        .select("entity", "term", share.alias("disclosure"))
+        known.join(entities, "entity")
+        .filter(F.col("n_e") < total)
+        .select("entity", "term", share.alias("disclosure"), (F.col("n_et") * COMMON >= F.col("n_e")).alias("common"))
         .filter(F.col("disclosure") >= least_disclosure)
     )
 
@@ -287,21 +326,27 @@ def find_personal_data(
     id_col: str = "doc_id",
     text_col: str = "text",
     context_words: int = CONTEXT_WORDS,
-    least_contexts: int = LEAST_CONTEXTS,
+    least_posterior: float = LEAST_POSTERIOR,
     generalise_at: float = GENERALISE_AT,
     remove_at: float = REMOVE_AT,
 ) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, sanitised), one row for each row of `docs`.
 
-    A null text is an empty one. `sanitised` is null where there is nothing to change. Repeated rows
-    get the same result, and their contexts count once. Other columns are not read.
+    A null text is an empty one. `sanitised` is null where there is no personal data. Repeated rows get
+    the same result, and each counts as a document. An empty table gives an empty result. Other columns
+    are not read, whatever their names.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    found = store(rows.mapInArrow(_find(context_words), _FOUND), "personal").rows
-    spread = found.filter("entities is not null").select("row", F.explode("entities").alias("e")).select("row", "e.*")
-    contexts = spread.select("entity", "document", "context", "terms")
-    revealing = store(revealing_terms(contexts, least_contexts, generalise_at), "revealing").rows
-    held = spread.select("row", "entity").distinct().join(revealing, "entity")
-    strongest = held.groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
+    whole = store(rows.mapInArrow(_find(context_words), _FOUND), "personal").rows
+    found = whole.filter("row is not null").drop("term", "n")
+    contexts = found.filter("entities is not null").select("row", F.explode("entities").alias("e")).select("row", "e.*")
+    frequencies = whole.filter("term is not null").groupBy("term").agg(F.sum("n").alias("n_t"))
+    revealing = revealing_terms(contexts, frequencies, found.count(), least_posterior, generalise_at)
+    revealing = store(revealing, "revealing").rows
+    own = contexts.select("row", "entity", F.explode("terms").alias("term"))
+    own = own.join(revealing.drop("common"), ["entity", "term"]).select("row", "term", "disclosure")
+    common = revealing.filter("common").select("entity", "term", "disclosure")
+    shared = contexts.select("row", "entity").join(common, "entity").select("row", "term", "disclosure")
+    strongest = own.unionByName(shared).groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
     of_row = strongest.groupBy("row").agg(F.collect_list(F.struct("term", "disclosure")).alias("revealing"))
     return found.drop("entities").join(of_row, "row", "left").mapInArrow(_finish(remove_at), _OUT)
