@@ -79,3 +79,62 @@ def test_components(spark, links):
         assert got == {2: 1}
     else:
         assert got == {**{n: 0 for n in range(1, 21)}, 31: 30, 33: 30, 40: 30}
+
+
+def around_a_template(count, words=120, run=6):
+    """Texts that share most words with one template: most pairs have a similarity of about 0.4, none is linked."""
+    base = prose(4000, words).split()
+    pick = random.Random(11)
+    out = []
+    for m in range(count):
+        text = list(base)
+        first = pick.randrange(words)
+        for at in range(run):
+            text[(first + at) % words] = f"own{m}x{at}"
+            text[(first + words // 2 + at) % words] = f"own{m}y{at}"
+        for at in pick.sample(range(words), 2):
+            text[at] = f"own{m}z{at}"
+        out.append(" ".join(text))
+    return out
+
+
+def test_weak_resemblance_does_not_compare_all_pairs():
+    """20,000 texts around one template: pairs that meet in a bucket, each as often as they do."""
+    count = 20_000
+    sets = list(minhash.shingle_sets(pa.array(around_a_template(count))))
+    draw = np.random.default_rng(1).integers(0, count, (3000, 2))
+    like = [len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for a, b in draw if a != b]
+    assert 0.35 < np.mean(like) < 0.5
+    keys = np.concatenate([minhash.band_keys(minhash.sketches(sets[n : n + 1000])) for n in range(0, count, 1000)])
+    _, sizes = np.unique(keys.ravel(), return_counts=True)
+    met, pairs = (sizes * (sizes - 1) // 2).sum(), count * (count - 1) / 2
+    expected = minhash.BANDS * np.mean(np.array(like) ** minhash.ROWS)
+    assert met / pairs < 0.4 and met / pairs < 1.5 * expected
+
+
+def test_texts_around_a_template(spark):
+    rows = list(enumerate(around_a_template(150)))
+    check(rows, minhash.near_groups(frame(spark, rows)).collect())
+
+
+@pytest.mark.parametrize("block", [2, 1024])
+def test_large_buckets_are_cut_into_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    texts = [t for n in range(3) for t in family(50 + n, 14, changed=5)]
+    rows = list(enumerate(texts))
+    check(rows, minhash.near_groups(frame(spark, rows)).collect())
+
+
+def test_links_between_sets_of_all_sizes():
+    draw = np.random.default_rng(8)
+    sets = [np.unique(draw.integers(0, 60, draw.integers(1, 50)).astype(np.uint64)) for _ in range(80)]
+    some, others = sets[:30], sets[30:]
+    of_some, of_others = np.arange(30), np.arange(100, 150)
+    for percent in (30, 60, 75, 100):
+        want = {
+            (n, m)
+            for n, x in enumerate(some)
+            for m, y in enumerate(others)
+            if 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y))
+        }
+        assert set(minhash.links_between(some, of_some, others, of_others, percent)) == want
