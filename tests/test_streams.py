@@ -571,3 +571,22 @@ def test_a_replayed_batch_of_changes_adds_nothing(spark, tmp_path):
     assert rows(table.read()) == []
     table.compact()
     assert rows(table.read()) == []
+
+
+def test_micro_batches_follow_the_size_of_a_folder(spark, tmp_path):
+    """A folder a hundred times as large takes as many micro-batches, none above the bound."""
+    from tidelog.sources import files
+    from tidelog.streaming import jobs
+
+    numbers = {}
+    for n in (10_000, 1_000_000):
+        rows, path = spark.range(0, n, 1, 2), f"{tmp_path}/{n}"
+        rows.write.option("maxRecordsPerFile", files.rows_per_file(rows, 100, batches=4)).option("compression", "none").parquet(path)
+        bound = files.batch_bytes(spark, path, 1_000, batches=4)
+        stream = files.parquet_rows(spark, path, stream=True, bytes_per_batch=bound)
+        jobs.fan_out(stream, {f"{path}-out": lambda batch: batch}, f"{path}-checkpoint").awaitTermination()
+        sizes = [r["count"] for r in spark.read.parquet(f"{path}-out").groupBy("batch").count().collect()]
+        assert sum(sizes) == n and max(sizes) * 8 <= bound
+        numbers[n] = len(sizes)
+    assert max(numbers.values()) <= 8 and numbers[10_000] >= 4
+    assert files.batch_bytes(spark, path, 1_000, most=5_000) == 5_000

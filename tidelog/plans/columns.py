@@ -10,7 +10,7 @@ from tidelog.operators import relational as r
 from tidelog.operators.validate import check_records, reject_counts, split_records
 from tidelog.plans.registry import EDGE_SQL, edge_logs, edge_message, query, table, without_zone
 from tidelog.session import work_dir
-from tidelog.sources.files import parquet_rows
+from tidelog.sources.files import batch_bytes, parquet_rows, rows_per_file
 from tidelog.streaming import jobs
 
 
@@ -181,8 +181,9 @@ def rejects(spark, sf):
 def stream_rejects(spark, sf):
     """A stream that keeps the good records and the number of those that each reason stopped."""
     arrivals, good, counts = (work_dir(spark, name) for name in ("arrivals", "good", "counts"))
-    _mixed_messages(spark, sf).write.option("maxRecordsPerFile", 1_000).parquet(arrivals)
-    records = parquet_rows(spark, arrivals, stream=True, bytes_per_batch=64_000)
+    messages = _mixed_messages(spark, sf)
+    messages.write.option("maxRecordsPerFile", rows_per_file(messages, 1_000)).parquet(arrivals)
+    records = parquet_rows(spark, arrivals, stream=True, bytes_per_batch=batch_bytes(spark, arrivals, 64_000))
     jobs.validated(records, good, counts, f"{good}-checkpoint").awaitTermination()
     totals = spark.read.schema("reason string, records bigint").parquet(counts)
     totals = totals.groupBy("reason").agg(F.sum("records").alias("records"))

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: micro-batches that a folder is read in by `batch_bytes`, as long as none gets larger than this
+BATCHES, MOST_BATCH_BYTES = 32, 1 << 26
+
 
 def _reader(spark: SparkSession, stream: bool, files_per_batch: int | None, bytes_per_batch: int | None = None):
     if not stream:
@@ -18,6 +21,22 @@ def _reader(spark: SparkSession, stream: bool, files_per_batch: int | None, byte
     return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
 
 
+def batch_bytes(spark: SparkSession, path: str, least: int, batches: int = BATCHES, most: int = MOST_BATCH_BYTES) -> int:
+    """The bytes of a micro-batch for what lies in a folder, between `least` and `most`.
+
+    A micro-batch costs about a second whatever it holds, so a large folder is read in about `batches` of them
+    and not in ever more of the same small size; beyond `batches` times `most` their number grows with the folder.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return max(least, min(held // batches, most))
+
+
+def rows_per_file(df: DataFrame, least: int, batches: int = BATCHES, most: int = 1 << 20) -> int:
+    """Rows of a file with which several files fit into each of `batches` micro-batches."""
+    return max(least, min(df.count() // (4 * batches), most))
+
+
 def text_lines(
     spark: SparkSession, path: str, stream: bool = False, files_per_batch: int | None = None, bytes_per_batch: int | None = None
 ) -> DataFrame:
