@@ -425,7 +425,7 @@ def idle_counts(spark, sf):
     return counts.groupBy("org", "day", "url", "turn").agg(F.max("count").alias("count"))
 
 
-# bytes of a micro-batch, and rows of a file, of which several fit
+# the least bytes of a micro-batch, and rows of a file, of which several fit
 BATCH_BYTES, FILE_ROWS = 32_768, 1_000
 
 
@@ -434,14 +434,19 @@ BATCH_BYTES, FILE_ROWS = 32_768, 1_000
     "SELECT count(*) AS n, count(DISTINCT event_id) AS ids, TRUE AS bounded FROM events",
 )
 def micro_batches(spark, sf):
-    """Micro-batches bounded in bytes, however large the input is; each written as its own folder."""
+    """Micro-batches bounded in bytes, however large the input is; each written as its own folder.
+
+    The bound follows the input up to `files.MOST_BATCH_BYTES`.
+    """
     arrivals, path = work_dir(spark, "arrivals"), work_dir(spark, "micro")
     events = table(spark, sf, "events").select("event_id")
-    events.write.option("maxRecordsPerFile", FILE_ROWS).option("compression", "none").parquet(arrivals)
-    rows = files.parquet_rows(spark, arrivals, stream=True, bytes_per_batch=BATCH_BYTES)
+    file_rows = files.rows_per_file(events, FILE_ROWS)
+    events.write.option("maxRecordsPerFile", file_rows).option("compression", "none").parquet(arrivals)
+    bound = files.batch_bytes(spark, arrivals, BATCH_BYTES)
+    rows = files.parquet_rows(spark, arrivals, stream=True, bytes_per_batch=bound)
     jobs.fan_out(rows, {path: lambda batch: batch}, f"{path}-checkpoint").awaitTermination()
     stored = spark.read.schema("event_id bigint, batch bigint").parquet(path)
     # a file holds eight bytes a row, and more beside them
-    most = F.max("rows") * 8 <= BATCH_BYTES
+    most = F.max("rows") * 8 <= bound
     totals = stored.groupBy("batch").agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("ids"))
     return totals.agg(F.sum("rows").alias("n"), F.sum("ids").alias("ids"), most.alias("bounded"))
