@@ -206,3 +206,19 @@ def test_map_rows(harbours):
 
     got = udfs.map_rows(harbours, coast, "id bigint, coast string")
     assert rows(got) == [(n, coast_name) for n, _, _, _, coast_name in HARBOURS]
+
+
+def test_user_code_is_called_once_for_the_rows_of_a_key_that_a_task_has(spark):
+    """Keys whose rows are spread over many record batches; states meet without a call into pandas for each key."""
+    calls = r.UserAggregate(
+        create=lambda: (0, 0),
+        accumulate=lambda state, rows: (state[0] + 1, state[1] + len(rows)),
+        merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
+        finish=lambda state: [state],
+        state="calls bigint, n bigint",
+        output="calls bigint, n bigint",
+    )
+    df = spark.range(0, 60_000, 1, 1).select((F.col("id") % 700).alias("k"), F.col("id").alias("value"))
+    out = r.user_aggregate(df, ["k"], ["value"], calls)
+    assert out.agg(F.count("*"), F.sum("calls"), F.sum("n")).collect() == [(700, 700, 60_000)]
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -140,6 +140,20 @@ def _same_nan(value):
 
 # states one task holds before it hands them on
 STATES_PER_TASK = 50_000
+# rows and bytes that a task brings together before it hands a key's rows to user code
+ROWS_PER_FOLD, BYTES_PER_FOLD = 100_000, 1 << 25
+
+
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Neighbouring batches as one, up to about `ROWS_PER_FOLD` rows."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= ROWS_PER_FOLD or sum(b.nbytes for b in held) >= BYTES_PER_FOLD:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def user_aggregate(
@@ -149,6 +163,7 @@ def user_aggregate(
 
     Each task first folds its own rows into one state per key, so what the shuffle
     brings together for a key is a few small states per input partition, never its rows.
+    The states of a key then come one after the other in a sorted partition.
     """
     keys, columns = list(keys), list(columns)
     key_fields = [df.schema[k] for k in keys]
@@ -157,6 +172,8 @@ def user_aggregate(
     states = [f.name for f in state_fields]
     partial_schema = T.StructType(key_fields + state_fields)
     kinds = to_arrow_schema(partial_schema)
+    output_schema = T.StructType(key_fields + output_fields)
+    output_kinds = to_arrow_schema(output_schema)
 
     def fold(batches):
         held: dict[tuple, tuple] = {}
@@ -167,31 +184,53 @@ def user_aggregate(
                 [pa.array(list(c), type=kind.type) for c, kind in zip(columns, kinds, strict=True)], schema=kinds
             )
 
-        for batch in batches:
+        for run in _runs(batches):
             # keys stay Python values: beside a NULL, pandas would make whole numbers floats
-            parts = [[_same_nan(v) for v in batch.column(k).to_pylist()] for k in keys]
+            parts = [[_same_nan(v) for v in run.column(k).to_pylist()] for k in keys]
             numbers: dict[tuple, int] = {}
-            codes = [numbers.setdefault(key, len(numbers)) for key in zip(*parts, strict=True)]
-            found = list(numbers)
-            rows = batch.select(columns).to_pandas(types_mapper=_NULLABLE.get)
-            for code, part in rows.groupby(np.array(codes, dtype=np.int64), sort=False):
-                key = found[code]
-                held[key] = aggregate.accumulate(held.get(key, aggregate.create()), part)
+            codes = np.array([numbers.setdefault(key, len(numbers)) for key in zip(*parts, strict=True)], dtype=np.int64)
+            order = np.argsort(codes, kind="stable")
+            cuts = np.searchsorted(codes[order], np.arange(len(numbers) + 1)).tolist()
+            rows = run.select(columns).to_pandas(types_mapper=_NULLABLE.get).take(order)
+            for key, low, high in zip(numbers, cuts, cuts[1:]):
+                held[key] = aggregate.accumulate(held.get(key, aggregate.create()), rows.iloc[low:high])
             if len(held) > STATES_PER_TASK:
                 yield handed_on()
                 held = {}
         if held:
             yield handed_on()
 
-    def finish(key, parts):
-        total = aggregate.create()
-        for part in parts[states].itertuples(index=False, name=None):
-            total = aggregate.merge(total, part)
-        rows = [(*key, *row) for row in aggregate.finish(total)]
-        return pd.DataFrame(rows, columns=keys + [f.name for f in output_fields], dtype=object)
+    def finish(batches):
+        current, total, out = None, None, []
+
+        def made(rows):
+            columns = zip(*rows, strict=True)
+            arrays = [
+                pa.array(list(c), type=kind.type, from_pandas=n >= len(keys))
+                for n, (c, kind) in enumerate(zip(columns, output_kinds, strict=True))
+            ]
+            return pa.RecordBatch.from_arrays(arrays, schema=output_kinds)
+
+        for batch in batches:
+            parts = [[_same_nan(v) for v in batch.column(k).to_pylist()] for k in keys]
+            found = [batch.column(s).to_pylist() for s in states]
+            for key, part in zip(zip(*parts, strict=True), zip(*found, strict=True), strict=True):
+                if key != current:
+                    if current is not None:
+                        out += [(*current, *row) for row in aggregate.finish(total)]
+                    current, total = key, aggregate.create()
+                total = aggregate.merge(total, part)
+            if out:
+                yield made(out)
+                out = []
+        if current is not None:
+            out += [(*current, *row) for row in aggregate.finish(total)]
+        if out:
+            yield made(out)
 
     partial = df.select(*dict.fromkeys([*keys, *columns])).mapInArrow(fold, partial_schema)
-    return partial.groupBy(*keys).applyInPandas(finish, T.StructType(key_fields + output_fields))
+    dealt = partial.repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(finish, output_schema)
 
 
 # moments of one key that meet its total in one task

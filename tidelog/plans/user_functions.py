@@ -42,7 +42,7 @@ MEAN = r.UserAggregate(
 # the two largest values, as up to two rows
 TOP2 = r.UserAggregate(
     create=lambda: ([],),
-    accumulate=lambda state, rows: (sorted([*state[0], *rows["value"].nlargest(2)], reverse=True)[:2],),
+    accumulate=lambda state, rows: (sorted([*state[0], *rows["value"].dropna().tolist()], reverse=True)[:2],),
     merge=lambda a, b: (sorted([*a[0], *b[0]], reverse=True)[:2],),
     finish=lambda state: [(value,) for value in state[0]],
     state="best array<double>",
