@@ -590,3 +590,31 @@ def test_micro_batches_follow_the_size_of_a_folder(spark, tmp_path):
         numbers[n] = len(sizes)
     assert max(numbers.values()) <= 8 and numbers[10_000] >= 4
     assert files.batch_bytes(spark, path, 1_000, most=5_000) == 5_000
+
+
+@pytest.mark.parametrize("name", ["reduce", "count", "last"])
+def test_state_of_many_keys_lies_in_groups(spark, tmp_path, name):
+    """What is called and stored grows with the groups and not with the keys."""
+    from tidelog.operators import windows
+    from tidelog.sources import files
+    from tidelog.streaming import jobs, state
+
+    n = 3_000
+    rows = spark.range(0, 2 * n, 1, 1).select(
+        (F.col("id") % n).alias("key"), F.col("id"), F.lit(1.5).alias("v"), F.timestamp_millis(F.col("id") + 1).alias("ts")
+    )
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = files.parquet_rows(spark, f"{tmp_path}/in", stream=True)
+    if name == "reduce":
+        out = state.running_reduce(stream, "key", "v", "id", order="id")
+    elif name == "count":
+        out = state.count_window_sums(stream, "key", "v", 2, order="id")
+    else:
+        timed = windows.watermarked(stream, "ts").withColumn("ms", F.unix_millis("ts"))
+        out = state.max_over_preceding(timed, "key", "v", "ms", "id")
+    query = jobs.to_files(out, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    query.awaitTermination()
+    assert out.schema == spark.read.schema(out.schema).parquet(f"{tmp_path}/out").schema
+    assert spark.read.parquet(f"{tmp_path}/out").select("key").distinct().count() >= n - 1
+    (held,) = query.lastProgress["stateOperators"]
+    assert held["numRowsTotal"] <= 4 * state.KEY_GROUPS

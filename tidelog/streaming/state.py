@@ -7,6 +7,10 @@ wait (for its order, or for event time) lies in list state as columns and is rea
 sorted slices, so a large key is never held in memory as a whole. A key has one timer, at the
 earliest moment that it waits for.
 
+A call for one key costs milliseconds, whatever it does. So the reduce, the count windows and the last rows deal
+their keys by hash to `KEY_GROUPS` groups and work on a group's keys in one call, with one state for the group; only
+state that expires by the clock is kept key by key.
+
 Columns may hold NULLs: they travel as a value that is not looked at, beside a flag.
 """
 
@@ -27,7 +31,10 @@ from tidelog.session import configure
 
 #: rows of one key that a task holds at once when it sorts
 ROWS_PER_SLICE = 100_000
+#: groups that keys are dealt to; a stream has to keep the number that it was started with
+KEY_GROUPS = 1024
 _FLAG = "_missing_"
+_GROUP, _KEY = "_group", "_key"
 _UFUNCS = {operator.add: np.add, max: np.maximum, min: np.minimum}
 
 
@@ -62,6 +69,46 @@ def _schema(df: DataFrame, keys: Sequence[str], **others: str) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in kinds)
 
 
+def _key_text(df: DataFrame, keys: Sequence[str]) -> Column:
+    """All key columns as one text, which is equal for equal keys."""
+    parts = []
+    for k in keys:
+        kind, column = df.schema[k].dataType, F.col(k)
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            column = column + F.lit(0).cast(kind)  # one zero
+        elif isinstance(kind, T.BinaryType):
+            column = F.hex(column)
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            column = F.to_json(column)
+        parts.append(column.cast("string"))
+    return F.to_json(F.array(*parts))
+
+
+def _key_columns(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The key columns from their text."""
+    parts, out = F.from_json(_KEY, "array<string>"), []
+    for n, k in enumerate(keys):
+        kind, column = df.schema[k].dataType, parts[n]
+        if isinstance(kind, T.BinaryType):
+            column = F.unhex(column)
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            column = F.from_json(column, kind)
+        out.append(column.cast(kind).alias(k))
+    return out
+
+
+def _apply_to_groups(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], processor, outputs: dict[str, str], time_mode: str
+) -> DataFrame:
+    """(keys, outputs) of a processor of groups of keys."""
+    named = df.withColumn(_KEY, _key_text(df, keys))
+    packed = _packed(named, [_KEY], [_KEY, *columns])
+    packed = packed.withColumn(_GROUP, F.pmod(F.xxhash64(_KEY), F.lit(KEY_GROUPS)).cast("int"))
+    schema = ", ".join([f"{_KEY} string", *(f"`{name}` {kind}" for name, kind in outputs.items())])
+    out = _apply(packed, [_GROUP], processor, schema, "append", time_mode)
+    return out.select(*_key_columns(df, keys), *[F.col(f"`{name}`") for name in outputs])
+
+
 def _series(values: np.ndarray, missing: np.ndarray) -> pd.Series:
     out = pd.Series(values)
     if missing.any():
@@ -176,14 +223,17 @@ class _Processor(StatefulProcessor):
         if self.order is None:
             yield from rows
             return
-        first = next(rows, None)
-        if first is None:
-            return
-        second = next(rows, None)
-        if second is None:
-            yield first.sort_values(self.order, kind="stable")
+        held, n = [], 0
+        for frame in rows:
+            held.append(frame)
+            n += len(frame)
+            if n > ROWS_PER_SLICE:
+                break
+        else:
+            if held:
+                yield pd.concat(held, ignore_index=True).sort_values(self.order, kind="stable")
             return
-        for frame in chain((first, second), rows):
+        for frame in chain(held, rows):
             self.sorting.add([frame[c].to_numpy() for c in self.flat])
         for columns in self.sorting.taken():
             yield pd.DataFrame(dict(zip(self.flat, columns, strict=True)))
@@ -196,6 +246,14 @@ class _Processor(StatefulProcessor):
         pass
 
 
+def _parts(keys: Sequence[str]) -> tuple[np.ndarray, list[tuple[str, int, int]]]:
+    """An order that brings the rows of a key together and leaves theirs, and (key, first, last + 1) of each in it."""
+    codes, found = pd.factorize(np.asarray(keys, dtype=object))
+    order = np.argsort(codes, kind="stable")
+    cuts = np.searchsorted(codes[order], np.arange(len(found) + 1)).tolist()
+    return order, list(zip(found.tolist(), cuts, cuts[1:]))
+
+
 class _Reduce(_Processor):
     """Emits the key's reduced value after every row."""
 
@@ -208,30 +266,61 @@ class _Reduce(_Processor):
         kind = self.kinds[self.columns.index(self.value)]
         self.total = handle.getValueState("total", f"total {kind}", self.ttl_ms)
 
+    def step(self, total, values: np.ndarray, missing: np.ndarray) -> tuple[np.ndarray, np.ndarray, object]:
+        """(reduced value after each row, where there is none yet, the last one)."""
+        values = values[~missing]  # as in SQL, NULL changes nothing
+        ufunc = _UFUNCS.get(self.function) if values.dtype.kind in "iuf" else None
+        before = [] if total is None else [total]
+        if not len(values):
+            so_far = before
+        elif ufunc is not None:
+            so_far = ufunc.accumulate(np.concatenate([np.asarray(before, dtype=values.dtype), values]))
+        else:
+            so_far = list(accumulate(chain(before, values.tolist()), self.function))
+        at = np.cumsum(~missing) - 1 + len(before)
+        totals = np.asarray(so_far)[np.maximum(at, 0)] if len(so_far) else np.zeros(len(at))
+        if len(so_far):
+            total = so_far[-1].item() if hasattr(so_far[-1], "item") else so_far[-1]
+        return totals, at < 0, total
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held = self.total.get()
         total = None if held is None else held[0]
         for frame in self.frames(rows):
             missing = frame[_FLAG + self.value].to_numpy(dtype=bool)
-            values = frame[self.value].to_numpy()[~missing]  # as in SQL, NULL changes nothing
-            ufunc = _UFUNCS.get(self.function) if values.dtype.kind in "iuf" else None
-            before = [] if total is None else [total]
-            if not len(values):
-                so_far = before
-            elif ufunc is not None:
-                so_far = ufunc.accumulate(np.concatenate([np.asarray(before, dtype=values.dtype), values]))
-            else:
-                so_far = list(accumulate(chain(before, values.tolist()), self.function))
-            at = np.cumsum(~missing) - 1 + len(before)
-            totals = np.asarray(so_far)[np.maximum(at, 0)] if len(so_far) else np.zeros(len(at))
-            if len(so_far):
-                total = so_far[-1].item() if hasattr(so_far[-1], "item") else so_far[-1]
+            totals, none, total = self.step(total, frame[self.value].to_numpy(), missing)
             ids = _series(frame[self.id_column].to_numpy(), frame[_FLAG + self.id_column].to_numpy(dtype=bool))
-            yield self.out(key, len(frame), **{self.id_column: ids.to_numpy(), "total": _series(totals, at < 0).to_numpy()})
+            yield self.out(key, len(frame), **{self.id_column: ids.to_numpy(), "total": _series(totals, none).to_numpy()})
         # written after every read as well, so that reading renews the time to live
         self.total.update((total,))
 
 
+class _ReduceGroup(_Reduce):
+    """The same for a group of keys."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        _Processor.init(self, handle)
+        kind = self.kinds[self.columns.index(self.value)]
+        self.totals = handle.getValueState("totals", f"found array<string>, totals array<{kind}>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = self.totals.get()
+        last = {} if held is None else dict(zip(held[0], held[1], strict=True))
+        for frame in self.frames(rows):
+            order, parts = _parts(frame[_KEY])
+            frame = frame.iloc[order]
+            values, missing = frame[self.value].to_numpy(), frame[_FLAG + self.value].to_numpy(dtype=bool)
+            totals, none = [], []
+            for name, low, high in parts:
+                so_far, unknown, last[name] = self.step(last.get(name), values[low:high], missing[low:high])
+                totals.append(so_far)
+                none.append(unknown)
+            ids = _series(frame[self.id_column].to_numpy(), frame[_FLAG + self.id_column].to_numpy(dtype=bool))
+            total = _series(np.concatenate(totals), np.concatenate(none)).to_numpy()
+            yield pd.DataFrame({_KEY: frame[_KEY].to_numpy(), self.id_column: ids.to_numpy(), "total": total})
+        self.totals.update((list(last), list(last.values())))
+
+
 def running_reduce(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -248,11 +337,13 @@ def running_reduce(
     keys = _names(keys)
     columns = list(dict.fromkeys([value, id_column, *([order] if order else [])]))
     kinds = [df.schema[c].dataType.simpleString() for c in columns]
-    processor = _Reduce(keys, columns, kinds, order, function, value, id_column, ttl_ms)
     kind = df.schema[value].dataType.simpleString()
-    schema = _schema(df, keys, **{id_column: df.schema[id_column].dataType.simpleString(), "total": kind})
-    time_mode = "processingTime" if ttl_ms else "none"
-    return _apply(_packed(df, keys, columns), keys, processor, schema, "append", time_mode)
+    outputs = {id_column: df.schema[id_column].dataType.simpleString(), "total": kind}
+    if ttl_ms is None:
+        processor = _ReduceGroup(keys, [_KEY, *columns], ["string", *kinds], order, function, value, id_column, None)
+        return _apply_to_groups(df, keys, columns, processor, outputs, "none")
+    processor = _Reduce(keys, columns, kinds, order, function, value, id_column, ttl_ms)
+    return _apply(_packed(df, keys, columns), keys, processor, _schema(df, keys, **outputs), "append", "processingTime")
 
 
 class _TopN(_Processor):
@@ -313,7 +404,7 @@ def count_with_expiry(df: DataFrame, keys: str | Sequence[str], ttl_ms: int) ->
 
 
 class _CountWindow(_Processor):
-    """Emits the sum of every `size` rows."""
+    """Emits the sum of every `size` rows of each key of a group."""
 
     def __init__(self, keys, columns, kinds, order, value: str, size: int):
         super().__init__(keys, columns, kinds, order)
@@ -322,32 +413,42 @@ class _CountWindow(_Processor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         kind = self.kinds[self.columns.index(self.value)]
-        self.window = handle.getValueState("window", f"number bigint, rows bigint, total {kind}")
+        state = f"found array<string>, number array<bigint>, rows array<bigint>, total array<{kind}>"
+        self.windows = handle.getValueState("windows", state)
+
+    def step(self, state: tuple, values: np.ndarray, missing: np.ndarray):
+        """(numbers, sums, whether they are known) of the windows that are full now, and the state after."""
+        number, count, total = state
+        place = (count + np.arange(len(values))) // self.size
+        found = np.arange(int(place[-1]) + 1)
+        starts = np.searchsorted(place, found)
+        sums = np.add.reduceat(np.where(missing, 0, values), starts)
+        known = np.add.reduceat((~missing).astype(int), starts) > 0
+        if total is not None:
+            sums[0], known[0] = sums[0] + total, True
+        count += len(values)
+        done = count // self.size
+        total = sums[done].item() if done < len(found) and known[done] else None
+        return number + np.arange(done), sums[:done], known[:done], (number + done, count % self.size, total)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = self.window.get()
-        number, count, total = (0, 0, None) if held is None else (held[0], held[1], held[2])
+        held = self.windows.get()
+        last = {} if held is None else {k: tuple(state) for k, *state in zip(*held, strict=True)}
         for frame in self.frames(rows):
-            missing = frame[_FLAG + self.value].to_numpy(dtype=bool)
-            values = frame[self.value].to_numpy()
-            place = (count + np.arange(len(frame))) // self.size
-            found = np.arange(int(place[-1]) + 1) if len(place) else np.zeros(0, dtype=int)
-            starts = np.searchsorted(place, found)
-            sums = np.add.reduceat(np.where(missing, 0, values), starts) if len(found) else values[:0]
-            known = np.add.reduceat((~missing).astype(int), starts) > 0 if len(found) else missing[:0]
-            if total is not None and len(found):
-                sums[0], known[0] = sums[0] + total, True
-            count += len(frame)
-            done = count // self.size
-            if done:
-                yield self.out(
-                    key, done, window_no=number + np.arange(done), total=_series(sums[:done], ~known[:done]).to_numpy()
-                )
-            if len(found):
-                open_window = done < len(found)
-                total = sums[done].item() if open_window and known[done] else None
-            number, count = number + done, count % self.size
-        self.window.update((number, count, total))
+            order, parts = _parts(frame[_KEY])
+            values = frame[self.value].to_numpy()[order]
+            missing = frame[_FLAG + self.value].to_numpy(dtype=bool)[order]
+            out, names = [], []
+            for name, low, high in parts:
+                *full, last[name] = self.step(last.get(name, (0, 0, None)), values[low:high], missing[low:high])
+                if len(full[0]):
+                    out.append(full)
+                    names += [name] * len(full[0])
+            if out:
+                numbers, sums, known = (np.concatenate(c) for c in zip(*out, strict=True))
+                yield pd.DataFrame({_KEY: names, "window_no": numbers, "total": _series(sums, ~known).to_numpy()})
+        if last:
+            self.windows.update((list(last), *map(list, zip(*last.values(), strict=True))))
 
 
 def count_window_sums(
@@ -357,9 +458,9 @@ def count_window_sums(
     keys = _names(keys)
     columns = list(dict.fromkeys([value, *([order] if order else [])]))
     kinds = [df.schema[c].dataType.simpleString() for c in columns]
-    schema = _schema(df, keys, window_no="bigint", total=df.schema[value].dataType.simpleString())
-    processor = _CountWindow(keys, columns, kinds, order, value, size)
-    return _apply(_packed(df, keys, columns), keys, processor, schema, "append", "none")
+    outputs = {"window_no": "bigint", "total": df.schema[value].dataType.simpleString()}
+    processor = _CountWindow(keys, [_KEY, *columns], ["string", *kinds], order, value, size)
+    return _apply_to_groups(df, keys, columns, processor, outputs, "none")
 
 
 class _SumTimer(_Processor):
@@ -408,7 +509,7 @@ def sum_on_timer(
 
 
 class _LastRows(_Processor):
-    """Emits each row with the maximum over it and the rows before it, in event-time order."""
+    """Emits each row of a group of keys with the maximum over it and its key's rows before it, in event-time order."""
 
     def __init__(self, keys, columns, kinds, value: str, millis: str, id_column: str, preceding: int):
         super().__init__(keys, columns, kinds, None)
@@ -417,36 +518,54 @@ class _LastRows(_Processor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         value, number = self.kinds[0], self.kinds[2]
-        self.waiting = _Waiting(handle, "waiting", ["bigint", number, value, "boolean"], 2, timed=True)
-        self.last = handle.getValueState("last", f"vals array<{value}>, missing array<boolean>")
+        self.waiting = _Waiting(handle, "waiting", ["bigint", number, "string", value, "boolean"], 2, timed=True)
+        # the last rows of each key, in order
+        self.last = handle.getValueState("last", f"found array<string>, vals array<{value}>, missing array<boolean>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         behind = timerValues.getCurrentWatermarkInMs()
         for frame in self.frames(rows):
             frame = frame[(frame[self.millis] > behind) & ~frame[_FLAG + self.millis]]  # others are late
-            columns = [self.millis, self.id_column, self.value, _FLAG + self.value]
+            columns = [self.millis, self.id_column, _KEY, self.value, _FLAG + self.value]
             self.waiting.add([frame[c].to_numpy() for c in columns])
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held = self.last.get()
-        last, gone = ([], []) if held is None else (list(held[0]), list(held[1]))
-        for moments, ids, values, missing in self.waiting.taken(timerValues.getCurrentWatermarkInMs()):
-            n = len(moments)
-            all_values = np.concatenate([np.asarray(last, dtype=values.dtype), values])
-            all_gone = np.concatenate([np.asarray(gone, dtype=bool), missing.astype(bool)])
-            top, empty = all_values[len(last) :].copy(), all_gone[len(last) :].copy()
+        last: dict[str, list[tuple]] = {}
+        for name, *row in zip(*(held or ((), (), ())), strict=True):
+            last.setdefault(name, []).append(tuple(row))
+        for moments, ids, names, values, missing in self.waiting.taken(timerValues.getCurrentWatermarkInMs()):
+            order, parts = _parts(names)
+            moments, ids, names = moments[order], ids[order], np.asarray(names, dtype=object)[order]
+            values, missing = values[order], missing[order].astype(bool)
+            top, empty = values.copy(), missing.copy()
+            before = [last.get(name, []) for name, _, _ in parts]
+            # the rows before a key's first one come in front of its rows
+            at = np.repeat([low for _, low, _ in parts], list(map(len, before)))
+            earlier = [row for part in before for row in part]
+            all_values = np.insert(values, at, np.asarray([v for v, _ in earlier], dtype=values.dtype))
+            all_gone = np.insert(missing, at, np.asarray([g for _, g in earlier], dtype=bool))
+            sizes = np.asarray([high - low for _, low, high in parts])
+            lengths = np.asarray(list(map(len, before)))
+            ends = np.cumsum(sizes + lengths)
+            begins = ends - sizes - lengths
+            place = np.arange(len(values)) + np.repeat(np.cumsum(lengths), sizes)
             for back in range(1, self.preceding + 1):
-                # the value `back` rows before, where there is one
-                at = np.arange(len(last), len(last) + n) - back
-                there = at >= 0
-                there[there] = ~all_gone[at[there]]
-                better = there & (empty | (all_values[np.maximum(at, 0)] > top))
-                top[better], empty[better] = all_values[at[better]], False
-            yield self.out(key, n, **{self.id_column: ids, "ms": moments, "top": _series(top, empty).to_numpy()})
-            keep = max(0, len(all_values) - self.preceding)
-            last, gone = all_values[keep:].tolist(), all_gone[keep:].tolist()
-        self.last.update((last, gone))
+                # the value `back` rows before, where the key has one
+                found = place - back
+                there = found >= np.repeat(begins, sizes)
+                there[there] = ~all_gone[found[there]]
+                better = there & (empty | (all_values[np.maximum(found, 0)] > top))
+                top[better], empty[better] = all_values[found[better]], False
+            out = {_KEY: names, self.id_column: ids, "ms": moments, "top": _series(top, empty).to_numpy()}
+            yield pd.DataFrame(out)
+            for (name, _, _), low, high in zip(parts, begins.tolist(), ends.tolist(), strict=True):
+                keep = max(low, high - self.preceding)
+                last[name] = list(zip(all_values[keep:high].tolist(), all_gone[keep:high].tolist(), strict=True))
+        rows = [(name, *row) for name, part in last.items() for row in part]
+        if rows:
+            self.last.update(tuple(map(list, zip(*rows, strict=True))))
 
 
 def max_over_preceding(
@@ -461,8 +580,8 @@ def max_over_preceding(
     columns = [value, millis, id_column]
     kinds = [df.schema[c].dataType.simpleString() for c in columns]
     processor = _LastRows(keys, columns, kinds, value, millis, id_column, preceding)
-    schema = _schema(df, keys, **{id_column: kinds[2], "ms": "bigint", "top": kinds[0]})
-    return _apply(_packed(df, keys, columns), keys, processor, schema, "append", "eventTime")
+    outputs = {id_column: kinds[2], "ms": "bigint", "top": kinds[0]}
+    return _apply_to_groups(df, keys, columns, processor, outputs, "eventTime")
 
 
 class _Late(StatefulProcessor):
