@@ -61,3 +61,21 @@ def test_no_rows(nothing, spark):
     path = work_dir(spark, "tokens")
     tokens.write_tokens(nothing, path)
     assert tokens.read_tokens(spark, path).collect() == []
+
+
+def test_doubled_white_space_is_that_of_python():
+    """Every character that Python takes as white space, twice, beside another one and alone."""
+    import re
+    import sys
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from tidelog.llm.tokens import _DOUBLED, Encoder, default_tokenizer
+
+    blanks = [chr(n) for n in range(sys.maxunicode + 1) if chr(n).isspace()]
+    texts = [x for b in blanks for x in (f"a{b}{b}b", f"a {b}b", f"a{b}b", f"{b}a{b}")] + ["", "a\u200b\u200bb", "a\u180e\u180eb"]
+    found = pc.match_substring_regex(pa.array(texts), _DOUBLED).to_pylist()
+    assert found == [bool(re.search(r"\s\s", t)) for t in texts]
+    encoder = Encoder(default_tokenizer())
+    assert encoder.encode(texts) == encoder._direct(texts) and encoder.encode([]) == []

@@ -20,6 +20,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ def default_tokenizer() -> str:
 
 # letters of ASCII and Latin-1, then marks: the borders between them are borders of tokens
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+# two characters of white space, as `str.isspace` has them; looked for in whole columns
+_DOUBLED = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"
 _PLAIN = rf"( ?[{_LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)"
 
 
@@ -61,7 +64,6 @@ class Encoder:
         self.model = self.tokenizer.model
         self.newline = self._direct(["\n"])[0]
         self.kept: dict[str, bytes] = {"\n": self.newline}
-        self.doubled = re.compile(r"\s\s").search
         self.plain = re.compile(_PLAIN).fullmatch
         self.letters = _byte_letters()
 
@@ -106,11 +108,12 @@ class Encoder:
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        whole = [t for t in texts if self.doubled(t)]
+        doubled = pc.match_substring_regex(pa.array(texts, type=pa.large_string()), _DOUBLED).to_pylist()
+        whole = [t for t, directly in zip(texts, doubled, strict=True) if directly]
         direct = iter(self._direct(whole) if whole else [])
         out, kept, piece = [], self.kept, self._piece
-        for text in texts:
-            if self.doubled(text):
+        for text, directly in zip(texts, doubled, strict=True):
+            if directly:
                 out.append(next(direct))
                 continue
             first, *rest = text.split(" ")
