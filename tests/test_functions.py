@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import scalars as s
 from tidelog.functions.chunks import fixed_chunks, recursive_chunks, split_text
-from tidelog.functions.encode import embed, hashed_words
+from tidelog.functions.encode import ENCODED_TEXTS, embed, hashed_words
 from tidelog.operators.columns import flatten_field, nested_field
 from tidelog.operators.documents import chunk_rows, ingest
 from tidelog.operators.validate import check_records, reject_counts, split_records
@@ -262,6 +262,17 @@ def test_chunk_columns(spark):
     assert column(df, recursive_chunks(4, 0)("t")) == [["abcd", "efgh", "ij"], [], None, ["ab"]]
 
 
+def test_encoders_get_few_texts_at_a_time(spark):
+    def counting():
+        return lambda texts: np.array([[float(len(texts)), float(text[1:])] for text in texts])
+
+    df = spark.range(3000).select("id", F.when(F.col("id") % 7 != 0, F.concat(F.lit("t"), "id")).alias("t"))
+    rows = df.coalesce(1).select("id", embed(counting)("t").alias("v")).collect()
+    assert [r.id for r in rows] == list(range(3000))
+    assert all((r.v is None) if r.id % 7 == 0 else r.v[1] == r.id for r in rows)
+    assert max(r.v[0] for r in rows if r.v) <= ENCODED_TEXTS
+
+
 def test_embedding(spark):
     df = texts(spark, "one two", None, "", "One  two")
     got = column(df, embed()("t"))

@@ -18,13 +18,19 @@ def scalar(function: Callable, result_type: str):
     return F.udf(function, result_type, useArrow=True)
 
 
-def with_setup(setup: Callable[[], Callable[[pd.Series], pd.Series]], result_type: str):
-    """A column function whose `setup` runs once per Python worker task, e.g. to load a model."""
+def with_setup(setup: Callable[[], Callable[[pd.Series], pd.Series]], result_type: str, rows: int | None = None):
+    """A column function whose `setup` runs once per Python worker task, e.g. to load a model.
+
+    With `rows` it gets and hands on at most so many rows at a time, so that wide results of a whole batch are never
+    held at once.
+    """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         function = setup()
         for batch in batches:
-            yield function(batch)
+            step = rows or max(1, len(batch))
+            for low in range(0, len(batch), step):
+                yield function(batch.iloc[low : low + step])
 
     return F.pandas_udf(run, result_type)
 
