@@ -92,3 +92,17 @@ def test_no_rows_and_no_training_rows(spark, nothing):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     (row,) = lattice.lattice_scores(frame(spark, [(held, "a b")])).collect()
     assert row["held_out"] and row["train_tokens"] == 0 and row["n_known"] == 0 and row["score"] < 0
+
+
+def test_batches_of_long_texts_are_bounded_in_bytes(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 9000, 1, 1).selectExpr("id AS doc_id", "repeat('some words ', 100) AS text")
+    assert lattice.lattice_scores(docs, tokenizer=PATH).count() == 9000
+    got = docs.mapInArrow(sizes, "n bigint, size bigint").collect()
+    assert sum(r["n"] for r in got) == 9000 and max(r["size"] for r in got) < 5_000_000

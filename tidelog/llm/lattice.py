@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.storage import store
 from tidelog.llm.words import mixed, pieces, words_of
+from tidelog.session import bounded_batches
 
 #: the most frequent words that are sent to every task, at most
 MOST_HEAD = 300_000
@@ -326,7 +327,7 @@ def lattice_scores(
         from tidelog.llm.tokens import default_tokenizer
 
         tokenizer = default_tokenizer()
-    spark = docs.sparkSession
+    spark = bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), held_out(id_col, folds, held).alias("held_out"), F.col(text_col).alias("text")
     )

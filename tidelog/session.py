@@ -22,6 +22,10 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: bytes of a batch of whole texts or of their ids on its way to Python
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _local_work_dirs: dict[str, str] = {}
 _made: list[str] = []
 
@@ -44,6 +48,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """From now on a batch for Python ends at `BATCH_BYTES` and not only at a number of rows, unless the session has its own bound.
+
+    Both sides hold a batch whole, so 10,000 long texts would be tens of megabytes for each task, outside the heap.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    return spark
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder set in `spark.checkpoint.dir`.
 
