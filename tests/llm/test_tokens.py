@@ -31,6 +31,22 @@ def test_encoder_gives_the_ids_of_the_library(tokenizer, spark):
             assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_batches_of_long_texts_are_bounded_in_bytes(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 9000, 1, 1).selectExpr("id AS doc_id", "repeat('some words ', 100) AS text")
+    path = work_dir(spark, "tokens")
+    tokens.write_tokens(docs, path, shards=1)
+    got = docs.mapInArrow(sizes, "n bigint, size bigint").collect()
+    assert sum(r["n"] for r in got) == 9000 and max(r["size"] for r in got) < 5_000_000
+    assert tokens.checksums(tokens.read_tokens(spark, path)).count() == 9000
+
+
 def test_files_hold_all_tokens_in_order(odd, spark, tokenizer):
     path = work_dir(spark, "tokens")
     tokens.write_tokens(odd, path, shards=3)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.storage import shuffle_files_removed
+from tidelog.session import bounded_batches
 
 SCHEMA = "shard int, doc_id bigint, at bigint, n_tokens bigint, ids array<int>"
 #: distinct pieces whose ids a worker keeps; beyond it, pieces that are not kept are encoded again
@@ -179,7 +180,7 @@ def write_tokens(
     columns are not read. An empty table makes files without rows. `shards` defaults to the session's
     shuffle partitions.
     """
-    spark = docs.sparkSession
+    spark = bounded_batches(docs.sparkSession)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
@@ -236,4 +237,5 @@ def checksums(tokens: DataFrame) -> DataFrame:
                 names=["doc_id", "start", "n_tokens", "ids_crc32"],
             )
 
+    bounded_batches(tokens.sparkSession)
     return tokens.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
