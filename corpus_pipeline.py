@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import decontaminate, minhash, mixing, quality, tokens
 from tidelog.llm.storage import store
-from tidelog.session import work_dir
+from tidelog.session import bounded_batches, work_dir
 
 #: documents that score less are rejected
 LEAST_SCORE = 0.3
@@ -35,6 +35,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     A null text scores as an empty one, and repeated rows score alike. Without labels of both classes all documents
     get one score. No documents give none; other columns go through whatever their names.
     """
+    bounded_batches(spark)
     score = _free(docs, "_score")
     model, _ = quality.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = quality.score_quality(docs, model, score_col=score, keep_text=True)
