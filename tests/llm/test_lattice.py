@@ -106,3 +106,31 @@ def test_batches_of_long_texts_are_bounded_in_bytes(spark):
     assert lattice.lattice_scores(docs, tokenizer=PATH).count() == 9000
     got = docs.mapInArrow(sizes, "n bigint, size bigint").collect()
     assert sum(r["n"] for r in got) == 9000 and max(r["size"] for r in got) < 5_000_000
+
+
+def test_a_worker_reads_the_tokenizer_once(monkeypatch):
+    """The library keeps tens of megabytes of each tokenizer that was used, also when it is dropped."""
+    import sys
+
+    import pyarrow as pa
+    import tokenizers
+
+    made = []
+
+    class Counted:
+        @staticmethod
+        def from_file(path):
+            made.append(path)
+            return Tokenizer.from_file(path)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    monkeypatch.setitem(sys.__dict__, "_tidelog_encoders", {})
+    words = pa.RecordBatch.from_arrays([pa.array(["some", "words", "<|endoftext|>"]), pa.array([2, 3, 1])], names=["word", "train"])
+    tasks = [list(lattice._cut(PATH, 50257)([words])) for _ in range(5)]
+    want = Counter()
+    for word, n in [("some", 2), ("words", 3)]:
+        want.update({i: n for i in Tokenizer.from_file(PATH).encode(" " + word).ids})
+    (got,) = tasks[0]
+    counts = dict(zip(got["piece"].to_pylist(), got["n"].to_pylist(), strict=True))
+    assert len(made) == 1 and all(t == tasks[0] for t in tasks)
+    assert {i: counts[i] for i in want} == want and 50256 not in counts

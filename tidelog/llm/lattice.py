@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.storage import store
+from tidelog.llm.tokens import Encoder, default_tokenizer
 from tidelog.llm.words import mixed, pieces, words_of
 from tidelog.session import bounded_batches
 
@@ -58,14 +59,14 @@ def vocabulary(path: str) -> list[bytes]:
     """The pieces of a byte-level tokenizer file by id; empty for those that are no bytes of text."""
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
+    tokenizer = Tokenizer.from_file(path)
+    found = tokenizer.get_vocab(with_added_tokens=True)
     letters = byte_letters()
     out = [b""] * (max(found.values()) + 1)
     for piece, number in found.items():
         if all(c in letters for c in piece):
             out[number] = bytes(letters[c] for c in piece)
-    special = Tokenizer.from_file(path).get_added_tokens_decoder()
-    for number in special:
+    for number in tokenizer.get_added_tokens_decoder():
         out[number] = b""
     return out
 
@@ -221,10 +222,7 @@ def _cut(path: str, size: int):
     """(word, train) -> (piece, n): how often the tokenizer makes each piece of the words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer = Encoder.of(path).tokenizer  # a worker's only one: the library keeps the memory of each that was used
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
             words, counts = batch.column(0).to_pylist(), np.asarray(batch.column(1))
@@ -323,10 +321,7 @@ def lattice_scores(
     Repeated rows count repeatedly. Without training documents the prior alone scores. Other columns
     are not read.
     """
-    if tokenizer is None:
-        from tidelog.llm.tokens import default_tokenizer
-
-        tokenizer = default_tokenizer()
+    tokenizer = tokenizer or default_tokenizer()
     spark = bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), held_out(id_col, folds, held).alias("held_out"), F.col(text_col).alias("text")
