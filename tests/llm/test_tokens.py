@@ -1,6 +1,7 @@
 import struct
 import zlib
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -95,3 +96,38 @@ def test_doubled_white_space_is_that_of_python():
     assert found == [bool(re.search(r"\s\s", t)) for t in texts]
     encoder = Encoder(default_tokenizer())
     assert encoder.encode(texts) == encoder._direct(texts) and encoder.encode([]) == []
+
+
+def test_each_piece_is_taken_apart_once_and_new_words_go_together(monkeypatch):
+    """Words with marks after them were taken apart at each occurrence, and new words encoded one by one."""
+    calls = {"_piece": 0, "_one": 0, "_direct": 0}
+    encoder = tokens.Encoder(PATH)
+    for name in calls:
+        whole = getattr(encoder, name)
+
+        def counted(x, name=name, whole=whole):
+            calls[name] += 1
+            return whole(x)
+
+        monkeypatch.setattr(encoder, name, counted)
+    texts = [f"Some words, and some marks. Number {n}x: caf\u00e9, word{chr(97 + n % 26)}.\nLine;" for n in range(400)]
+    texts += ["", ",", "a,b 1,2 it's, (x) don't!", "\n", "a,\nb", "\nx, y", "x  y", "caf\u00e9 \u00c0. \u0120a b", " x", "x "]
+    got = encoder.encode(texts)
+    assert sum(calls.values()) < 1500  # 3,274 before; 400 numbers are 400 pieces
+    assert got == encoder._direct(texts)
+    assert encoder.encode(texts[::-1]) == got[::-1]
+    assert encoder.encode([texts[0]] * 3) == got[:1] * 3 and encoder.encode(["a  b", "", "c  d"]) == encoder._direct(["a  b", "", "c  d"])
+    sliced = pa.array(["out of, sight", *texts]).slice(1)
+    ids, sizes = encoder.ids(sliced, b"\7\0\0\0")
+    assert ids.tobytes() == b"".join(x + b"\7\0\0\0" for x in got) and sizes.tolist() == [len(x) // 4 + 1 for x in got]
+
+
+def test_random_texts_have_the_ids_of_the_library():
+    import random
+
+    chance = random.Random(5)
+    parts = ["a", "Word", "the", " ", " ", " ", "\n", ",", ".", "'s", "'", "1", "42", "\t", "\u00e9", "\u0120", "\u4e2d", "\U0001f600", "\u00a0", "-", "(", "\x00", "\r"]
+    texts = ["".join(chance.choices(parts, k=chance.randrange(12))) for _ in range(5000)]
+    encoder = tokens.Encoder(PATH)
+    for _ in range(2):
+        assert encoder.encode(texts) == encoder._direct(texts)
